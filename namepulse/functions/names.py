@@ -14,20 +14,17 @@ def name_entries(names: Column, keep_empty: bool = False) -> Column:
     """Entries of a packed list as an array.
 
     Trailing separators add nothing unless ``keep_empty``; an empty entry
-    between two others always counts. A list of separators only gives an empty
-    array (or, with ``keep_empty``, one empty entry more than separators).
+    between two others always counts. An empty list has no entries, and a list
+    of separators only has none either (or, with ``keep_empty``, one empty
+    entry more than it has separators).
     """
     separator = F.lit(S.ENTRY_SEPARATOR)
-    if keep_empty:
-        return F.split(names, separator)
-    trimmed = F.rtrim(names, separator)
-    return F.when(trimmed != "", F.split(trimmed, separator)).otherwise(
-        F.array().cast("array<string>")
-    )
+    present = names if keep_empty else F.rtrim(names, separator)
+    return F.when(present != "", F.split(present, separator))
 
 
 def entry_name(entry: Column) -> Column:
-    return F.split_part(entry, F.lit(S.OFFSET_SEPARATOR), F.lit(1))
+    return F.substring_index(entry, S.OFFSET_SEPARATOR, 1)
 
 
 def has_names(names: Column) -> Column:

@@ -9,33 +9,34 @@ from pyspark.sql import functions as F
 
 from namepulse import schema as S
 from namepulse.functions.fields import field, record_time, split_line
-from namepulse.functions.names import entry_name, has_names, name_entries, not_stopped
+from namepulse.functions.names import entry_name, name_entries, not_stopped
 
 
 def read_fields(lines: DataFrame, *carry: str) -> DataFrame:
-    """The three fields in use, from lines that have enough of them: ``id``,
-    ``raw_date`` and ``names``. ``carry`` names columns to keep."""
+    """The three fields in use: ``id``, ``raw_date`` and ``names``. ``carry``
+    names columns to keep.
+
+    ``names`` is NULL on a line with too few fields, and a date that is not one
+    is NULL further on. Nothing filters here: a filter on a piece of the line
+    would be moved down to the scan and cut the line up once more per
+    condition. The unusable lines go when their (absent) names are exploded.
+    """
     parts = split_line(F.col("value"), S.NAMES_FIELD + 1)
-    return (
-        lines.select(*carry, parts.alias("_parts"))
-        .where(F.size("_parts") > S.NAMES_FIELD)
-        .select(
-            *carry,
-            field(F.col("_parts"), S.ID_FIELD).alias("id"),
-            field(F.col("_parts"), S.DATE_FIELD).alias("raw_date"),
-            field(F.col("_parts"), S.NAMES_FIELD).alias("names"),
-        )
+    return lines.select(*carry, parts.alias("_parts")).select(
+        *carry,
+        field(F.col("_parts"), S.ID_FIELD).alias("id"),
+        field(F.col("_parts"), S.DATE_FIELD).alias("raw_date"),
+        field(F.col("_parts"), S.NAMES_FIELD).alias("names"),
     )
 
 
 def dated_names(lines: DataFrame, *carry: str) -> DataFrame:
-    """(date, names) of the usable records of ``lines``."""
-    return (
-        read_fields(lines, *carry)
-        .where(has_names(F.col("names")))
-        .select(*carry, "id", record_time(F.col("raw_date")).cast("date").alias("date"), "names")
-        .where("date IS NOT NULL")
+    """(id, date, names) of every line; ``names`` is NULL where the line has no
+    date or too few fields."""
+    dated = read_fields(lines, *carry).select(
+        *carry, "id", record_time(F.col("raw_date")).cast("date").alias("date"), "names"
     )
+    return dated.withColumn("names", F.when(F.col("date").isNotNull(), F.col("names")))
 
 
 def dated_names_of_records(records: DataFrame) -> DataFrame:
@@ -80,11 +81,7 @@ def stream_names(
 ) -> DataFrame:
     """Raw stream records to (timestamp, id, name); event time is the record's
     own, so no date is parsed."""
-    packed = (
-        read_fields(records, "timestamp")
-        .where(has_names(F.col("names")))
-        .select("timestamp", "id", "names")
-    )
+    packed = read_fields(records, "timestamp").drop("raw_date")
     return explode_names(packed, stop).withColumnRenamed("word", "name")
 
 

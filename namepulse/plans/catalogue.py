@@ -51,7 +51,7 @@ def clock(when: Column) -> Column:
 
 @query
 def scan_records(spark, sf_dir):
-    records = batch.scan_records(spark, feed.feed_files(spark, sf_dir) + "/month=*")
+    records = batch.scan_records(spark, feed.feed_files(spark, sf_dir))
     day = F.coalesce(fields.day_text(F.col("date")), F.lit("no date"))
     return records.groupBy(day.alias("date")).agg(
         F.count("*").alias("records"), F.count("allNames").alias("with_names")
@@ -60,7 +60,7 @@ def scan_records(spark, sf_dir):
 
 @query
 def scan_lines(spark, sf_dir):
-    lines = batch.scan_lines(spark, feed.feed_files(spark, sf_dir) + "/month=*")
+    lines = batch.scan_lines(spark, feed.feed_files(spark, sf_dir))
     day = F.substring(fields.record_key(F.col("value")), 1, 8)
     return lines.groupBy(day.alias("day")).agg(
         F.count("*").alias("lines"),
@@ -72,8 +72,14 @@ def scan_lines(spark, sf_dir):
 def scan_multi_path(spark, sf_dir):
     root = feed.feed_files(spark, sf_dir)
     # A year, three years, nine single months, three single months, two years.
-    globs = ("1995*", "199[6-8]*", "19990[1-9]", "19991[0-2]", "200[01]*")
-    records = batch.scan_records(spark, [f"{root}/month={glob}" for glob in globs])
+    globs = (
+        "year=1995",
+        "year=199[6-8]",
+        "year=1999/month=19990[1-9]",
+        "year=1999/month=19991[0-2]",
+        "year=200[01]/month=*",
+    )
+    records = batch.scan_records(spark, [f"{root}/{glob}" for glob in globs])
     month = F.regexp_extract("_metadata.file_path", r"/month=(\d+)/", 1)
     return records.groupBy(month.alias("month")).agg(F.count("*").alias("records"))
 
@@ -116,7 +122,8 @@ def split_fields(spark, sf_dir):
 
 @query
 def filter_field_count(spark, sf_dir):
-    return unpack.read_fields(feed.feed_lines(spark, sf_dir)).select("id", "names")
+    read = unpack.read_fields(feed.feed_lines(spark, sf_dir))
+    return read.where("names IS NOT NULL").select("id", "names")
 
 
 @query
@@ -128,9 +135,8 @@ def filter_names_present(spark, sf_dir):
 @query
 def parse_date(spark, sf_dir):
     when = fields.record_time(F.col("raw_date"))
-    return unpack.read_fields(feed.feed_lines(spark, sf_dir)).select(
-        "id", F.coalesce(fields.day_text(when), F.lit("not a date")).alias("day")
-    )
+    read = unpack.read_fields(feed.feed_lines(spark, sf_dir)).where("names IS NOT NULL")
+    return read.select("id", F.coalesce(fields.day_text(when), F.lit("not a date")).alias("day"))
 
 
 @query
@@ -243,7 +249,7 @@ def daily_topk(spark, sf_dir):
 
 @query
 def daily_topk_of_records(spark, sf_dir):
-    records = batch.scan_records(spark, feed.feed_files(spark, sf_dir) + "/month=*")
+    records = batch.scan_records(spark, feed.feed_files(spark, sf_dir))
     return _by_day(daily.top_names_of_records(records, stop=feed.FEED_STOP))
 
 
@@ -347,7 +353,7 @@ def segment_start(spark, sf_dir):
 def _spread(spark, sf_dir):
     root = feed.segment_files(spark, sf_dir)
     return replay.spread_timestamps(
-        segments.segment_lines(spark, f"{root}/segment=*", feed.SEGMENT_PATTERN)
+        segments.segment_lines(spark, root, feed.SEGMENT_PATTERN)
     )
 
 

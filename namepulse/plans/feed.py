@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from namepulse import schema as S
 from namepulse.functions.timegrid import quarter_floor, segment_name
 from namepulse.session import new_folder
+from namepulse.sources.batch import scan_lines
 
 # Stop list of the catalogue: the standing one and two part names.
 FEED_STOP = (*S.STOP_NAMES, "small ring", "hot gear")
@@ -31,33 +32,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as raw lines, scanned from its files."""
+    return scan_lines(spark, feed_files(spark, sf_dir))
+
+
+def pack_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value, shipped): the feed as raw lines, and the day to file them under."""
     items = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
     n = F.col("l_linenumber")
     entry = lambda name, offset: F.concat(name, F.lit(f",{offset}"))
-    three = F.concat_ws(
-        ";", entry(F.col("p_name"), 1), entry(F.col("p_brand"), 2), entry(F.col("p_type"), 3)
+    stamp = F.date_format("l_shipdate", S.RECORD_TIME_FORMAT)
+    # One select per step: Spark then works each expression out once a row.
+    joined = items.join(parts, items["l_partkey"] == parts["p_partkey"]).select(
+        n.alias("n"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+        F.col("l_shipdate").alias("shipped"),
+        (F.col("l_orderkey") * 8 + n).alias("sequence"),
+        stamp.alias("stamp"),
+        entry(F.col("p_name"), 1).alias("first"),
+        entry(F.col("p_brand"), 2).alias("second"),
+        entry(F.col("p_type"), 3).alias("third"),
+    )
+    n, stamp = F.col("n"), F.col("stamp")
+    tail = (
+        F.when(n == 2, F.lit("Read Full,9")).when(n == 3, F.lit(";")).otherwise(F.lit(None))
     )
     names = (
-        F.when(n == 2, F.concat(three, F.lit(";Read Full,9")))
-        .when(n == 3, F.concat(three, F.lit(";;")))
-        .when(n == 4, F.concat(entry(F.col("p_name"), 1), F.lit(";;"), entry(F.col("p_brand"), 2)))
-        .when(n == 5, entry(F.col("p_name"), 1))
+        F.when(n == 4, F.concat_ws(";", "first", F.lit(""), "second"))
+        .when(n == 5, F.col("first"))
         .when(n == 6, F.lit(""))
-        .otherwise(three)
+        .otherwise(F.concat_ws(";", "first", "second", "third", tail))
     )
-    stamp = F.date_format("l_shipdate", S.RECORD_TIME_FORMAT)
-    flawed = F.when(n == 7, F.concat(F.substring(stamp, 1, 4), F.lit("13"), F.substring(stamp, 7, 8)))
-    sequence = F.col("l_orderkey") * 8 + n
-    full = pack_line(F.concat_ws("-", stamp, sequence), flawed.otherwise(stamp), names)
-    value = (
-        F.when(n == 5, F.substring_index(full, S.FIELD_SEPARATOR, 24))
-        .when((n == 6) & (F.col("l_returnflag") == "R"), F.substring_index(full, S.FIELD_SEPARATOR, 23))
-        .otherwise(full)
+    flawed = F.concat(F.substring(stamp, 1, 4), F.lit("13"), F.substring(stamp, 7, 8))
+    packed = joined.select(
+        "shipped",
+        F.when(n == 5, 24)
+        .when((n == 6) & F.col("returned"), 23)
+        .otherwise(S.N_FIELDS)
+        .alias("fields"),
+        pack_line(
+            F.concat_ws("-", stamp, "sequence"), F.when(n == 7, flawed).otherwise(stamp), names
+        ).alias("line"),
     )
-    return items.join(parts, items["l_partkey"] == parts["p_partkey"]).select(
-        value.alias("value"), F.col("l_shipdate").alias("shipped")
+    return packed.select(
+        F.call_function(
+            "substring_index", "line", F.lit(S.FIELD_SEPARATOR), F.col("fields")
+        ).alias("value"),
+        "shipped",
     )
 
 
@@ -69,14 +91,16 @@ def pack_line(record_id: Column, stamp: Column, names: Column) -> Column:
 
 
 def feed_files(spark: SparkSession, sf_dir: str) -> str:
-    """The feed as text files in month folders; the folder that holds them."""
+    """The feed as text files in year and month folders; the folder above."""
 
     def write(path: str) -> None:
-        months = feed_lines(spark, sf_dir).select(
-            "value", F.date_format("shipped", "yyyyMM").alias("month")
+        months = pack_feed(spark, sf_dir).select(
+            "value",
+            F.date_format("shipped", "yyyy").alias("year"),
+            F.date_format("shipped", "yyyyMM").alias("month"),
         )
         # Rebalancing keeps files near one size: a large month is split.
-        months.hint("rebalance", "month").write.partitionBy("month").text(path)
+        months.hint("rebalance", "month").write.partitionBy("year", "month").text(path)
 
     return once(spark, sf_dir, "feed", write)
 
@@ -106,14 +130,20 @@ def segment_files(spark: SparkSession, sf_dir: str) -> str:
     """Events as one folder of lines per segment, in ``event_id`` order."""
 
     def write(path: str) -> None:
-        order = ["segment", "event_id"]
+        order = ["day", "hour", "segment", "event_id"]
         (
             event_lines(spark, sf_dir)
-            .select("value", "event_id", segment_name(quarter_floor(F.col("ts"))).alias("segment"))
-            .repartitionByRange(*order)
+            .select(
+                "value",
+                F.date_format("ts", "yyyyMMdd").alias("day"),
+                F.date_format("ts", "HH").alias("hour"),
+                segment_name(quarter_floor(F.col("ts"))).alias("segment"),
+                "event_id",
+            )
+            .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order)
             .sortWithinPartitions(*order)
             .drop("event_id")
-            .write.partitionBy("segment")
+            .write.partitionBy("day", "hour", "segment")
             .text(path)
         )
 

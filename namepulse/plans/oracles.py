@@ -116,10 +116,10 @@ FROM s"""
 
 def _last_hour(ts: str) -> str:
     return f"""
-WITH s AS (SELECT event_type AS name, {ts} AS at FROM events)
-SELECT DISTINCT name, epoch_us(at) AS ts_us,
-       count(*) OVER (PARTITION BY name, at) AS n,
-       count(*) OVER (PARTITION BY name ORDER BY at
+WITH s AS (SELECT event_type AS name, {ts} AS moment FROM events)
+SELECT DISTINCT name, epoch_us(moment) AS ts_us,
+       count(*) OVER (PARTITION BY name, moment) AS n,
+       count(*) OVER (PARTITION BY name ORDER BY moment
                       RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS last_hour
 FROM s"""
 
@@ -165,8 +165,8 @@ SELECT event_id,
        CASE WHEN event_type IN ('error', 'signup') THEN 0 ELSE event_id END AS number
 FROM events""",
     "pseudo_key": """
-SELECT event_id, event_type || ';' || epoch_ms(ts) AS key_text, event_type AS name,
-       epoch_ms(ts) AS ts_ms
+SELECT event_id, event_type || ';' || (epoch_us(ts) // 1000) AS key_text, event_type AS name,
+       epoch_us(ts) // 1000 AS ts_ms
 FROM events""",
     "project_ops": _feed("""
 SELECT day, word, "offset", count(*) AS total FROM (
@@ -236,7 +236,7 @@ FROM segments"""),
     "replay_rate": _events(f"""
 SELECT strftime(quarter, {_CLOCK}) AS quarter, queued, seconds, queued // seconds AS rate FROM (
   SELECT quarter, count(*) AS queued,
-         greatest((epoch_ms(quarter + INTERVAL 15 MINUTE) - epoch_ms(min(ts))) // 1000, 1) AS seconds
+         greatest((epoch_us(quarter + INTERVAL 15 MINUTE) // 1000 - epoch_us(min(ts)) // 1000) // 1000, 1) AS seconds
   FROM e GROUP BY quarter)"""),
     "last_key": _events("SELECT name AS topic, arg_max(key, event_id) AS last_key FROM e GROUP BY name"),
     # Counts over time

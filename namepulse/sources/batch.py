@@ -21,13 +21,17 @@ def scan_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .option("sep", S.FIELD_SEPARATOR)
         .option("quote", "")
         .option("timestampFormat", S.RECORD_TIME_FORMAT)
+        .option("recursiveFileLookup", "true")
         .csv([paths] if isinstance(paths, str) else list(paths))
     )
 
 
 def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Raw lines as one column, ``value``."""
-    return spark.read.text([paths] if isinstance(paths, str) else list(paths))
+    """Raw lines as one column, ``value``, from files, folders or globs."""
+    return (
+        spark.read.option("recursiveFileLookup", "true")
+        .text([paths] if isinstance(paths, str) else list(paths))
+    )
 
 
 def paths_from_index(spark: SparkSession, index: str, charset: str = "UTF-16") -> list[str]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from namepulse.functions.fields import record_key
+from namepulse.sources.batch import scan_lines
 
 
 def new_segments(candidates: DataFrame, seen: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def segment_lines(spark: SparkSession, paths, segment_pattern: str) -> DataFrame
     ``value``, ``segment``, ``path``, ``block`` (offset of the input split) and
     ``read_id``, which rises by one from line to line of a split.
     """
-    return spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(
+    return scan_lines(spark, paths).select(
         "value",
         F.regexp_extract("_metadata.file_path", segment_pattern, 1).alias("segment"),
         F.col("_metadata.file_path").alias("path"),

@@ -13,7 +13,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from namepulse.operators.hourly import hour_start_us
 
 _HOUR_US = 3_600_000_000
-_HOUR_MS = 3_600_000
 OUTPUT_DDL = "name string, kind string, at_us bigint, last_hour bigint"
 
 
@@ -59,40 +58,55 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class SweptHours(StatefulProcessor):
-    """Per name: its records in each sweep interval not yet swept away."""
+    """Per name: its records in each sweep interval not yet swept away.
+
+    The state is one short list, read and written once per micro-batch. One
+    timer per name is enough: when it fires, every sweep that is due runs.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.hours = handle.getMapState("hours", "hour_us bigint", "n bigint")
+        self.kept = handle.getValueState("kept", "hours array<bigint>, counts array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        added = pd.concat([part.groupby("hour_us")["n"].sum() for part in rows])
-        touched = {int(hour): int(n) for hour, n in added.groupby(level=0).sum().items()}
-        for hour, n in touched.items():
-            self.hours.updateValue((hour,), (self._count(hour) + n,))
-            self.handle.registerTimer((hour + 2 * _HOUR_US) // 1000)
+        kept = self._load()
+        touched = set()
+        for part in rows:
+            for hour, n in zip(part["hour_us"].tolist(), part["n"].tolist()):
+                kept[hour] = kept.get(hour, 0) + n
+                touched.add(hour)
+        self._save(kept)
         # A late record also raises the count of the interval after its own.
-        after = {hour + _HOUR_US for hour in touched if self._count(hour + _HOUR_US)}
-        shown = sorted(set(touched) | after)
-        yield _output(
-            key[0],
-            "count",
-            shown,
-            [self._count(hour) + self._count(hour - _HOUR_US) for hour in shown],
-        )
+        shown = sorted(touched | {hour + _HOUR_US for hour in touched if hour + _HOUR_US in kept})
+        counts = [kept[hour] + kept.get(hour - _HOUR_US, 0) for hour in shown]
+        yield _output(key[0], "count", shown, counts)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        sweep = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        if self.hours.containsKey((sweep - 2 * _HOUR_US,)):
-            self.hours.removeKey((sweep - 2 * _HOUR_US,))
-        yield _output(key[0], "sweep", [sweep], [self._count(sweep - _HOUR_US)])
+        kept = self._load()
+        reached = timerValues.getCurrentWatermarkInMs() * 1000
+        due = sorted(hour for hour in kept if hour + 2 * _HOUR_US <= reached)
+        remaining = [kept.get(hour + _HOUR_US, 0) for hour in due]
+        for hour in due:
+            del kept[hour]
+        self._save(kept)
+        yield _output(key[0], "sweep", [hour + 2 * _HOUR_US for hour in due], remaining)
 
     def close(self) -> None:
         pass
 
-    def _count(self, hour: int) -> int:
-        value = self.hours.getValue((hour,)) if self.hours.containsKey((hour,)) else None
-        return int(value[0]) if value else 0
+    def _load(self) -> dict[int, int]:
+        if not self.kept.exists():
+            return {}
+        hours, counts = self.kept.get()
+        return dict(zip(hours, counts))
+
+    def _save(self, kept: dict[int, int]) -> None:
+        if not kept:
+            self.kept.clear()
+            return
+        hours = sorted(kept)
+        self.kept.update((hours, [kept[hour] for hour in hours]))
+        self.handle.registerTimer((hours[0] + 2 * _HOUR_US) // 1000)
 
 
 def _output(name: str, kind: str, at: list[int], last_hour: list[int]) -> pd.DataFrame:
