@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from namepulse.operators.position import position_within
+from namepulse.operators.position import LARGEST_GROUP, position_within
 
 _HOUR_US = 3_600_000_000
 _MINUTE_US = 60_000_000
@@ -30,9 +30,11 @@ def count_by_name_ts(records: DataFrame) -> DataFrame:
     return records.groupBy("name", "ts").agg(F.count("*").alias("n"))
 
 
-def running_count(records: DataFrame) -> DataFrame:
+def running_count(records: DataFrame, largest_group: int = LARGEST_GROUP) -> DataFrame:
     """Every record with its name's count so far, itself included."""
-    return position_within(records, ["name"], ["ts", "id"], "running_count")
+    return position_within(
+        records, ["name"], ["ts", "id"], "running_count", largest_group=largest_group
+    )
 
 
 def last_hour_exact(records: DataFrame) -> DataFrame:
@@ -46,17 +48,16 @@ def last_hour_exact(records: DataFrame) -> DataFrame:
     so far within the minute: the passes are per (name, minute), so none is
     longer than a minute has clock ticks or a name has minutes.
     """
-    counts = count_by_name_ts(records).withColumn("at", F.unix_micros("ts"))
-    minute = lambda at: at - F.pmod(at, F.lit(_MINUTE_US))
-    adds = counts.select("name", "at", F.lit(1).alias("kind"), "n", F.col("at").alias("of"))
-    probes = counts.select(
-        "name",
-        (F.col("at") - _HOUR_US).alias("at"),
+    counts = count_by_name_ts(records).withColumn("of", F.unix_micros("ts"))
+    add = F.struct(F.col("of").alias("at"), F.lit(1).alias("kind"), F.col("n").alias("step"))
+    probe = F.struct(
+        (F.col("of") - _HOUR_US).alias("at"),
         F.lit(0).alias("kind"),
-        F.lit(0).cast("bigint").alias("n"),
-        F.col("at").alias("of"),
+        F.lit(0).cast("bigint").alias("step"),
+    )
+    steps = counts.select("name", "of", F.inline(F.array(add, probe))).withColumn(
+        "minute", F.col("at") - F.pmod("at", F.lit(_MINUTE_US))
     )
-    steps = adds.unionByName(probes).withColumn("minute", minute(F.col("at")))
     so_far = (
         Window.partitionBy("name", "minute")
         .orderBy("at", "kind")
@@ -67,19 +68,19 @@ def last_hour_exact(records: DataFrame) -> DataFrame:
     )
     minutes = (
         steps.groupBy("name", "minute")
-        .agg(F.sum("n").alias("_minute_n"))
-        .withColumn("_before", F.coalesce(F.sum("_minute_n").over(earlier), F.lit(0)))
+        .agg(F.sum("step").alias("_steps"))
+        .withColumn("_before", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)))
         .select("name", "minute", "_before")
     )
     totals = (
-        steps.withColumn("_so_far", F.sum("n").over(so_far))
+        steps.withColumn("_so_far", F.sum("step").over(so_far))
         .join(minutes, ["name", "minute"])
         .withColumn("_total", F.col("_so_far") + F.col("_before"))
     )
     return (
         totals.groupBy("name", "of")
         .agg(
-            F.sum("n").alias("n"),
+            F.sum("step").alias("n"),
             F.max(F.when(F.col("kind") == 1, F.col("_total"))).alias("_upto"),
             F.max(F.when(F.col("kind") == 0, F.col("_total"))).alias("_before_hour"),
         )
@@ -101,7 +102,9 @@ def hour_counts(records: DataFrame, phase_minutes: int = 0) -> DataFrame:
     )
 
 
-def last_hour_sweep(records: DataFrame, phase_minutes: int = 0) -> DataFrame:
+def last_hour_sweep(
+    records: DataFrame, phase_minutes: int = 0, largest_group: int = LARGEST_GROUP
+) -> DataFrame:
     """Every record with the count a swept counter shows right after it: the
     name's records of this sweep interval so far, and all of the one before."""
     staged = records.withColumn("hour_us", hour_start_us(F.col("ts"), phase_minutes))
@@ -109,7 +112,12 @@ def last_hour_sweep(records: DataFrame, phase_minutes: int = 0) -> DataFrame:
         "name", (F.col("hour_us") + _HOUR_US).alias("hour_us"), F.col("n").alias("_previous")
     )
     placed = position_within(
-        staged, ["name", "hour_us"], ["ts", "id"], "_place", per_key=previous
+        staged,
+        ["name", "hour_us"],
+        ["ts", "id"],
+        "_place",
+        per_key=previous,
+        largest_group=largest_group,
     )
     return placed.withColumn(
         "last_hour", F.col("_place") + F.coalesce("_previous", F.lit(0))

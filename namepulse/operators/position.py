@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from namepulse.session import settle
 
+# Rows of one key that one task sorts at most; a larger key is cut up.
+LARGEST_GROUP = 5_000_000
+
 
 def position_within(
     df: DataFrame,
@@ -15,18 +20,37 @@ def position_within(
     order: list[str],
     out: str,
     per_key: DataFrame | None = None,
+    largest_group: int = LARGEST_GROUP,
 ) -> DataFrame:
-    """Add ``out``: 1, 2, 3 ... by ``order`` within each ``key``.
+    """Add ``out``: 1, 2, 3 ... by ``order`` within each ``key``. Ties take any
+    order. ``per_key`` holds further columns by key to add to the rows.
+
+    Keys of up to ``largest_group`` rows take ``row_number``: one shuffle. The
+    larger ones, of which there are at most (rows / ``largest_group``), are
+    found by a count first and take :func:`_by_cuts`.
+    """
+    large = settle(
+        df.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > largest_group),
+        "large-keys",
+    ).drop("_n")
+    if large.isEmpty():
+        return _by_window(df, key, order, out, per_key)
+    return _by_window(_match(df, large, key, "left_anti"), key, order, out, per_key).unionByName(
+        _by_cuts(_match(df, large, key, "left_semi"), key, order, out, per_key)
+    )
 
-    What ``row_number`` gives, without gathering a key in one task. Rows are
-    range-partitioned on (key, order), which cuts a large key over as many
-    partitions as it needs, and sorted there; the row id of the sorted
-    partition then gives the place in the cut, and a table of cuts (one row per
-    key and partition) gives the rows in front of it. The sorted rows are
-    settled first, so that both branches see the same cuts. Ties take any order.
 
-    ``per_key`` holds further columns by key, joined on to the table of cuts
-    rather than to the rows.
+def _by_window(df, key, order, out, per_key):
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    placed = df.withColumn(out, place.cast("bigint"))
+    return placed if per_key is None else _match(placed, per_key, key, "left")
+
+
+def _by_cuts(df, key, order, out, per_key):
+    """Range-partition on (key, order), which cuts a key over as many partitions
+    as it needs. The row id in the sorted partition gives the place in the cut,
+    and a table of cuts (one row per key and partition) gives the rows in front
+    of it. The sorted rows are settled, so that both see the same cuts.
     """
     sort = key + order + ["_tie"]
     placed = settle(
@@ -48,10 +72,20 @@ def position_within(
         .drop("_n")
     )
     if per_key is not None:
-        cuts = cuts.join(per_key, key, "left")
+        cuts = _match(cuts, per_key, key, "left")
     place = F.col("_row") - F.col("_first") + F.col("_before") + 1
     return (
-        placed.join(cuts, key + ["_cut"])
+        _match(placed, cuts, key + ["_cut"], "left")
         .withColumn(out, place)
         .drop("_row", "_cut", "_first", "_before")
     )
+
+
+def _match(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
+    """Join on ``key`` with NULL equal to NULL; the key columns come once."""
+    theirs = {name: f"_right_{name}" for name in key}
+    right = right.withColumnsRenamed(theirs)
+    same = reduce(
+        lambda a, b: a & b, [F.col(mine).eqNullSafe(F.col(their)) for mine, their in theirs.items()]
+    )
+    return left.join(right, same, how).drop(*theirs.values())

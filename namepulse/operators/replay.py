@@ -29,7 +29,7 @@ def spread_timestamps(lines: DataFrame) -> DataFrame:
             "position",
             "segment_lines",
             spread_time(
-                segment_start(F.col("first_key")), F.col("position"), F.col("segment_lines")
+                segment_start(F.col("first_minute")), F.col("position"), F.col("segment_lines")
             ).alias("event_ms"),
         )
     )

@@ -268,9 +268,8 @@ def daily_topk_array(spark, sf_dir):
 
 @query
 def daily_topk_padded(spark, sf_dir):
-    # The feed's 64 part names fill every day; six per day leave padding.
-    ranked = _feed_topk(spark, sf_dir)
-    arrays = histogram.topk_array_padded(ranked, 2 * S.DAILY_TOP)
+    # Few days have fewer than ten names; twenty places leave some empty.
+    arrays = histogram.topk_array_padded(_feed_topk(spark, sf_dir), 2 * S.DAILY_TOP)
     flat = arrays.select("date", _positions("topics"))
     return _by_day(
         flat.select(
@@ -420,6 +419,13 @@ def running_count(spark, sf_dir):
     return counted.select(F.col("id").alias("event_id"), "name", "running_count")
 
 
+@query
+def running_count_of_large_names(spark, sf_dir):
+    records = feed.event_records(spark, sf_dir)
+    counted = hourly.running_count(records, largest_group=200)
+    return counted.select(F.col("id").alias("event_id"), "name", "running_count")
+
+
 @query
 def latest_per_name(spark, sf_dir):
     updates = hourly.running_count(feed.event_records(spark, sf_dir, "user_id"))
@@ -449,7 +455,8 @@ def last_hour_sweep(spark, sf_dir):
 
 @query
 def last_hour_sweep_phase(spark, sf_dir):
-    counted = hourly.last_hour_sweep(feed.event_records(spark, sf_dir), phase_minutes=25)
+    records = feed.event_records(spark, sf_dir)
+    counted = hourly.last_hour_sweep(records, phase_minutes=25, largest_group=4)
     return counted.select(F.col("id").alias("event_id"), "name", "last_hour")
 
 

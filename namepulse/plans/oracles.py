@@ -124,6 +124,12 @@ SELECT DISTINCT name, epoch_us(moment) AS ts_us,
 FROM s"""
 
 
+_RUNNING = """
+SELECT event_id, event_type AS name,
+       count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id
+                      ROWS UNBOUNDED PRECEDING) AS running_count
+FROM events"""
+
 _SWEEP_UPDATES = """
 SELECT a.name, a.hour_us + 7200000000 AS sweep_us, coalesce(b.n, 0) AS remaining
 FROM hours a LEFT JOIN hours b ON a.name = b.name AND b.hour_us = a.hour_us + 3600000000"""
@@ -243,11 +249,8 @@ SELECT strftime(quarter, {_CLOCK}) AS quarter, queued, seconds, queued // second
     "count_by_name_ts": """
 SELECT event_type AS name, epoch_us(date_trunc('minute', ts)) AS ts_us, count(*) AS n
 FROM events GROUP BY ALL""",
-    "running_count": """
-SELECT event_id, event_type AS name,
-       count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id
-                      ROWS UNBOUNDED PRECEDING) AS running_count
-FROM events""",
+    "running_count": _RUNNING,
+    "running_count_of_large_names": _RUNNING,
     "latest_per_name": _events("SELECT user AS name, count(*) AS count FROM e GROUP BY user"),
     "last_hour_exact": _last_hour("ts"),
     "last_hour_exact_by_minute": _last_hour("date_trunc('minute', ts)"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from namepulse.functions.fields import record_key
 from namepulse.sources.batch import scan_lines
 
 
@@ -50,14 +49,16 @@ def segment_lines(spark: SparkSession, paths, segment_pattern: str) -> DataFrame
 
 def segment_splits(lines: DataFrame) -> DataFrame:
     """One row per input split: its first read id, the lines before it in its
-    segment, the lines of the whole segment, and the segment's first key.
+    segment, the lines of the whole segment, and the minute its first id names.
 
-    The table grows with the number of splits, not of lines.
+    The table grows with the number of splits, not of lines. The minute is
+    picked as a number, which keeps the count over the lines a hash aggregate.
     """
+    minute = F.substring("value", 1, 12).try_cast("bigint")
     splits = lines.groupBy("segment", "path", "block").agg(
         F.count("*").alias("n"),
         F.min("read_id").alias("first_read_id"),
-        F.min_by(record_key(F.col("value")), "read_id").alias("key"),
+        F.min_by(minute, "read_id").alias("minute"),
     )
     in_order = Window.partitionBy("segment").orderBy("path", "block")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
@@ -69,5 +70,5 @@ def segment_splits(lines: DataFrame) -> DataFrame:
         "first_read_id",
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lines_before"),
         F.sum("n").over(whole).alias("segment_lines"),
-        F.first("key").over(whole).alias("first_key"),
+        F.first("minute").over(whole).cast("string").alias("first_minute"),
     )
