@@ -39,9 +39,14 @@ def paths_from_index(spark: SparkSession, index: str, charset: str = "UTF-16") -
 
     The driver lists every scan path anyway, so the index comes to the driver.
     """
-    text = spark.read.format("binaryFile").load(index)
-    line = F.explode(F.split(F.decode("content", charset), r"\r?\n"))
-    return [row.path for row in text.select(F.trim(line).alias("path")).where("path <> ''").collect()]
+    text = F.decode("content", charset)
+    lines = (
+        spark.read.format("binaryFile")
+        .load(index)
+        .select(F.explode(F.split(text, r"\r?\n")).alias("line"))
+        .select(F.trim("line").alias("path"))
+    )
+    return [row.path for row in lines.where("path <> ''").collect()]
 
 
 def scan_index(spark: SparkSession, index: str, charset: str = "UTF-16") -> DataFrame:
