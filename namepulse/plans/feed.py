@@ -206,3 +206,9 @@ def once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
         write(path)
         _written[key] = path
     return _written[key]
+
+
+def forget(spark: SparkSession, sf_dir: str, *labels: str) -> None:
+    """Let the next use of these tables write them anew."""
+    for label in labels:
+        _written.pop((spark.sparkContext.applicationId, sf_dir, label), None)
