@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from namepulse.operators.position import LARGEST_GROUP, position_within
+from namepulse.operators.position import LARGEST_GROUP, position_within, split_by_size
 
 _HOUR_US = 3_600_000_000
 _MINUTE_US = 60_000_000
+_UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 
 def hour_start_us(ts: Column, phase_minutes: int = 0) -> Column:
@@ -37,32 +38,34 @@ def running_count(records: DataFrame, largest_group: int = LARGEST_GROUP) -> Dat
     )
 
 
-def last_hour_exact(records: DataFrame) -> DataFrame:
+def last_hour_exact(records: DataFrame, largest_group: int = LARGEST_GROUP) -> DataFrame:
     """(name, ts, n, last_hour): for each event time of a name, the records at
     it and those in the hour up to and including it.
 
-    Records are first counted per (name, event time). The hour's count is the
-    running total at ``ts`` less the running total just before ``ts`` minus an
-    hour. Both come from one pass over the counts and over probes placed an
-    hour back. A running total is the total of earlier minutes plus the total
-    so far within the minute: the passes are per (name, minute), so none is
-    longer than a minute has clock ticks or a name has minutes.
+    The hour's count is the running total at ``ts`` less the running total just
+    before ``ts`` minus an hour. Both come from one ordered pass over the counts
+    per event time and over probes placed an hour back. (A sliding RANGE frame
+    would add up the whole hour again for every row.)
     """
-    counts = count_by_name_ts(records).withColumn("of", F.unix_micros("ts"))
-    add = F.struct(F.col("of").alias("at"), F.lit(1).alias("kind"), F.col("n").alias("step"))
-    probe = F.struct(
-        (F.col("of") - _HOUR_US).alias("at"),
-        F.lit(0).alias("kind"),
-        F.lit(0).cast("bigint").alias("step"),
-    )
-    steps = counts.select("name", "of", F.inline(F.array(add, probe))).withColumn(
-        "minute", F.col("at") - F.pmod("at", F.lit(_MINUTE_US))
-    )
-    so_far = (
-        Window.partitionBy("name", "minute")
-        .orderBy("at", "kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    small, large = split_by_size(records, ["name"], largest_group)
+    exact = _exact_by_name(small)
+    return exact if large is None else exact.unionByName(_exact_by_minute(large))
+
+
+def _exact_by_name(records: DataFrame) -> DataFrame:
+    """One shuffle: by name, which serves the counts, the pass and the pairing."""
+    so_far = Window.partitionBy("name").orderBy("at", "kind").rowsBetween(*_UP_TO_HERE)
+    steps = _adds_and_probes(count_by_name_ts(records.repartition("name")))
+    return _last_hour(steps.withColumn("_total", F.sum("step").over(so_far)))
+
+
+def _exact_by_minute(records: DataFrame) -> DataFrame:
+    """A running total as the total of earlier minutes plus the total so far
+    within the minute. Counts per event time come first, so a pass is no longer
+    than a minute has clock ticks, or a name has minutes."""
+    minute = F.col("at") - F.pmod("at", F.lit(_MINUTE_US))
+    steps = _adds_and_probes(count_by_name_ts(records)).withColumn("minute", minute)
+    so_far = Window.partitionBy("name", "minute").orderBy("at", "kind").rowsBetween(*_UP_TO_HERE)
     earlier = (
         Window.partitionBy("name").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -72,11 +75,29 @@ def last_hour_exact(records: DataFrame) -> DataFrame:
         .withColumn("_before", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)))
         .select("name", "minute", "_before")
     )
-    totals = (
+    return _last_hour(
         steps.withColumn("_so_far", F.sum("step").over(so_far))
         .join(minutes, ["name", "minute"])
         .withColumn("_total", F.col("_so_far") + F.col("_before"))
     )
+
+
+def _adds_and_probes(counts: DataFrame) -> DataFrame:
+    """Two steps per count: the count itself at its time (kind 1), and a probe
+    that adds nothing an hour earlier (kind 0), ahead of any count there."""
+    add = F.struct(F.col("of").alias("at"), F.lit(1).alias("kind"), F.col("n").alias("step"))
+    probe = F.struct(
+        (F.col("of") - _HOUR_US).alias("at"),
+        F.lit(0).alias("kind"),
+        F.lit(0).cast("bigint").alias("step"),
+    )
+    return counts.withColumn("of", F.unix_micros("ts")).select(
+        "name", "of", F.inline(F.array(add, probe))
+    )
+
+
+def _last_hour(totals: DataFrame) -> DataFrame:
+    """Pair each count with its probe."""
     return (
         totals.groupBy("name", "of")
         .agg(

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from namepulse.session import settle
 
 # Rows of one key that one task sorts at most; a larger key is cut up.
-LARGEST_GROUP = 5_000_000
+LARGEST_GROUP = 1_000_000
 
 
 def position_within(
@@ -26,18 +26,31 @@ def position_within(
     order. ``per_key`` holds further columns by key to add to the rows.
 
     Keys of up to ``largest_group`` rows take ``row_number``: one shuffle. The
-    larger ones, of which there are at most (rows / ``largest_group``), are
-    found by a count first and take :func:`_by_cuts`.
+    larger ones take :func:`_by_cuts`.
+    """
+    small, large = split_by_size(df, key, largest_group)
+    placed = _by_window(small, key, order, out, per_key)
+    if large is None:
+        return placed
+    return placed.unionByName(_by_cuts(large, key, order, out, per_key))
+
+
+def split_by_size(
+    df: DataFrame, key: list[str], largest_group: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of keys with up to ``largest_group`` rows, and those of larger
+    ones; None where there are no larger ones.
+
+    There are at most (rows / ``largest_group``) large keys. They are counted
+    with a partial aggregate and settled, so both halves go by the same table.
     """
     large = settle(
         df.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > largest_group),
         "large-keys",
     ).drop("_n")
     if large.isEmpty():
-        return _by_window(df, key, order, out, per_key)
-    return _by_window(_match(df, large, key, "left_anti"), key, order, out, per_key).unionByName(
-        _by_cuts(_match(df, large, key, "left_semi"), key, order, out, per_key)
-    )
+        return df, None
+    return _match(df, large, key, "left_anti"), _match(df, large, key, "left_semi")
 
 
 def _by_window(df, key, order, out, per_key):

@@ -441,9 +441,9 @@ def last_hour_exact(spark, sf_dir):
 
 
 @query
-def last_hour_exact_by_minute(spark, sf_dir):
+def last_hour_exact_of_large_names(spark, sf_dir):
     by_minute = feed.event_records(spark, sf_dir).withColumn("ts", F.date_trunc("minute", "ts"))
-    counted = hourly.last_hour_exact(by_minute)
+    counted = hourly.last_hour_exact(by_minute, largest_group=100)
     return counted.select("name", F.unix_micros("ts").alias("ts_us"), "n", "last_hour")
 
 

@@ -253,7 +253,7 @@ FROM events GROUP BY ALL""",
     "running_count_of_large_names": _RUNNING,
     "latest_per_name": _events("SELECT user AS name, count(*) AS count FROM e GROUP BY user"),
     "last_hour_exact": _last_hour("ts"),
-    "last_hour_exact_by_minute": _last_hour("date_trunc('minute', ts)"),
+    "last_hour_exact_of_large_names": _last_hour("date_trunc('minute', ts)"),
     "last_hour_sweep": _sweep("date_trunc('hour', ts)"),
     "last_hour_sweep_phase": _sweep(
         "date_trunc('hour', ts - INTERVAL 25 MINUTE) + INTERVAL 25 MINUTE"

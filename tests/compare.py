@@ -12,6 +12,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+SPARK_TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -28,6 +30,9 @@ def difference(spark_df, con, sql: str) -> str | None:
     expected = result.fetchall()
     if sorted(columns) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} vs {sorted(columns)}"
+    types = {column[0]: SPARK_TYPES.get(str(column[1]), str(column[1])) for column in result.description}
+    if types != dict(spark_df.dtypes):
+        return f"types {dict(spark_df.dtypes)} vs {types}"
     ours = spark_df.select(*columns).collect()
     left = sorted(map(repr, map(tuple, ours)))
     right = sorted(map(repr, expected))

@@ -72,13 +72,16 @@ def test_sweep_equals_simulation(spark, phase, largest):
     )
 
 
-def test_last_hour_counts_equal_times_and_the_hour_edge(spark):
+@pytest.mark.parametrize("largest", [5_000_000, 100, 10])
+def test_last_hour_counts_equal_times_and_the_hour_edge(spark, largest):
     records = random_records(3)
     expected = {}
     for _, ts, name in records:
         mine = [t for _, t, other in records if other == name]
         expected[name, ts] = (mine.count(ts), sum(ts - HOUR <= t <= ts for t in mine))
-    rows = hourly.last_hour_exact(frame(spark, records)).select("name", F.unix_micros("ts").alias("us"), "n", "last_hour")
+    rows = hourly.last_hour_exact(frame(spark, records), largest).select(
+        "name", F.unix_micros("ts").alias("us"), "n", "last_hour"
+    )
     assert {(r.name, r.us): (r.n, r.last_hour) for r in rows.collect()} == {
         (name, micros(ts)): value for (name, ts), value in expected.items()
     }

@@ -62,3 +62,8 @@ def test_sliding_hour_copies_pieces_not_records(spark):
     plan = physical(hourly.sliding_hour(feed.event_records(spark, SF_DIR)))
     assert plan.index("Generate explode(sequence") < plan.rindex("HashAggregate")
     assert "Expand" not in plan
+
+
+def test_last_hour_of_small_names_is_one_shuffle(spark):
+    records = feed.event_records(spark, SF_DIR)
+    assert physical(hourly.last_hour_exact(records)).count("Exchange") == 1
