@@ -659,3 +659,14 @@ def stream_sweep_updates(spark, sf_dir):
     return swept.select(
         "name", F.col("at_us").alias("sweep_us"), F.col("last_hour").alias("remaining")
     )
+
+
+@query
+def stream_last_hour_top(spark, sf_dir):
+    records = _event_stream(spark, sf_dir, "user_id").select("name", "ts")
+    swept = sweep.swept_counts(records, LATENESS)
+    updates = _run(spark, "last-hour", lambda out: sweep.last_hour_updates(swept, out))
+    decoded = stream.update_stream(spark, updates)
+    return top.read_latest_snapshot(
+        spark, _run(spark, "last-hour-top", lambda out: top.live_top(decoded, out))
+    )

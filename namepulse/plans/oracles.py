@@ -312,6 +312,19 @@ SELECT strftime(window_end, {_CLOCK}) AS window_end,
        row_number() OVER (PARTITION BY window_end ORDER BY n DESC, name) AS rn, name, n
 FROM windows WHERE window_end <= (SELECT watermark FROM closing)
 QUALIFY rn <= 10"""),
+    "stream_last_hour_top": _events("""
+, user_hours AS (SELECT user AS name, hour_us, count(*) AS n FROM e GROUP BY ALL
+), states AS (
+  SELECT a.name, a.hour_us AS at_us, 1 AS kind, a.n + coalesce(b.n, 0) AS count
+  FROM user_hours a LEFT JOIN user_hours b ON a.name = b.name AND b.hour_us = a.hour_us - 3600000000
+  UNION ALL
+  SELECT a.name, a.hour_us + 7200000000, 0, coalesce(b.n, 0)
+  FROM user_hours a LEFT JOIN user_hours b ON a.name = b.name AND b.hour_us = a.hour_us + 3600000000
+  WHERE a.hour_us + 7200000000 <= (SELECT epoch_us(watermark) FROM closing)
+)
+SELECT name, count FROM (
+  SELECT name, arg_max(count, at_us * 2 + kind) AS count FROM states GROUP BY name)
+WHERE count > 0 ORDER BY count DESC, name LIMIT 100"""),
     "stream_last_hour_sweep": _BY_INTERVAL,
     "stream_sweep_updates": _events(f"""
 SELECT * FROM ({_SWEEP_UPDATES})

@@ -8,9 +8,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from namepulse.functions.codec import encode_count
 from namepulse.operators.hourly import hour_start_us
+from namepulse.streaming.run import batch_folder
 
 _HOUR_US = 3_600_000_000
 OUTPUT_DDL = "name string, kind string, at_us bigint, last_hour bigint"
@@ -45,6 +48,26 @@ def swept_counts(
     )
 
 
+def last_hour_updates(swept: DataFrame, root: str) -> DataStreamWriter:
+    """Write :func:`swept_counts` as a table of updates (key, value, seq).
+
+    ``seq`` puts a name's rows in event order: by minute, a sweep before the
+    counts of the interval it opens, and then by micro-batch. The row with the
+    largest ``seq`` is the name's count now.
+    """
+    minutes = F.call_function("div", F.col("at_us"), F.lit(60_000_000))
+    place = minutes * 2 + F.when(F.col("kind") == "count", 1).otherwise(0)
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        batch.select(
+            F.col("name").alias("key"),
+            encode_count(F.col("last_hour")).alias("value"),
+            (F.shiftleft(place, 36) + F.lit(batch_id)).alias("seq"),
+        ).write.mode("overwrite").parquet(batch_folder(root, batch_id))
+
+    return swept.writeStream.outputMode("update").foreachBatch(body)
+
+
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums = (

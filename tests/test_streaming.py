@@ -197,20 +197,41 @@ def raw_records(rows):
 def test_running_top_job_catches_up(spark, folder):
     for rows in SLICES[:2]:
         add(spark, f"{folder}/in", raw_records(rows), stream.RECORD_STREAM_DDL)
-        live_plan.catch_up_running_top(
-            spark, stream.record_stream(spark, f"{folder}/in"), f"{folder}/job"
-        )
+        records = stream.record_stream(spark, f"{folder}/in")
+        updates = live_plan.running_updates(records, f"{folder}/job")
+        live_plan.catch_up_top(spark, updates, f"{folder}/job")
     names = spark.createDataFrame(SLICES[0] + SLICES[1], RECORD_DDL)
     assert rows_of(top.read_latest_snapshot(spark, f"{folder}/job/top")) == rows_of(
         live.top_names(live.name_counts(names))
     )
 
 
+def test_last_hour_top_job_forgets_silent_names(spark, folder):
+    at = lambda minutes: START + dt.timedelta(minutes=minutes)
+    slices = [
+        [(1, at(10), "early"), (2, at(20), "early"), (3, at(50), "steady")],
+        [(4, at(130), "steady"), (5, at(140), "late"), (6, at(190), "late")],
+        [(7, at(250), "late")],
+    ]
+    expected = [
+        {"early": 2, "steady": 1},
+        {"steady": 1, "late": 2},
+        {"late": 2},
+    ]
+    for rows, names in zip(slices, expected):
+        add(spark, f"{folder}/in", raw_records(rows), stream.RECORD_STREAM_DDL)
+        records = stream.record_stream(spark, f"{folder}/in")
+        updates = live_plan.last_hour_of_records(records, f"{folder}/job", "10 minutes")
+        live_plan.catch_up_top(spark, updates, f"{folder}/job")
+        got = {r["name"]: r["count"] for r in top.read_latest_snapshot(spark, f"{folder}/job/top").collect()}
+        assert got == names
+
+
 def test_running_top_job_runs_live(spark, folder):
     add(spark, f"{folder}/in", raw_records(SLICES[0]), stream.RECORD_STREAM_DDL)
-    queries = live_plan.start_running_top(
-        spark, stream.record_stream(spark, f"{folder}/in"), f"{folder}/job"
-    )
+    records = stream.record_stream(spark, f"{folder}/in")
+    updates = live_plan.running_updates(records, f"{folder}/job")
+    queries = live_plan.start_top(spark, updates, f"{folder}/job")
     try:
         expected = rows_of(
             live.top_names(live.name_counts(spark.createDataFrame(SLICES[0], RECORD_DDL)))
