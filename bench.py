@@ -36,6 +36,7 @@ HEADLINE = (
     "stream_sliding_hour",
     "stream_window_topk",
     "stream_last_hour_sweep",
+    "stream_last_hour_processor",
 )
 # Runs of these are kept for the other queries of a catalogue; time a new one.
 KEPT_RUNS = ("updates", "live", "swept")

@@ -636,7 +636,25 @@ def stream_window_topk(spark, sf_dir):
     return ranked.withColumn("window_end", clock(F.col("window_end")))
 
 
+@query
+def stream_last_hour_sweep(spark, sf_dir):
+    windows = counts.swept_windows(_event_stream(spark, sf_dir), LATENESS)
+    root = _run(
+        spark, "swept-windows", lambda out: write_batches(windows, out).outputMode("update")
+    )
+    ddl = "name string, at_us bigint, here bigint, remaining bigint, lost bigint"
+    newest = F.max_by(F.struct("here", "remaining"), "batch").alias("newest")
+    final = _written(spark, root, ddl).groupBy("name", "at_us").agg(newest)
+    return final.where("newest.here > 0").select(
+        "name",
+        F.col("at_us").alias("hour_us"),
+        (F.col("newest.here") + F.col("newest.remaining")).alias("last_hour"),
+    )
+
+
 def _swept(spark, sf_dir):
+    """What the stateful processor put out over events by type."""
+
     def write(root):
         records = _event_stream(spark, sf_dir).select("name", "ts")
         writer = write_batches(sweep.swept_counts(records, LATENESS), root).outputMode("update")
@@ -646,7 +664,7 @@ def _swept(spark, sf_dir):
 
 
 @query
-def stream_last_hour_sweep(spark, sf_dir):
+def stream_last_hour_processor(spark, sf_dir):
     counted = _swept(spark, sf_dir).where("kind = 'count'")
     return counted.groupBy("name", F.col("at_us").alias("hour_us")).agg(
         F.max_by("last_hour", "batch").alias("last_hour")

@@ -326,6 +326,7 @@ SELECT name, count FROM (
   SELECT name, arg_max(count, at_us * 2 + kind) AS count FROM states GROUP BY name)
 WHERE count > 0 ORDER BY count DESC, name LIMIT 100"""),
     "stream_last_hour_sweep": _BY_INTERVAL,
+    "stream_last_hour_processor": _BY_INTERVAL,
     "stream_sweep_updates": _events(f"""
 SELECT * FROM ({_SWEEP_UPDATES})
 WHERE sweep_us <= (SELECT epoch_us(watermark) FROM closing)"""),

@@ -61,6 +61,36 @@ def sliding_hour_stream(records: DataFrame, lateness: str = "1 hour") -> DataFra
     )
 
 
+def swept_windows(
+    records: DataFrame, lateness: str = "1 hour", phase_minutes: int = 0
+) -> DataFrame:
+    """(name, at_us, here, remaining, lost): the swept last-hour counter as a
+    window aggregate, for update or append output.
+
+    A row tells, for the sweep at ``at_us`` and the hour after it: ``lost``
+    records that the sweep drops, ``remaining`` ones that it leaves, and those
+    ``here`` since. The counter shows ``remaining`` right after the sweep and
+    ``remaining + here`` at the end. A record is known to be dropped two sweeps
+    on as soon as it arrives, so rows for sweeps to come are there in advance
+    and no timer is needed; and the counts combine before the shuffle.
+    """
+    framed = records.withWatermark("ts", lateness).select(
+        "name", "ts", F.window("ts", "3 hours", "1 hour", f"{phase_minutes} minutes").alias("frame")
+    )
+    sweep = F.col("frame.start") + F.expr("INTERVAL 2 HOURS")
+    hour_before = F.col("frame.start") + F.expr("INTERVAL 1 HOUR")
+    ts = F.col("ts")
+    return (
+        framed.groupBy("frame", "name")
+        .agg(
+            F.count_if(ts >= sweep).alias("here"),
+            F.count_if((ts >= hour_before) & (ts < sweep)).alias("remaining"),
+            F.count_if(ts < hour_before).alias("lost"),
+        )
+        .select("name", F.unix_micros(sweep).alias("at_us"), "here", "remaining", "lost")
+    )
+
+
 def window_topk(windows: DataFrame, root: str, k: int = S.DAILY_TOP) -> DataStreamWriter:
     """The ``k`` largest names of each closed window, to a table under ``root``.
 

@@ -102,6 +102,22 @@ def test_swept_counts_equal_batch_across_restarts(spark, folder, phase):
     assert any("rare1" in row for row in rows_of(reported))
 
 
+@pytest.mark.parametrize("phase", [0, 25])
+def test_swept_windows_equal_batch_when_closed(spark, folder, phase):
+    for rows in SLICES:
+        add(spark, f"{folder}/in", rows)
+        windows = counts.swept_windows(read(spark, f"{folder}/in"), "10 minutes", phase)
+        run_to_end(write_batches(windows, f"{folder}/out").outputMode("append"), f"{folder}/ck")
+    everything = spark.read.parquet(f"{folder}/in")
+    reached = everything.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10, hours=1)
+    closed = F.unix_micros(F.lit(reached))
+    written = spark.read.parquet(f"{folder}/out")
+    counted = hourly.last_hour_by_interval(everything, phase).where(F.col("hour_us") <= closed)
+    assert rows_of(written.where("here > 0").selectExpr("name", "at_us", "here + remaining")) == rows_of(counted)
+    reports = hourly.sweep_updates(everything, phase).where(F.col("sweep_us") <= closed)
+    assert rows_of(written.where("lost > 0").select("name", "at_us", "remaining")) == rows_of(reports)
+
+
 def test_late_records_count_until_swept(spark, folder):
     at = lambda minutes: START + dt.timedelta(minutes=minutes)
     batches = [[(1, at(70), "a"), (2, at(130), "a")], [(3, at(80), "a")]]
