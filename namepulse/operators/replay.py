@@ -52,6 +52,26 @@ def replay_records(spread: DataFrame, seconds: int = SEGMENT_MINUTES * 60) -> Da
     )
 
 
+def replay_messages(replayed: DataFrame) -> DataFrame:
+    """Rows for a Kafka sink: key, value and the event time as a header, which
+    is where ``kafka_records`` looks for it."""
+    event_ms = F.unix_millis("timestamp").cast("string")
+    header = F.struct(F.lit("event_ms").alias("key"), F.encode(event_ms, "UTF-8").alias("value"))
+    return replayed.select("key", "value", F.array(header).alias("headers"))
+
+
+def send_to_kafka(replayed: DataFrame, servers: str, topic: str) -> None:
+    """Send a replay to a topic; needs the Kafka connector on the classpath."""
+    (
+        replay_messages(replayed)
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("includeHeaders", "true")
+        .save()
+    )
+
+
 def last_key(records: DataFrame, offset: str, *by: str) -> DataFrame:
     """Key of the record with the largest offset, per ``by`` or overall; the
     feed's first key where there is no record."""

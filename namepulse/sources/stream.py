@@ -47,15 +47,16 @@ def kafka_records(spark: SparkSession, servers: str, topic: str, **options: str)
     The event time rides in a header named ``event_ms`` where there is one,
     because Spark's Kafka sink cannot set a message's own timestamp.
     """
+    return from_messages(_kafka(spark, servers, topic, {"includeHeaders": "true", **options}))
+
+
+def from_messages(messages: DataFrame) -> DataFrame:
     sent = F.filter("headers", lambda h: h["key"] == "event_ms")
     millis = F.get(sent, F.lit(0))["value"].cast("string").try_cast("bigint")
-    return (
-        _kafka(spark, servers, topic, {"includeHeaders": "true", **options})
-        .select(
-            F.col("key").cast("string").alias("key"),
-            F.col("value").cast("string").alias("value"),
-            F.coalesce(F.timestamp_millis(millis), F.col("timestamp")).alias("timestamp"),
-        )
+    return messages.select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        F.coalesce(F.timestamp_millis(millis), F.col("timestamp")).alias("timestamp"),
     )
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from namepulse.operators import histogram, hourly, live, unpack
+from namepulse.operators import histogram, hourly, live, replay, unpack
 from namepulse.plans import live as live_plan
 from namepulse.sources import stream
 from namepulse.streaming import counts, sweep, top
@@ -279,3 +279,19 @@ def test_kafka_source_asks_for_its_connector(spark):
         stream.kafka_records(spark, "host:9092", "topic")
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         stream.kafka_updates(spark, "host:9092", "topic")
+
+
+def test_event_time_travels_in_a_message_header(spark):
+    sent = replay.replay_messages(spark.createDataFrame([("k", "v", START)], stream.RECORD_STREAM_DDL))
+    arrived = START + dt.timedelta(hours=5)
+    received = sent.select(
+        F.encode("key", "UTF-8").alias("key"),
+        F.encode("value", "UTF-8").alias("value"),
+        F.lit(arrived).alias("timestamp"),
+        "headers",
+    )
+    bare = received.withColumn("headers", F.lit(None).cast("array<struct<key:string,value:binary>>"))
+    times = lambda df: [(r.key, r.value, r.us) for r in stream.from_messages(df).select("key", "value", F.unix_micros("timestamp").alias("us")).collect()]
+    micros = lambda when: int(when.timestamp() * 1_000_000)
+    assert times(received) == [("k", "v", micros(START))]
+    assert times(bare) == [("k", "v", micros(arrived))]
