@@ -16,7 +16,7 @@ from namepulse.functions import codec, fields, timegrid
 from namepulse.functions import names as packed
 from namepulse.operators import histogram, hourly, live, replay, unpack
 from namepulse.plans import daily, feed
-from namepulse.session import new_folder
+from namepulse.session import new_folder, settings
 from namepulse.sources import batch, segments, stream
 from namepulse.streaming import counts, sweep, top
 from namepulse.streaming.run import run_to_end, write_batches
@@ -526,10 +526,18 @@ def _line_stream(spark, sf_dir):
     return stream.record_stream(spark, *feed.record_stream_files(spark, sf_dir))
 
 
+def _run_to_end(spark, writer, checkpoint):
+    """Run a stream to its end with one state partition per core. (Batch sizes
+    its partitions as it goes; a stream keeps the number it starts with.)"""
+    cores = str(spark.sparkContext.defaultParallelism)
+    with settings(spark, {"spark.sql.shuffle.partitions": cores}):
+        run_to_end(writer, checkpoint)
+
+
 def _run(spark, label, build):
-    """Run a stream to its end; ``build`` gets the folder it writes under."""
+    """The folder a stream has written; ``build`` gets it and gives the stream."""
     root = new_folder(spark, label)
-    run_to_end(build(root), f"{root}-checkpoint")
+    _run_to_end(spark, build(root), f"{root}-checkpoint")
     return root
 
 
@@ -562,7 +570,7 @@ def _updates(spark, sf_dir):
 
     def write(root):
         records = _event_stream(spark, sf_dir, "user_id")
-        run_to_end(counts.count_updates(records, root), f"{root}-checkpoint")
+        _run_to_end(spark, counts.count_updates(records, root), f"{root}-checkpoint")
 
     return feed.once(spark, sf_dir, "updates", write)
 
@@ -577,7 +585,7 @@ def _live(spark, sf_dir):
     def write(root):
         for number in range(3):
             updates = stream.update_stream(spark, f"{_updates(spark, sf_dir)}/batch=[0-{number}]")
-            run_to_end(top.live_top(updates, root), f"{root}-checkpoint")
+            _run_to_end(spark, top.live_top(updates, root), f"{root}-checkpoint")
 
     return feed.once(spark, sf_dir, "live", write)
 
@@ -658,7 +666,7 @@ def _swept(spark, sf_dir):
     def write(root):
         records = _event_stream(spark, sf_dir).select("name", "ts")
         writer = write_batches(sweep.swept_counts(records, LATENESS), root).outputMode("update")
-        run_to_end(writer, f"{root}-checkpoint")
+        _run_to_end(spark, writer, f"{root}-checkpoint")
 
     return _written(spark, feed.once(spark, sf_dir, "swept", write), sweep.OUTPUT_DDL)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -15,6 +17,10 @@ from namepulse.functions.codec import encode_count
 from namepulse.operators.hourly import hour_start_us
 from namepulse.streaming.run import batch_folder
 
+# Send this module's code to the Python workers along with the query, so that
+# they run it without the package being installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _HOUR_US = 3_600_000_000
 OUTPUT_DDL = "name string, kind string, at_us bigint, last_hour bigint"
 
