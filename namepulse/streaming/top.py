@@ -16,7 +16,9 @@ from namepulse.operators.live import (
 )
 from namepulse.streaming.run import batch_folder
 
-SNAPSHOT_DDL = "name string, count bigint"
+ENTRY_DDL = "name string, count bigint"
+SNAPSHOT_DDL = "batch bigint, top array<struct<name: string, count: bigint>>"
+SLOTS = 16
 
 
 def live_top(updates: DataFrame, root: str, k: int = S.LIVE_TOP) -> DataStreamWriter:
@@ -53,25 +55,27 @@ def rising_top(records: DataFrame, root: str, k: int = S.LIVE_TOP) -> DataStream
 
 
 def read_snapshot(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """The list after a micro-batch; empty before the first."""
-    empty = spark.createDataFrame([], SNAPSHOT_DDL)
+    """The list after a recent micro-batch; empty before the first."""
     if batch_id < 0:
-        return empty
-    return spark.read.schema(SNAPSHOT_DDL).parquet(
-        batch_folder(f"{root}/snapshot", batch_id)
-    )
+        return spark.createDataFrame([], ENTRY_DDL)
+    snapshot = spark.read.schema(SNAPSHOT_DDL).parquet(_slot(root, batch_id))
+    return snapshot.where(F.col("batch") == batch_id).select(F.inline("top"))
 
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """What a new reader gets: the list as of the newest micro-batch."""
-    snapshots = spark.read.schema(SNAPSHOT_DDL + ", batch bigint").parquet(f"{root}/snapshot")
-    newest = snapshots.agg(F.max("batch")).scalar()
-    return snapshots.where(F.col("batch") == newest).select("name", "count")
+    """What a new reader gets: the list as of the newest micro-batch. A slot
+    that is being rewritten is passed over; it holds the oldest list."""
+    snapshots = (
+        spark.read.schema(SNAPSHOT_DDL)
+        .option("ignoreMissingFiles", "true")
+        .parquet(f"{root}/snapshot/slot=*")
+    )
+    return snapshots.agg(F.max_by("top", "batch").alias("top")).select(F.inline("top"))
 
 
 def read_deltas(spark: SparkSession, root: str) -> DataFrame:
     """(batch, name, count) of every change so far; count 0 is "gone"."""
-    return spark.read.schema(SNAPSHOT_DDL + ", batch bigint").parquet(f"{root}/delta")
+    return spark.read.schema(ENTRY_DDL + ", batch bigint").parquet(f"{root}/delta")
 
 
 def read_messages(spark: SparkSession, root: str) -> DataFrame:
@@ -80,9 +84,22 @@ def read_messages(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _publish(top: DataFrame, root: str, batch_id: int) -> None:
+    """Write a micro-batch's list and what changed since the one before.
+
+    Lists go round a fixed number of slots, one row each (a list is short, and
+    an empty one is a row too). The slot before is left alone, so a micro-batch
+    that runs again finds what it found the first time.
+    """
     spark = top.sparkSession
-    top.write.mode("overwrite").parquet(batch_folder(f"{root}/snapshot", batch_id))
+    entries = F.collect_list(F.struct("name", "count")).alias("top")
+    top.agg(entries).select(F.lit(batch_id).cast("bigint").alias("batch"), "top").write.mode(
+        "overwrite"
+    ).parquet(_slot(root, batch_id))
     change = topk_delta(
         read_snapshot(spark, root, batch_id - 1), read_snapshot(spark, root, batch_id)
     )
     change.write.mode("overwrite").parquet(batch_folder(f"{root}/delta", batch_id))
+
+
+def _slot(root: str, batch_id: int) -> str:
+    return f"{root}/snapshot/slot={batch_id % SLOTS}"

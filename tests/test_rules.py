@@ -24,7 +24,9 @@ def test_daily_counts_keep_empty(spark):
 def test_typed_scan_counts_the_same(spark, folder):
     frame(spark).write.text(f"{folder}/lines")
     records = scan_records(spark, f"{folder}/lines")
-    assert len(records.columns) == 27
+    types = [kind for _, kind in records.dtypes]
+    assert types == ["string", "timestamp", "int"] + ["string"] * 24
+    assert (records.columns[0], records.columns[23]) == ("id", "allNames")
     words = unpack.explode_names(unpack.dated_names_of_records(records))
     assert counted(words) == DAILY
 

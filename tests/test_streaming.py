@@ -181,6 +181,20 @@ def test_live_top_follows_falling_counts(spark, folder):
     assert top.read_messages(spark, f"{folder}/top").count() == number + 1
 
 
+def test_snapshots_go_round_their_slots(spark, folder, monkeypatch):
+    monkeypatch.setattr(top, "SLOTS", 2)
+    entry = lambda rows: spark.createDataFrame(rows, top.ENTRY_DDL)
+    lists = [[("a", 1)], [("a", 2), ("b", 1)], []]
+    for number, rows in enumerate(lists):
+        for _ in range(2):  # the second run of a micro-batch changes nothing
+            top._publish(entry(rows), folder, number)
+            assert rows_of(top.read_latest_snapshot(spark, folder)) == rows_of(entry(rows))
+    assert len(os.listdir(f"{folder}/snapshot")) == 2
+    assert rows_of(top.read_deltas(spark, folder).select("batch", "name", "count")) == [
+        "(0, 'a', 1)", "(1, 'a', 2)", "(1, 'b', 1)", "(2, 'a', 0)", "(2, 'b', 0)"
+    ]
+
+
 def test_rising_top_equals_batch(spark, folder):
     for rows in SLICES:
         add(spark, f"{folder}/in", rows)
