@@ -98,7 +98,8 @@ def _publish(top: DataFrame, root: str, batch_id: int) -> None:
     change = topk_delta(
         read_snapshot(spark, root, batch_id - 1), read_snapshot(spark, root, batch_id)
     )
-    change.write.mode("overwrite").parquet(batch_folder(f"{root}/delta", batch_id))
+    # At most two lists long: one small file.
+    change.coalesce(1).write.mode("overwrite").parquet(batch_folder(f"{root}/delta", batch_id))
 
 
 def _slot(root: str, batch_id: int) -> str:
