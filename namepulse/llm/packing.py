@@ -27,7 +27,7 @@ from namepulse.llm.tables import settle, workers
 
 WINDOW = 4096
 ID = np.dtype("<u4")
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_500_000
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -48,26 +48,31 @@ class WordIds(dict):
     """From a word's bytes to its packed ids; a bounded cache before the tokenizer.
 
     The tokenizer drops white space and never joins what white space parts, so
-    a text's ids are its words' ids in order.
+    a text's ids are its words' ids in order. A full cache becomes the old one,
+    from which words in use move back, so frequent words stay.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = CACHED_WORDS):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.most, self.old = most, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.setdefault(word, self.old[word])
 
     def __call__(self, text: bytes) -> bytes:
         words = text.split()
-        new = list(set(words) - self.keys())
-        if len(self) + len(new) > CACHED_WORDS:
+        if len(self) > self.most // 2:
+            self.old = dict(self)
             self.clear()
-            new = list(set(words))
+        new = [w for w in set(words) if w not in self and w not in self.old]
         for at in range(0, len(new), 10_000):
             some = new[at : at + 10_000]
-            coded = self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
             self.update((w, np.array(c.ids, ID).tobytes()) for w, c in zip(some, coded, strict=True))
         return b"".join(map(self.__getitem__, words))
 
