@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namepulse.llm import packing
+from namepulse.llm import packing, quality
 from namepulse.llm.tables import documents
 
 
@@ -20,8 +20,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_tokens(documents(spark, sf_dir), tokenizer_file())
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
