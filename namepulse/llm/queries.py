@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namepulse.llm import packing, quality
+from namepulse.llm import linededup, packing, quality
 from namepulse.llm.tables import documents
 
 
@@ -24,9 +24,16 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    index = linededup.build(docs, least=10)
+    return linededup.drop_frequent(index, docs, ["doc_id"]).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
+    "op6_line_dedup": op6_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
