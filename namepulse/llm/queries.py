@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namepulse.llm import linededup, packing, quality
+from namepulse.llm import jaccard, linededup, packing, quality
 from namepulse.llm.tables import documents
 
 
@@ -30,10 +30,15 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_frequent(index, docs, ["doc_id"]).drop("kept_text")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_groups(documents(spark, sf_dir), size=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
     "op6_line_dedup": op6_line_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
