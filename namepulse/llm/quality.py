@@ -219,10 +219,35 @@ def judge(
 
     The estimates are made from the documents that pass the base rule.
     """
-    named = docs.select(F.col(doc).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
-    counts = statistics(named, ["doc_id", "lang", "source"]).withColumn("base_failed", base_failed())
-    stats = settle(counts.withColumns(vector()), "quality-stats")
+    named = docs.select(F.col(doc).alias("doc_id"), *_grouped(lang, source), F.col(text).alias("text"))
+    stats = settle(_with_vector(statistics(named, ["doc_id", "lang", "source"])), "quality-stats")
+    far = _judged(stats, estimates(stats.where("NOT base_failed")), limit)
+    return far.select(F.col("doc_id").alias(doc), *COUNTS, "base_failed", "kept", "distance")
+
+
+def keep_rows(
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", limit: float = LIMIT
+) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, unchanged. Texts are read twice and never shuffled."""
+    carried = [F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)]
+    named = docs.select(*carried, *_grouped(lang, source), F.col(text).alias("text"))
+    stats = _with_vector(statistics(named.select("lang", "source", "text"), ["lang", "source"]))
     estimate = estimates(stats.where("NOT base_failed"))
+    again = _with_vector(statistics(named, [c for c in named.columns if c != "text"]))
+    kept = _judged(again, estimate, limit).where("kept")
+    return kept.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
+def _grouped(lang: str, source: str) -> list[Column]:
+    return [F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source")]
+
+
+def _with_vector(counts: DataFrame) -> DataFrame:
+    return counts.withColumns(vector() | {"base_failed": base_failed()})
+
+
+def _judged(stats: DataFrame, estimate: DataFrame, limit: float) -> DataFrame:
+    """With the distance from the closest estimate there is: group, language or whole table."""
     far = stats
     for level, on in enumerate((["lang", "source"], ["lang"], [])):
         own = estimate.where(F.col("key.level") == level)
@@ -237,5 +262,4 @@ def judge(
             far = far.join(F.broadcast(own.limit(1)), F.lit(True), "left")
     chosen = F.coalesce("level_0", "level_1", "level_2")
     far = far.withColumns({"mean": chosen["mean"], "inverse": chosen["inverse"]}).withColumn("distance", distance())
-    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit)
-    return far.select(F.col("doc_id").alias(doc), *COUNTS, "base_failed", kept.alias("kept"), "distance")
+    return far.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= limit))

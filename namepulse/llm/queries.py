@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from namepulse.llm import decontam, jaccard, linededup, packing, quality
+from namepulse.llm import decontam, jaccard, linededup, packing, ppm, quality
 from namepulse.llm.tables import documents
 
 
@@ -38,11 +38,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+def op8_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_ppm": op8_ppm,
     "op10_decontamination": op10_decontamination,
 }
 
