@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from namepulse.llm import text as tx
 from namepulse.llm.tables import settle, workers
 
-ORDER = 4
+ORDER = 5
 BITS = 9
 END = 256
 ALPHABET = 257
