@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from namepulse.llm import decontam, jaccard, langid, licenses, linededup, packing, ppm, quality, replytrees
+from namepulse.llm import decontam, jaccard, langid, licenses, linededup, packing, ppm, quality, replytrees, suffixes
 from namepulse.llm.tables import documents
 
 
@@ -73,6 +73,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir, "pages"), documents(spark, sf_dir))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.drop_repeats(documents(spark, sf_dir), length=400, with_text=False).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_ppm": op8_ppm,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
