@@ -15,11 +15,13 @@ change of level are indexed at both. Whether a shingle is frequent comes from
 a count sketch of fixed size over all documents; any answer of the sketch
 keeps the result exact.
 
-Equal sets are one set from the start. Sets that share an entry are first
-compared with the entry's least set only, and links joined to components; then
-come the pairs of an entry that are still in different components. Each pair
-is verified on the whole sets, so no link between different components is
-lost, and a group of copies never gives all its pairs. Shingles are 64-bit
+Equal sets are one set from the start. The sets of an entry are first compared
+with one of them only, another in each round, and links joined to components,
+until few pairs of an entry are in different components; those come last. Every
+pair first meets a bound: 1024 parity bits of two sets differ in no more places
+than the sets do. What is left is verified on the whole sets, so no link
+between different components is lost, and a group of copies never gives all its
+pairs. Shingles are 64-bit
 hashes, compared by 48 bits; a set's number is 64 bits wide.
 
 Null, empty and wordless texts have empty sets and are linked with nothing. A
@@ -47,6 +49,8 @@ _SLAB = (1 << SKETCH_BITS) // _SLABS
 #: Rare shingles to a class of frequent ones in the prefix.
 _PER_CLASS = 8
 _BLOOM_BITS = 23
+#: Rounds of comparing an entry's sets with one of them, at most; none further at so few open pairs to a row.
+ROUNDS, PAIRS_PER_ROW = 6, 4
 
 
 def shingle_sets(chunk: tx.Chunk, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +94,18 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
     return (tx.mix(tokens) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-_SETS = "doc_id long, n long, f1 long, f2 long, slab int, counts binary"
+_SETS = "doc_id long, n long, f1 long, f2 long, bits array<long>, slab int, counts binary"
+_PARITY = 1024
+
+
+def _parities(tokens: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """For each set, bits that say whether an odd number of its shingles fall on a place."""
+    n = len(bounds) - 1
+    own = np.repeat(np.arange(n), np.diff(bounds))
+    places = (tx.mix(tokens ^ np.uint64(0x2545F491)) & np.uint64(_PARITY - 1)).astype(np.int64)
+    odd = np.bincount(own * _PARITY + places, minlength=n * _PARITY) & 1
+    longs = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (_PARITY // 64), pa.int32()), pa.array(longs))
 
 
 def _measure(size: int):
@@ -105,11 +120,11 @@ def _measure(size: int):
                 counts += np.bincount(_slots(tokens), minlength=len(counts))
                 f1, f2 = _set_numbers(tokens, bounds)
                 n = len(f1)
-                rows = [ids.slice(chunk.first, n), *map(tx.column, (np.diff(bounds), f1, f2)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+                rows = [ids.slice(chunk.first, n), *map(tx.column, (np.diff(bounds), f1, f2)), _parities(tokens, bounds), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
                 yield _batch(rows, _SETS)
         blobs = [zlib.compress(counts[i * _SLAB : (i + 1) * _SLAB].astype(np.int64).tobytes(), 1) for i in range(_SLABS)]
         empty = [pa.nulls(_SLABS, pa.int64())] * 4
-        yield _batch([*empty, pa.array(range(_SLABS), pa.int32()), pa.array(blobs, pa.binary())], _SETS)
+        yield _batch([*empty, pa.nulls(_SLABS, pa.list_(pa.int64())), pa.array(range(_SLABS), pa.int32()), pa.array(blobs, pa.binary())], _SETS)
 
     return run
 
@@ -246,12 +261,53 @@ def _verify(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _close(percent: int):
+    """What linked sets ``(n, bits)`` and ``(n2, bits2)`` must satisfy: close sizes, and parities that differ in few places."""
+    sizes = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+    differ = F.aggregate(F.zip_with("bits", "bits2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    return sizes & (differ * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n2")))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that link; whole sets are made for these only."""
+    pairs = settle(pairs, "jaccard-pairs")
+    wanted = pairs.select(F.col("a").alias("f1")).union(pairs.select(F.col("b").alias("f1"))).distinct()
+    firsts = members.join(wanted, "f1").groupBy("f1").agg(F.min("doc_id").alias("doc_id"))
+    made = texts.select(*_spots(), "text").mapInArrow(_sets_of(size, _bloom(firsts)), "f long, tokens binary")
+    sets = settle(made, "jaccard-tokens")
     both = pairs.join(sets.select(F.col("f").alias("a"), F.col("tokens").alias("set_a")), "a")
     both = both.join(sets.select(F.col("f").alias("b"), F.col("tokens").alias("set_b")), "b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long")
 
 
+def _star_pairs(own: DataFrame, parities: DataFrame, round_no: int, percent: int) -> DataFrame:
+    """Each entry's sets with one of them, where components differ."""
+    one = F.min_by(F.struct("f", "n", "component"), F.xxhash64("f", F.lit(round_no))).alias("one")
+    ends = own.groupBy("entry").agg(one, F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    met = own.join(ends.select("entry", "one"), "entry").where("component != one.component")
+    met = met.where(100 * F.least("n", "one.n") >= percent * F.greatest("n", "one.n"))
+    pairs = met.select(F.least("f", "one.f").alias("a"), F.greatest("f", "one.f").alias("b")).distinct()
+    named = lambda c, i: parities.select(F.col("f").alias(c), F.col("n").alias(f"n{i}"), F.col("bits").alias(f"bits{i}"))
+    return pairs.join(named("a", ""), "a").join(named("b", "2"), "b").where(_close(percent)).select("a", "b")
+
+
+def _rest_pairs(own: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """All pairs of an entry whose components differ."""
+    split = own.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    rest = own.join(split.select("entry"), "entry", "left_semi").join(parities.select("f", "bits"), "f")
+    other = rest.select("entry", *(F.col(c).alias(f"{c}2") for c in ("f", "n", "component", "bits")))
+    differ = (rest["entry"] == other["entry"]) & (F.col("f") < F.col("f2")) & (F.col("component") != F.col("component2"))
+    return rest.join(other, differ & _close(percent)).select(F.col("f").alias("a"), F.col("f2").alias("b")).distinct()
+
+
+def _open_pairs(own: DataFrame) -> tuple[int, int]:
+    """How many pairs of an entry are in different components, and how many rows there are."""
+    sizes = own.groupBy("entry", "component").agg(F.count("*").cast("double").alias("n"))
+    sums = sizes.groupBy("entry").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    row = sums.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
 def link_groups(
     docs: DataFrame, *, doc: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, factor: int = 4
 ) -> DataFrame:
@@ -264,36 +320,30 @@ def link_groups(
     texts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     measured = settle(texts.mapInArrow(_measure(size), _SETS), "jaccard-sets")
     packed = _frequent_slots(measured, factor)
-    members = measured.where("slab IS NULL").select("doc_id", "n", "f1", "f2")
+    members = measured.where("slab IS NULL").select("doc_id", "n", "f1", "f2", "bits")
     index = texts.select("text").mapInArrow(_index(size, percent, packed), "entry long, f long, n long")
     index = settle(index, "jaccard-index")
-    shared = index.groupBy("entry").agg(F.min("f").alias("least"), F.max("f").alias("most")).where("least < most")
-    shared = index.join(shared.select("entry", "least"), "entry")
-    shared = settle(shared, "jaccard-shared")
-    sets = _candidate_sets(texts, members, shared, size)
-    stars = shared.where("f > least").select(F.col("least").alias("a"), F.col("f").alias("b")).distinct()
-    links = settle(_verified(stars, sets, percent), "jaccard-stars")
-    groups = components(links, "jaccard")
-    own = shared.select("entry", "f", "n").distinct().join(groups.withColumnRenamed("id", "f"), "f", "left")
-    own = settle(own.select("entry", "f", "n", F.coalesce("component", "f").alias("component")), "jaccard-grouped")
-    split = own.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    rest = own.join(split.select("entry"), "entry", "left_semi")
-    other = rest.select("entry", *(F.col(c).alias(f"{c}2") for c in ("f", "n", "component")))
-    close = (F.col("f") < F.col("f2")) & (F.col("component") != F.col("component2"))
-    close &= 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-    pairs = rest.join(other, "entry").where(close).select(F.col("f").alias("a"), F.col("f2").alias("b")).distinct()
-    links = links.union(settle(_verified(pairs, sets, percent), "jaccard-rest"))
+    shared = index.groupBy("entry").agg(F.min("f").alias("x"), F.max("f").alias("y")).where("x < y")
+    shared = settle(index.join(shared.select("entry"), "entry").distinct(), "jaccard-shared")
+    parities = members.groupBy("f1").agg(F.first("n").alias("n"), F.first("bits").alias("bits")).withColumnRenamed("f1", "f")
+    parities = settle(parities.join(shared.select("f").distinct(), "f"), "jaccard-parities")
+    own, links, open_pairs = shared.withColumn("component", F.col("f")), None, None
+    for round_no in range(ROUNDS):
+        pairs = _star_pairs(own, parities, round_no, percent)
+        found = settle(_verified(pairs, texts, members, size, percent), "jaccard-stars")
+        links = found if links is None else links.union(found)
+        groups = components(links, "jaccard").withColumnRenamed("id", "f")
+        own = shared.join(groups, "f", "left").select("entry", "f", "n", F.coalesce("component", "f").alias("component"))
+        own = settle(own, "jaccard-grouped")
+        before, (open_pairs, rows) = open_pairs, _open_pairs(own)
+        # Go on while it pays: many pairs are open, and the last round closed a good part of them.
+        if open_pairs <= PAIRS_PER_ROW * rows or (before and open_pairs > 0.9 * before):
+            break
+    rest = _verified(_rest_pairs(own, parities, percent), texts, members, size, percent)
+    links = links.union(settle(rest, "jaccard-rest"))
     groups = components(links, "jaccard-all").select(F.col("id").alias("f1"), "component")
-    named = members.join(groups, "f1", "left")
+    named = members.drop("bits").join(groups, "f1", "left")
     named = named.withColumn("group", F.when(F.col("n") > 0, F.coalesce("component", "f1")))
     least = named.where("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
     out = named.join(least, "group", "left")
     return out.select(F.col("doc_id").alias(doc), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _candidate_sets(texts: DataFrame, members: DataFrame, shared: DataFrame, size: int) -> DataFrame:
-    """The sets of one document of each number that shares an entry."""
-    firsts = members.groupBy("f1").agg(F.min("doc_id").alias("doc_id")).withColumnRenamed("f1", "f")
-    bits = _bloom(firsts.join(shared.select("f").distinct(), "f"))
-    marked = texts.select(*_spots(), "text")
-    return settle(marked.mapInArrow(_sets_of(size, bits), "f long, tokens binary"), "jaccard-tokens")
