@@ -173,7 +173,7 @@ def _subtree(order: int, low: tuple[np.ndarray, np.ndarray]):
 
 def _frequent(table: DataFrame, most: int) -> int:
     """The least power of two so that at most ``most`` keys occur that often."""
-    rows = table.groupBy(F.floor(F.log2("n")).alias("power")).count().collect()
+    rows = table.where("n > 0").groupBy(F.floor(F.log2("n")).alias("power")).count().collect()
     kept, floor = 0, 1 << 62
     for row in sorted(rows, key=lambda r: -r.power):
         kept += row["count"]

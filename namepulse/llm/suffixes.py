@@ -29,7 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from namepulse.llm import text as tx
@@ -133,7 +133,7 @@ def _next(column: str, ahead: int, by: Window):
 def _names(symbols: DataFrame, length: int) -> DataFrame:
     """Sampled suffixes with the rank of their name: ``tid, number, rank``."""
     keys = ["name", "name1", "name2"]
-    whole = F.col("step") + F.col("step1") + F.col("size2")
+    whole = F.col("step") + F.col("step1") + F.col("step2")
     # Where the string ends, its name is complete.
     span = F.when(F.col("name2") == 0, F.lit(length)).otherwise(whole).cast("long")
     sample = symbols.where("number % 3 != 0").withColumn("span", span)
@@ -151,46 +151,57 @@ def _names(symbols: DataFrame, length: int) -> DataFrame:
     return sample.select("tid", "number", "rank")
 
 
-def _shared(a: bytes, b: bytes) -> int:
-    """How many names two packed runs share from their start."""
-    x, y = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
+def _shared(runs: pa.ListArray) -> np.ndarray:
+    """How many names each run of a sorted list shares with the next one, from their start."""
+    values, offsets = runs.values.to_numpy(), runs.offsets.to_numpy()
+    sizes = np.diff(offsets)
+    least = np.minimum(sizes[1:], sizes[:-1])
+    out = np.zeros(len(least), np.int32)
+    open_ = np.flatnonzero(least > 0)
+    while len(open_):
+        at = out[open_]
+        open_ = open_[values[offsets[open_] + at] == values[offsets[open_ + 1] + at]]
+        out[open_] += 1
+        open_ = open_[out[open_] < least[open_]]
+    return out
 
 
 def _compare(batches):
     """What neighbours in a sorted list share. A task's first and last row come out as edges too, numbered 0 and 1."""
-    last = first = None
+    first = last = None
     for batch in batches:
-        out = []
-        for row in zip(*(batch.column(c).to_pylist() for c in ("tid", "number", "ahead")), strict=True):
-            if last is None:
-                first = row
-            elif blocks := _shared(last[2], row[2]):
-                out += [(*last[:2], blocks, None), (*row[:2], blocks, None)]
-            last = row
-        yield _reach_batch(out)
+        if not batch.num_rows:
+            continue
+        rows = batch if last is None else pa.concat_batches([last, batch])
+        first = first or batch.slice(0, 1)
+        last = pa.concat_batches([batch.slice(batch.num_rows - 1, 1)])
+        blocks = _shared(rows.column("ahead"))
+        # A row counts with the one before and with the one behind.
+        near = np.zeros(rows.num_rows, np.int32)
+        near[:-1] = blocks
+        near[1:] = np.maximum(near[1:], blocks)
+        yield _reach_batch(rows, near, False)
     if last is not None:
-        yield _reach_batch([(*first[:2], 0, first[2]), (*last[:2], 1, last[2])])
+        yield _reach_batch(first, np.array([0], np.int32), True)
+        yield _reach_batch(last, np.array([1], np.int32), True)
 
 
-def _reach_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else [[]] * 4
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["tid", "number", "blocks", "edge"])
+def _reach_batch(rows: pa.RecordBatch, blocks: np.ndarray, edge: bool) -> pa.RecordBatch:
+    kind = pa.list_(pa.int64())
+    ahead = rows.column("ahead").cast(kind) if edge else pa.nulls(rows.num_rows, kind)
+    return pa.RecordBatch.from_arrays([rows.column("tid"), rows.column("number"), pa.array(blocks), ahead], ["tid", "number", "blocks", "edge"])
 
 
 def _list_reach(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Blocks that each suffix of a list shares with a neighbour: ``tid, number, blocks``."""
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    found = ordered.select("tid", "number", "ahead").mapInArrow(_compare, "tid long, number int, blocks int, edge binary")
+    found = ordered.select("tid", "number", "ahead").mapInArrow(_compare, "tid long, number int, blocks int, edge array<long>")
     found = settle(found.withColumn("part", F.spark_partition_id()), "suffix-reach")
     # Two rows per task: neighbours across the borders of tasks.
     edges = found.where("edge IS NOT NULL").orderBy("part", "blocks").collect()
     more = []
     for a, b in zip(edges[1::2], edges[2::2], strict=False):
-        blocks = _shared(a.edge, b.edge)
+        blocks = int(_shared(pa.array([a.edge, b.edge], pa.list_(pa.int64())))[0])
         more += [(a.tid, a.number, blocks), (b.tid, b.number, blocks)]
     inner = found.where("edge IS NULL").select("tid", "number", "blocks")
     return inner.union(rows.sparkSession.createDataFrame(more, inner.schema))
@@ -199,7 +210,7 @@ def _list_reach(rows: DataFrame, keys: list[str]) -> DataFrame:
 def reaches(symbols: DataFrame, length: int) -> DataFrame:
     """For each suffix the blocks it shares with another one at most, up to ``length`` bytes."""
     by = Window.partitionBy("tid").orderBy("number")
-    wide = symbols.withColumns({f"{c}{i}": _next(c, i, by) for c in ("name", "step", "size") for i in (1, 2)})
+    wide = symbols.withColumns({f"{c}{i}": _next(c, i, by) for c in ("name", "step") for i in (1, 2)})
     # Names of the blocks that the next ``length`` bytes touch, up to the string's end.
     near = Window.partitionBy("tid").orderBy("start").rangeBetween(0, length)
     wide = wide.withColumn("start", F.sum("step").over(by.rowsBetween(Window.unboundedPreceding, -1)))
@@ -207,7 +218,7 @@ def reaches(symbols: DataFrame, length: int) -> DataFrame:
     run = F.filter("near", lambda x, i: x["number"] == F.col("number") + i)
     # A gap ends the run: what lies behind it has a number too large for its place.
     wide = wide.withColumn("ahead", F.transform(run, lambda x: x["name"])).drop("near")
-    wide = settle(wide.withColumn("ahead", _packed(F.col("ahead"))), "suffix-symbols")
+    wide = settle(wide, "suffix-symbols")
     names = _names(wide, length)
     ranked = lambda i: names.select("tid", (F.col("number") - i).alias("number"), F.col("rank").alias(f"rank{i}"))
     join = lambda rows, i: rows.join(ranked(i), ["tid", "number"], "left").na.fill(0, [f"rank{i}"])
@@ -221,12 +232,6 @@ def reaches(symbols: DataFrame, length: int) -> DataFrame:
     return found[0].union(found[1]).union(found[2]).groupBy("tid", "number").agg(F.max("blocks").alias("blocks"))
 
 
-def _packed(names: Column) -> Column:
-    """An array of numbers as little-endian bytes."""
-    hexed = F.array_join(F.transform(names, lambda x: F.lpad(F.hex(x), 16, "0")), "")
-    return F.unhex(hexed)
-
-
 def _spots() -> list:
     return [F.pmod(F.xxhash64("tid", F.lit(s)), F.lit(1 << _BLOOM_BITS)).alias(f"spot_{s}") for s in (1, 2)]
 
