@@ -26,12 +26,17 @@ def _floor_millis(when: Column) -> Column:
 
 
 def segment_start(record_id: Column) -> Column:
-    """Minute named by the first twelve digits of a record id, seconds zero."""
-    return F.try_to_timestamp(F.substring(record_id, 1, 12), F.lit(S.SEGMENT_TIME_FORMAT))
+    """Minute in UTC named by the first twelve digits of a record id, seconds zero."""
+    minute = F.concat(F.substring(record_id, 1, 12), F.lit("+00:00"))
+    return F.try_to_timestamp(minute, F.lit(S.SEGMENT_TIME_FORMAT + "XXX"))
 
 
 def segment_name(start: Column) -> Column:
-    return F.concat(F.date_format(start, S.SEGMENT_TIME_FORMAT), F.lit(S.SEGMENT_SUFFIX))
+    """The segment's file name, in UTC whatever the session's zone: seconds from the epoch on a time without zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    since = F.make_dt_interval(secs=F.unix_seconds(start).cast("decimal(18,6)"))
+    digits = F.regexp_replace((epoch + since).cast("string"), "[^0-9]", "")
+    return F.concat(F.substring(digits, 1, len(S.SEGMENT_TIME_FORMAT)), F.lit(S.SEGMENT_SUFFIX))
 
 
 def segment_list(now: Column, minutes: int = S.LOOKBACK_MINUTES) -> Column:

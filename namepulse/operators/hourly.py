@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from namepulse.operators.position import LARGEST_GROUP, position_within, split_by_size
+from namepulse.operators.position import LARGEST_GROUP, match_keys, position_within, split_by_size
 
 _HOUR_US = 3_600_000_000
 _MINUTE_US = 60_000_000
@@ -77,7 +77,7 @@ def _exact_by_minute(records: DataFrame) -> DataFrame:
     )
     return _last_hour(
         steps.withColumn("_so_far", F.sum("step").over(so_far))
-        .join(minutes, ["name", "minute"])
+        .transform(match_keys, minutes, ["name", "minute"], "inner")
         .withColumn("_total", F.col("_so_far") + F.col("_before"))
     )
 
@@ -170,7 +170,7 @@ def _with_neighbour(counts: DataFrame, distance: int) -> DataFrame:
     other = counts.select(
         "name", (F.col("hour_us") - distance).alias("hour_us"), F.col("n").alias("_other")
     )
-    return counts.join(other, ["name", "hour_us"], "left").withColumn(
+    return match_keys(counts, other, ["name", "hour_us"], "left").withColumn(
         "_other", F.coalesce("_other", F.lit(0))
     )
 

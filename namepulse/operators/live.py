@@ -35,12 +35,14 @@ def topk_minimum(top: DataFrame) -> DataFrame:
 
 def topk_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     """(name, count) of what changed between two top lists; count 0 is "gone"."""
-    old = before.select("name", F.col("count").alias("_old"))
+    old = before.select(F.col("name").alias("_name"), F.col("count").alias("_old"))
     new = after.select("name", F.col("count").alias("_new"))
+    # A NULL name is a name: where the new list has the row, its name counts.
+    name = F.when(F.col("_new").isNull(), F.col("_name")).otherwise(F.col("name"))
     return (
-        old.join(new, "name", "full_outer")
+        old.join(new, F.col("_name").eqNullSafe(F.col("name")), "full_outer")
         .where(~F.col("_old").eqNullSafe(F.col("_new")))
-        .select("name", F.coalesce("_new", F.lit(0)).alias("count"))
+        .select(name.alias("name"), F.coalesce("_new", F.lit(0)).alias("count"))
     )
 
 

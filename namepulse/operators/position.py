@@ -50,13 +50,13 @@ def split_by_size(
     ).drop("_n")
     if large.isEmpty():
         return df, None
-    return _match(df, large, key, "left_anti"), _match(df, large, key, "left_semi")
+    return match_keys(df, large, key, "left_anti"), match_keys(df, large, key, "left_semi")
 
 
 def _by_window(df, key, order, out, per_key):
     place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     placed = df.withColumn(out, place.cast("bigint"))
-    return placed if per_key is None else _match(placed, per_key, key, "left")
+    return placed if per_key is None else match_keys(placed, per_key, key, "left")
 
 
 def _by_cuts(df, key, order, out, per_key):
@@ -85,16 +85,16 @@ def _by_cuts(df, key, order, out, per_key):
         .drop("_n")
     )
     if per_key is not None:
-        cuts = _match(cuts, per_key, key, "left")
+        cuts = match_keys(cuts, per_key, key, "left")
     place = F.col("_row") - F.col("_first") + F.col("_before") + 1
     return (
-        _match(placed, cuts, key + ["_cut"], "left")
+        match_keys(placed, cuts, key + ["_cut"], "left")
         .withColumn(out, place)
         .drop("_row", "_cut", "_first", "_before")
     )
 
 
-def _match(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
+def match_keys(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
     """Join on ``key`` with NULL equal to NULL; the key columns come once."""
     theirs = {name: f"_right_{name}" for name in key}
     right = right.withColumnsRenamed(theirs)

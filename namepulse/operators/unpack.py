@@ -92,7 +92,9 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     names = field(F.col("_parts"), S.NAMES_FIELD)
     reason = (
         F.when(F.size("_parts") <= S.NAMES_FIELD, "short_line")
-        .when(names == "", "no_names")
+        .when(names.rlike(f"^{S.ENTRY_SEPARATOR}*$"), "no_names")
         .when(record_time(field(F.col("_parts"), S.DATE_FIELD)).isNull(), "bad_date")
     )
-    return cut.select("value", reason.alias("reason")).where("reason IS NOT NULL")
+    # No filter on a piece of the line, which would cut it again: no or one row comes out of each.
+    row = F.struct("value", reason.alias("reason"))
+    return cut.select(F.inline(F.when(reason.isNotNull(), F.array(row))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from namepulse.session import ROCKSDB, settings
@@ -20,7 +20,7 @@ def start(
     it, over what is there now and then stop. State is durable either way."""
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with settings(writer._spark, STATE_SETTINGS):
+    with settings(SparkSession.active(), STATE_SETTINGS):
         return writer.start()
 
 
