@@ -37,7 +37,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from namepulse.llm import text as tx
@@ -51,6 +51,8 @@ _PER_CLASS = 8
 _BLOOM_BITS = 23
 #: Rounds of comparing an entry's sets with one of them, at most; none further at so few open pairs to a row.
 ROUNDS, PAIRS_PER_ROW = 6, 4
+#: Entries of a set before a row's own that the row knows.
+EARLIER = 8
 
 
 def shingle_sets(chunk: tx.Chunk, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -292,11 +294,18 @@ def _star_pairs(own: DataFrame, parities: DataFrame, round_no: int, percent: int
 
 
 def _rest_pairs(own: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
-    """All pairs of an entry whose components differ."""
+    """All pairs of an entry whose components differ.
+
+    Each row knows the few entries of its set just before its own. A pair that has
+    one of them in common comes out there, and at the least entry in common always.
+    """
     split = own.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     rest = own.join(split.select("entry"), "entry", "left_semi").join(parities.select("f", "bits"), "f")
-    other = rest.select("entry", *(F.col(c).alias(f"{c}2") for c in ("f", "n", "component", "bits")))
+    before = Window.partitionBy("f").orderBy("entry").rowsBetween(-EARLIER, -1)
+    rest = rest.withColumn("earlier", F.collect_list("entry").over(before))
+    other = rest.select("entry", *(F.col(c).alias(f"{c}2") for c in ("f", "n", "component", "bits", "earlier")))
     differ = (rest["entry"] == other["entry"]) & (F.col("f") < F.col("f2")) & (F.col("component") != F.col("component2"))
+    differ &= ~F.arrays_overlap("earlier", "earlier2")
     return rest.join(other, differ & _close(percent)).select(F.col("f").alias("a"), F.col("f2").alias("b")).distinct()
 
 
