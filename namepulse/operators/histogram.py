@@ -59,30 +59,19 @@ def topk_nested(ranked: DataFrame) -> DataFrame:
     )
 
 
-def daily_histogram_maps(
-    counts: DataFrame, spread: int = 16, entries_per_map: int = 100_000
-) -> DataFrame:
-    """(date, part, histogram): each day's counts as maps from word to total.
-
-    A day's vocabulary has no bound, so a day may take several maps: words are
-    dealt to ``spread`` parts, and a part with more than ``entries_per_map``
-    words is cut again. The maps of a day share no word; together they are its
-    whole histogram.
+def daily_histogram_maps(counts: DataFrame, parts: int = 1) -> DataFrame:
+    """(date, part, histogram): each day's counts as a map from word to total.
+
+    One map a day unless ``parts`` asks for more: words are then dealt by hash,
+    so that a vocabulary too large for one row comes in ``parts`` maps. The maps
+    of a day share no word; together they are its whole histogram.
     """
-    dealt = counts.withColumn("_deal", F.pmod(F.xxhash64("word"), F.lit(spread)))
-    rank = Window.partitionBy("date", "_deal").orderBy("word")
-    chunk = F.call_function("div", F.row_number().over(rank) - 1, F.lit(entries_per_map))
+    entries = F.collect_list(F.struct("word", "total"))
     return (
-        dealt.withColumn("_chunk", chunk)
-        .groupBy("date", "_deal", "_chunk")
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("word", "total"))).alias("histogram")
-        )
-        .select(
-            "date",
-            (F.col("_chunk") * spread + F.col("_deal")).alias("part"),
-            "histogram",
-        )
+        counts.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
+        .groupBy("date", "part")
+        .agg(F.map_from_entries(entries).alias("histogram"))
+        .select("date", "part", "histogram")
     )
 
 

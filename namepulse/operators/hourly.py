@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from namepulse.operators.position import LARGEST_GROUP, match_keys, position_within, split_by_size
+from namepulse.operators.position import match_keys, position_within
 
 _HOUR_US = 3_600_000_000
 _MINUTE_US = 60_000_000
+_SECOND_US = 1_000_000
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 
@@ -31,57 +32,57 @@ def count_by_name_ts(records: DataFrame) -> DataFrame:
     return records.groupBy("name", "ts").agg(F.count("*").alias("n"))
 
 
-def running_count(records: DataFrame, largest_group: int = LARGEST_GROUP) -> DataFrame:
+def running_count(records: DataFrame) -> DataFrame:
     """Every record with its name's count so far, itself included."""
-    return position_within(
-        records, ["name"], ["ts", "id"], "running_count", largest_group=largest_group
-    )
+    return position_within(records, ["name"], ["ts", "id"], "running_count")
 
 
-def last_hour_exact(records: DataFrame, largest_group: int = LARGEST_GROUP) -> DataFrame:
+def last_hour_exact(records: DataFrame) -> DataFrame:
     """(name, ts, n, last_hour): for each event time of a name, the records at
     it and those in the hour up to and including it.
 
     The hour's count is the running total at ``ts`` less the running total just
-    before ``ts`` minus an hour. Both come from one ordered pass over the counts
-    per event time and over probes placed an hour back. (A sliding RANGE frame
-    would add up the whole hour again for every row.)
+    before ``ts`` minus an hour, with probes placed an hour back. (A sliding
+    RANGE frame would add up the whole hour again for every row.)
+
+    A running total is that of the earlier hours, plus the earlier seconds of
+    the hour, plus what came so far in the second. Records combine per event
+    time before the shuffle, so the clock bounds each pass, not the name's
+    popularity: the ticks of a second, the seconds of an hour, the hours of a
+    name.
     """
-    small, large = split_by_size(records, ["name"], largest_group)
-    exact = _exact_by_name(small)
-    return exact if large is None else exact.unionByName(_exact_by_minute(large))
-
-
-def _exact_by_name(records: DataFrame) -> DataFrame:
-    """One shuffle: by name, which serves the counts, the pass and the pairing."""
-    so_far = Window.partitionBy("name").orderBy("at", "kind").rowsBetween(*_UP_TO_HERE)
-    steps = _adds_and_probes(count_by_name_ts(records.repartition("name")))
-    return _last_hour(steps.withColumn("_total", F.sum("step").over(so_far)))
-
-
-def _exact_by_minute(records: DataFrame) -> DataFrame:
-    """A running total as the total of earlier minutes plus the total so far
-    within the minute. Counts per event time come first, so a pass is no longer
-    than a minute has clock ticks, or a name has minutes."""
-    minute = F.col("at") - F.pmod("at", F.lit(_MINUTE_US))
-    steps = _adds_and_probes(count_by_name_ts(records)).withColumn("minute", minute)
-    so_far = Window.partitionBy("name", "minute").orderBy("at", "kind").rowsBetween(*_UP_TO_HERE)
-    earlier = (
-        Window.partitionBy("name").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    minutes = (
-        steps.groupBy("name", "minute")
-        .agg(F.sum("step").alias("_steps"))
-        .withColumn("_before", F.coalesce(F.sum("_steps").over(earlier), F.lit(0)))
-        .select("name", "minute", "_before")
-    )
+    steps = (
+        _adds_and_probes(count_by_name_ts(records))
+        .withColumn("second", _piece("at", _SECOND_US))
+        .withColumn("hour", _piece("at", _HOUR_US))
+    )
+    seconds = steps.groupBy("name", "hour", "second").agg(F.sum("step").alias("_steps"))
+    hours = seconds.groupBy("name", "hour").agg(F.sum("_steps").alias("_hour_steps"))
+    hours = hours.select("name", "hour", _earlier("_hour_steps", "hour", "name").alias("_hours"))
+    before = match_keys(
+        seconds.withColumn("_seconds", _earlier("_steps", "second", "name", "hour")),
+        hours,
+        ["name", "hour"],
+        "inner",
+    ).select("name", "second", (F.col("_hours") + F.col("_seconds")).alias("_before"))
+    so_far = Window.partitionBy("name", "second").orderBy("at", "kind").rowsBetween(*_UP_TO_HERE)
     return _last_hour(
         steps.withColumn("_so_far", F.sum("step").over(so_far))
-        .transform(match_keys, minutes, ["name", "minute"], "inner")
+        .transform(match_keys, before, ["name", "second"], "inner")
         .withColumn("_total", F.col("_so_far") + F.col("_before"))
     )
 
 
+def _piece(at: str, length_us: int) -> Column:
+    return F.col(at) - F.pmod(at, F.lit(length_us))
+
+
+def _earlier(what: str, order: str, *key: str) -> Column:
+    """The sum of ``what`` over the key's rows ahead of this one."""
+    ahead = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(what).over(ahead), F.lit(0))
+
+
 def _adds_and_probes(counts: DataFrame) -> DataFrame:
     """Two steps per count: the count itself at its time (kind 1), and a probe
     that adds nothing an hour earlier (kind 0), ahead of any count there."""
@@ -123,9 +124,7 @@ def hour_counts(records: DataFrame, phase_minutes: int = 0) -> DataFrame:
     )
 
 
-def last_hour_sweep(
-    records: DataFrame, phase_minutes: int = 0, largest_group: int = LARGEST_GROUP
-) -> DataFrame:
+def last_hour_sweep(records: DataFrame, phase_minutes: int = 0) -> DataFrame:
     """Every record with the count a swept counter shows right after it: the
     name's records of this sweep interval so far, and all of the one before."""
     staged = records.withColumn("hour_us", hour_start_us(F.col("ts"), phase_minutes))
@@ -138,7 +137,6 @@ def last_hour_sweep(
         ["ts", "id"],
         "_place",
         per_key=previous,
-        largest_group=largest_group,
     )
     return placed.withColumn(
         "last_hour", F.col("_place") + F.coalesce("_previous", F.lit(0))

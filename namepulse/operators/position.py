@@ -10,9 +10,6 @@ from pyspark.sql.window import Window
 
 from namepulse.session import settle
 
-# Rows of one key that one task sorts at most; a larger key is cut up.
-LARGEST_GROUP = 1_000_000
-
 
 def position_within(
     df: DataFrame,
@@ -20,50 +17,15 @@ def position_within(
     order: list[str],
     out: str,
     per_key: DataFrame | None = None,
-    largest_group: int = LARGEST_GROUP,
 ) -> DataFrame:
     """Add ``out``: 1, 2, 3 ... by ``order`` within each ``key``. Ties take any
     order. ``per_key`` holds further columns by key to add to the rows.
 
-    Keys of up to ``largest_group`` rows take ``row_number``: one shuffle. The
-    larger ones take :func:`_by_cuts`.
-    """
-    small, large = split_by_size(df, key, largest_group)
-    placed = _by_window(small, key, order, out, per_key)
-    if large is None:
-        return placed
-    return placed.unionByName(_by_cuts(large, key, order, out, per_key))
-
-
-def split_by_size(
-    df: DataFrame, key: list[str], largest_group: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of keys with up to ``largest_group`` rows, and those of larger
-    ones; None where there are no larger ones.
-
-    There are at most (rows / ``largest_group``) large keys. They are counted
-    with a partial aggregate and settled, so both halves go by the same table.
-    """
-    large = settle(
-        df.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > largest_group),
-        "large-keys",
-    ).drop("_n")
-    if large.isEmpty():
-        return df, None
-    return match_keys(df, large, key, "left_anti"), match_keys(df, large, key, "left_semi")
-
-
-def _by_window(df, key, order, out, per_key):
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    placed = df.withColumn(out, place.cast("bigint"))
-    return placed if per_key is None else match_keys(placed, per_key, key, "left")
-
-
-def _by_cuts(df, key, order, out, per_key):
-    """Range-partition on (key, order), which cuts a key over as many partitions
-    as it needs. The row id in the sorted partition gives the place in the cut,
-    and a table of cuts (one row per key and partition) gives the rows in front
-    of it. The sorted rows are settled, so that both see the same cuts.
+    Keys of every size go the same way: range-partition on (key, order), which
+    cuts a key over as many partitions as it needs. The row id in the sorted
+    partition gives the place in the cut, and a table of cuts (one row per key
+    and partition) gives the rows in front of it. The sorted rows are settled,
+    so that both see the same cuts.
     """
     sort = key + order + ["_tie"]
     placed = settle(

@@ -422,7 +422,7 @@ def running_count(spark, sf_dir):
 @query
 def running_count_of_large_names(spark, sf_dir):
     records = feed.event_records(spark, sf_dir)
-    counted = hourly.running_count(records, largest_group=200)
+    counted = hourly.running_count(records)
     return counted.select(F.col("id").alias("event_id"), "name", "running_count")
 
 
@@ -443,7 +443,7 @@ def last_hour_exact(spark, sf_dir):
 @query
 def last_hour_exact_of_large_names(spark, sf_dir):
     by_minute = feed.event_records(spark, sf_dir).withColumn("ts", F.date_trunc("minute", "ts"))
-    counted = hourly.last_hour_exact(by_minute, largest_group=100)
+    counted = hourly.last_hour_exact(by_minute)
     return counted.select("name", F.unix_micros("ts").alias("ts_us"), "n", "last_hour")
 
 
@@ -456,7 +456,7 @@ def last_hour_sweep(spark, sf_dir):
 @query
 def last_hour_sweep_phase(spark, sf_dir):
     records = feed.event_records(spark, sf_dir)
-    counted = hourly.last_hour_sweep(records, phase_minutes=25, largest_group=4)
+    counted = hourly.last_hour_sweep(records, phase_minutes=25)
     return counted.select(F.col("id").alias("event_id"), "name", "last_hour")
 
 

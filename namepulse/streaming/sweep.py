@@ -36,8 +36,9 @@ def swept_counts(
     that stays silent is reported too. A sweep fires when the watermark, which
     trails the newest record by ``lateness``, reaches it.
 
-    Each task adds up its records per (name, interval) before the shuffle, so a
-    name's state gets a few numbers per micro-batch however popular the name.
+    Each task adds up its records per (name, event time) before the shuffle.
+    Records of different times stay apart, so each meets the watermark by its
+    own time, however the rows fall into batches.
     """
     pieces = (
         records.select(
@@ -78,9 +79,9 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums = (
             pa.Table.from_batches([batch])
-            .group_by(["name", "hour_us"])
-            .aggregate([([], "count_all"), ("ts", "max")])
-            .select(["name", "hour_us", "count_all", "ts_max"])
+            .group_by(["name", "hour_us", "ts"])
+            .aggregate([([], "count_all")])
+            .select(["name", "hour_us", "count_all", "ts"])
             .rename_columns(["name", "hour_us", "n", "ts"])
         )
         yield from sums.to_batches()

@@ -55,13 +55,12 @@ def micros(ts):
     return round(ts.timestamp() * 1_000_000)
 
 
-@pytest.mark.parametrize("largest", [5_000_000, 10])
 @pytest.mark.parametrize("phase", [0, 25])
-def test_sweep_equals_simulation(spark, phase, largest):
+def test_sweep_equals_simulation(spark, phase):
     # The sweep's own boundary: nothing falls exactly an hour before a sweep.
     records = [(i, ts + dt.timedelta(seconds=7), name) for i, ts, name in random_records(phase)]
     after, reports = simulate_sweep(records, phase)
-    counted = hourly.last_hour_sweep(frame(spark, records), phase, largest_group=largest)
+    counted = hourly.last_hour_sweep(frame(spark, records), phase)
     assert {r.id: r.last_hour for r in counted.collect()} == after
     last = max(ts for _, ts, _ in records)
     updates = hourly.sweep_updates(frame(spark, records), phase).where(
@@ -72,14 +71,13 @@ def test_sweep_equals_simulation(spark, phase, largest):
     )
 
 
-@pytest.mark.parametrize("largest", [5_000_000, 100, 10])
-def test_last_hour_counts_equal_times_and_the_hour_edge(spark, largest):
+def test_last_hour_counts_equal_times_and_the_hour_edge(spark):
     records = random_records(3)
     expected = {}
     for _, ts, name in records:
         mine = [t for _, t, other in records if other == name]
         expected[name, ts] = (mine.count(ts), sum(ts - HOUR <= t <= ts for t in mine))
-    rows = hourly.last_hour_exact(frame(spark, records), largest).select(
+    rows = hourly.last_hour_exact(frame(spark, records)).select(
         "name", F.unix_micros("ts").alias("us"), "n", "last_hour"
     )
     assert {(r.name, r.us): (r.n, r.last_hour) for r in rows.collect()} == {
@@ -89,7 +87,7 @@ def test_last_hour_counts_equal_times_and_the_hour_edge(spark, largest):
 
 def test_running_count_of_a_hot_name(spark):
     records = random_records(4)
-    rows = hourly.running_count(frame(spark, records), largest_group=20).collect()
+    rows = hourly.running_count(frame(spark, records)).collect()
     by_name = {}
     for row in sorted(rows, key=lambda r: (r.ts, r.id)):
         by_name.setdefault(row.name, []).append(row.running_count)
@@ -107,7 +105,7 @@ def test_running_count_of_a_hot_name(spark):
 )
 def test_positions_with_copies_and_null_keys(spark, rows):
     df = spark.createDataFrame(rows, "key string, at int, payload int").repartition(3)
-    result = position_within(df, ["key"], ["at"], "place", largest_group=4).collect()
+    result = position_within(df, ["key"], ["at"], "place").collect()
     assert sorted(map(repr, ((r.key, r.at, r.payload) for r in result))) == sorted(map(repr, rows))
     for key in {r[0] for r in rows}:
         mine = sorted((r for r in result if r.key == key), key=lambda r: r.place)
@@ -121,7 +119,7 @@ def test_large_keys_are_cut_up(spark):
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        df = position_within(frame(spark, rows), ["name"], ["ts", "id"], "place", largest_group=100)
+        df = position_within(frame(spark, rows), ["name"], ["ts", "id"], "place")
         cuts = df.inputFiles()
         places = sorted(r.place for r in df.collect())
     finally:

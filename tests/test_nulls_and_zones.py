@@ -16,10 +16,9 @@ def records(spark, name):
     return spark.createDataFrame(rows, "id long, name string, ts timestamp")
 
 
-@pytest.mark.parametrize("largest_group", [1_000_000, 2])
-def test_last_hour_of_a_null_name(spark, largest_group):
+def test_last_hour_of_a_null_name(spark):
     counts = [
-        sorted(tuple(r)[1:] for r in hourly.last_hour_exact(records(spark, name), largest_group).collect())
+        sorted(tuple(r)[1:] for r in hourly.last_hour_exact(records(spark, name)).collect())
         for name in (None, "real")
     ]
     assert counts[0] == counts[1] and len(counts[0]) == 5

@@ -53,17 +53,20 @@ def test_global_top_sorts_no_more_than_it_keeps(spark):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-def test_running_count_of_small_names_is_one_shuffle(spark):
-    records = feed.event_records(spark, SF_DIR)
-    assert physical(hourly.running_count(records)).count("Exchange") == 1
-
-
 def test_sliding_hour_copies_pieces_not_records(spark):
     plan = physical(hourly.sliding_hour(feed.event_records(spark, SF_DIR)))
     assert plan.index("Generate explode(sequence") < plan.rindex("HashAggregate")
     assert "Expand" not in plan
 
 
-def test_last_hour_of_small_names_is_one_shuffle(spark):
-    records = feed.event_records(spark, SF_DIR)
-    assert physical(hourly.last_hour_exact(records)).count("Exchange") == 1
+def test_last_hour_combines_before_it_shuffles(spark):
+    plan = physical(hourly.last_hour_exact(feed.event_records(spark, SF_DIR)))
+    assert "partial_count(1)" in plan and "rangepartitioning" not in plan
+    assert "Exchange SinglePartition" not in plan
+
+
+def test_histogram_maps_need_no_window(spark):
+    lines = scan_lines(spark, feed.feed_files(spark, SF_DIR))
+    maps = histogram.daily_histogram_maps(histogram.daily_counts(unpack.names_by_day(lines)))
+    assert "Window" not in physical(maps)
+    assert maps.groupBy("date").count().where("count > 1").isEmpty()

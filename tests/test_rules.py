@@ -71,13 +71,14 @@ def test_arrays_padded_and_not(spark):
     assert all(None not in row.topics[:4] for row in padded)
 
 
-def test_histogram_maps_cut_a_large_day(spark):
+def test_histogram_maps_of_a_day(spark):
     counts = histogram.daily_counts(unpack.names_by_day(frame(spark)))
-    maps = histogram.daily_histogram_maps(counts, spread=2, entries_per_map=1).collect()
-    assert all(len(row.histogram) == 1 for row in maps)
-    assert len({(row.date, row.part) for row in maps}) == len(maps)
-    merged = {(str(r.date), w): n for r in maps for w, n in r.histogram.items()}
-    assert merged == DAILY
+    for parts in (1, 3):
+        maps = histogram.daily_histogram_maps(counts, parts).collect()
+        assert len({(row.date, row.part) for row in maps}) == len(maps)
+        assert parts > 1 or len({row.date for row in maps}) == len(maps)
+        merged = {(str(r.date), w): n for r in maps for w, n in r.histogram.items()}
+        assert merged == DAILY
 
 
 def test_job_writes_json_and_rejects(spark, folder):
