@@ -159,45 +159,134 @@ def _scan(bits: np.ndarray, walks: list[int], repeats: int):
     return run
 
 
-def least_edits(item: str, text: str) -> int:
-    """Least edit distance of ``item`` to any part of ``text``, with a column of differences held in the bits of a number."""
-    size = len(item)
-    where: dict[str, int] = {}
-    for i, c in enumerate(item):
-        where[c] = where.get(c, 0) | 1 << i
-    full, top = (1 << size) - 1, size - 1
-    up, down, score, best = full, 0, size, size
-    for c in text:
-        same = where.get(c, 0)
-        zero = (((same & up) + up) ^ up) | same | down
-        rises, falls = down | ~(zero | up), up & zero
-        score += (rises >> top & 1) - (falls >> top & 1)
-        best = min(best, score)
-        rises, falls = rises << 1, falls << 1
-        up, down = (falls | ~(zero | rises)) & full, rises & zero & full
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All code points, and the bounds of each text's."""
+    bounds = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) for t in texts], out=bounds[1:])
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), bounds
+
+
+def _edits_of_slice(items: list[str], texts: list[str]) -> np.ndarray:
+    """Least edits of each (item, text); the items take the same number of 64-bit blocks.
+
+    One pass over the columns of all pairs at once, with differences between
+    rows held in bits. Texts are filled up with a symbol of no item, which can
+    not lower a distance.
+    """
+    names = {item: i for i, item in enumerate(dict.fromkeys(items))}
+    own = np.array([names[item] for item in items])
+    codes, bounds = _codes(list(names))
+    alphabet = np.unique(codes)
+    width, sizes = len(alphabet) + 1, np.diff(bounds)
+    blocks = int(sizes.max() + 63) // 64
+    place = np.arange(len(codes)) - np.repeat(bounds[:-1], sizes)
+    cell = np.repeat(np.arange(len(names)), sizes) * width + 1 + np.searchsorted(alphabet, codes)
+    same = np.zeros((blocks, len(names) * width), np.uint64)
+    np.bitwise_or.at(same, (place >> 6, cell), np.uint64(1) << (place & 63).astype(np.uint64))
+
+    codes, bounds = _codes(texts)
+    at = np.minimum(np.searchsorted(alphabet, codes), len(alphabet) - 1)
+    symbol = np.where(alphabet[at] == codes, at + 1, 0)
+    lengths = np.diff(bounds)
+    steps = np.repeat(own[None, :] * width, max(int(lengths.max()), 1), 0).astype(np.int32)
+    column = np.repeat(np.arange(len(texts)), lengths)
+    steps[np.arange(len(codes)) - np.repeat(bounds[:-1], lengths), column] += symbol.astype(np.int32)
+
+    one, last = np.uint64(1), np.uint64(63)
+    top = ((sizes[own] - 1) & 63).astype(np.uint64)
+    up, down = np.full((blocks, len(items)), ~np.uint64(0)), np.zeros((blocks, len(items)), np.uint64)
+    score = sizes[own].copy()
+    best = score.copy()
+    nothing = np.zeros(len(items), np.uint64)
+    for step in steps:
+        more, less = nothing, nothing  # what the block above passes on: a rise or a fall of one
+        for block in range(blocks):
+            p, m, equal = up[block], down[block], same[block][step]
+            stay = equal | m
+            equal |= less
+            zero = (((equal & p) + p) ^ p) | equal
+            rises, falls = m | ~(zero | p), p & zero
+            if block == blocks - 1:
+                score += ((rises >> top) & one).astype(np.int64) - ((falls >> top) & one).astype(np.int64)
+            out_more, out_less = rises >> last, falls >> last
+            rises, falls = (rises << one) | more, (falls << one) | less
+            up[block], down[block] = falls | ~(stay | rises), rises & stay
+            more, less = out_more, out_less
+        np.minimum(best, score, out=best)
+    return best
+
+
+def least_edits(items: list[str], texts: list[str], percent: int = 0, at_once: int = 2048) -> np.ndarray:
+    """For each pair, the least edit distance of the item to any part of the text.
+
+    Exact up to ``100 - percent`` per cent of the item's code points; above
+    that, above it too. Long texts are cut into pieces that overlap by the
+    longest part so close to the item.
+    """
+    work = []
+    for pair, (item, text) in enumerate(zip(items, texts, strict=True)):
+        overlap = len(item) + len(item) * (100 - percent) // 100 + 1
+        blocks = (len(item) + 63) // 64
+        for start in range(0, max(1, len(text) - overlap), 2 * overlap):
+            piece = text[start : start + 3 * overlap]
+            work.append((blocks, len(piece), pair, piece))
+    work.sort(key=lambda w: w[:3])
+    best = np.array([len(item) for item in items], np.int64)
+    first = 0
+    while first < len(work):
+        end = first + 1
+        while end < len(work) and end - first < at_once and work[end][0] == work[first][0]:
+            end += 1
+        pairs = np.array([w[2] for w in work[first:end]])
+        found = _edits_of_slice([items[i] for i in pairs], [w[3] for w in work[first:end]])
+        np.minimum.at(best, pairs, found)
+        first = end
     return best
 
 
-def _check(percent: int):
+def _spans(starts: list[int], words: int, slack: int) -> list[list[int]]:
+    """Word ranges around the nominated windows, those that meet as one."""
+    spans: list[list[int]] = []
+    for start in sorted(starts):
+        low, high = max(0, start - slack), start + words + slack
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = max(high, spans[-1][1])
+        else:
+            spans.append([low, high])
+    return spans
+
+
+def _check(percent: int, at_once: int = 4 << 20):
+    """Documents with their nominations: compares about ``at_once`` code points of windows at a time."""
+
+    def checked(ids: list, items: list[str], texts: list[str]) -> pa.RecordBatch:
+        least: dict[tuple, int] = {}
+        for (doc, item_id), item, edits in zip(ids, items, least_edits(items, texts, percent).tolist(), strict=True):
+            if 100 * edits <= (100 - percent) * len(item):
+                key = (doc, item_id, len(item))
+                least[key] = min(edits, least.get(key, edits))
+        rows = [(doc, item_id, edits, size) for (doc, item_id, size), edits in least.items()]
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "edits", "item_chars"])
+
     def run(batches):
+        ids, items, texts, size = [], [], [], 0
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                item, count = row["item"], row["words"]
-                slack = 2 + math.ceil(count * (100 - percent) / 100)
-                words = row["text"].split(" ")
-                spans: list[list[int]] = []
-                for start in sorted(row["starts"]):
-                    low, high = max(0, start - slack), start + count + slack
-                    if spans and low <= spans[-1][1]:
-                        spans[-1][1] = max(high, spans[-1][1])
-                    else:
-                        spans.append([low, high])
-                edits = min(least_edits(item, " ".join(words[a:b])) for a, b in spans)
-                if 100 * edits <= (100 - percent) * len(item):
-                    rows.append((row["doc_id"], row["item_id"], edits, len(item)))
-            columns = zip(*rows, strict=True) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "edits", "item_chars"])
+            for doc, text, nominated in zip(*(batch.column(n) for n in ("doc_id", "text", "nominated")), strict=True):
+                words = text.as_py().split(" ")
+                starts: dict[tuple, list[int]] = {}
+                for n in nominated.as_py():
+                    starts.setdefault((n["item_id"], n["item"], n["words"]), []).append(n["start"])
+                for (item_id, item, count), own in starts.items():
+                    for low, high in _spans(own, count, 2 + math.ceil(count * (100 - percent) / 100)):
+                        ids.append((doc.as_py(), item_id))
+                        items.append(item)
+                        texts.append(" ".join(words[low:high]))
+                        size += len(texts[-1])
+                if size > at_once:
+                    yield checked(ids, items, texts)
+                    ids, items, texts, size = [], [], [], 0
+        yield checked(ids, items, texts)
 
     return run
 
@@ -229,9 +318,10 @@ def leaks(
     found = settle(found.withColumn("row", F.xxhash64("doc_id", "text")), "candidates")
     hits = found.select("row", F.explode(F.arrays_zip("signatures", "places")).alias("hit"))
     hits = hits.select("row", F.col("hit.signatures").alias("signature"), F.col("hit.places").alias("at"))
-    windows = hits.join(index, "signature").select("row", "item_id", "item", "words", (F.col("at") - F.col("place")).alias("start"))
-    windows = windows.groupBy("row", "item_id", "item", "words").agg(F.collect_set("start").alias("starts"))
-    rows = windows.join(found.select("row", "doc_id", "text").distinct(), "row")
+    windows = hits.join(index, "signature").select("row", F.struct("item_id", "item", "words", (F.col("at") - F.col("place")).alias("start")).alias("n"))
+    # A document's nominations are in proportion to its own length; its text goes to a task once.
+    windows = windows.groupBy("row").agg(F.collect_set("n").alias("nominated"))
+    rows = windows.join(found.select("row", "doc_id", "text").dropDuplicates(["row"]), "row")
     checked = rows.drop("row").mapInArrow(_check(percent), "doc_id long, item_id long, edits long, item_chars long")
     # An item that occurs with several texts, or a document, counts by its nearest.
     out = checked.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "item_chars")).alias("least"))

@@ -39,9 +39,19 @@ def plain_edits(item, text):
 
 
 def test_least_edits_is_the_plain_distance():
-    for _ in range(60):
-        item, text = some(random.randint(1, 5)), some(random.randint(0, 8))
-        assert decontam.least_edits(item, text) == plain_edits(item, text)
+    pairs = [(some(random.randint(1, 5)), some(random.randint(0, 8))) for _ in range(60)]
+    pairs += [(item, text + " " + changed(item, 2)) for item, text in ((some(30), some(9)), (some(12), some(40)))]
+    pairs += [("\u00e9\U0001f600x" * 30, "\u00e9\U0001f600y" * 31), ("a" * 64, "a" * 63), ("a" * 128, "b" * 700), ("x", "")]
+    found = decontam.least_edits(*map(list, zip(*pairs)), at_once=7)
+    assert found.tolist() == [plain_edits(item, text) for item, text in pairs]
+
+
+def test_long_texts_in_pieces():
+    for at in range(0, 400, 37):
+        item = some(10)
+        text = some(400).split()
+        text[at:at] = changed(item, 1).split()
+        assert decontam.least_edits([item], [" ".join(text)], 80)[0] == plain_edits(item, " ".join(text))
 
 
 def test_leaks_against_brute_force(spark, table, clashing):
