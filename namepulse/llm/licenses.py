@@ -57,38 +57,54 @@ def bigrams(normalised: Column) -> Column:
 
 def templates(spark: SparkSession, given: tuple = TEMPLATES) -> DataFrame:
     rows = spark.createDataFrame(sorted(set(given)), "license string, template string").where("license IS NOT NULL AND template IS NOT NULL")
-    rows = rows.select("license", F.xxhash64("template").alias("template"), bigrams(normal(F.col("template"))).alias("bigrams"))
+    rows = rows.select("license", bigrams(normal(F.col("template"))).alias("bigrams"))
     return rows.withColumn("size", F.size("bigrams")).where("size > 0")
 
 
+def _once(made: Column) -> Column:
+    """A generated column: filters on it stay above it, so that it is made once."""
+    return F.explode(F.array(made))
+
+
 def _units(docs: DataFrame, least_words: int) -> DataFrame:
     """Lines, numbered from 1, and whole texts, numbered 0, that have so many words at least."""
     # Line feeds stay apart through the normal form of the whole text.
-    lined = F.split(F.regexp_replace(F.translate("text", UPPER, LOWER), "[^a-z0-9\\n]+", " "), "\n")
-    lines = docs.select("doc_id", F.posexplode(lined).alias("at", "line")).select("doc_id", (F.col("at") + 1).alias("line_no"), F.trim("line").alias("unit"))
-    whole = docs.select("doc_id", F.lit(0).alias("line_no"), normal(F.col("text")).alias("unit"))
-    units = lines.union(whole).withColumn("words", n_words(F.col("unit")))
-    return units.where(F.col("words") >= least_words)
+    clean = F.regexp_replace(F.translate("text", UPPER, LOWER), "[^a-z0-9\\n]+", " ")
+    whole = F.regexp_replace(F.translate("clean", "\n", " "), " +", " ")
+    numbered = F.posexplode(F.concat(F.array(whole), F.split("clean", "\n"))).alias("line_no", "line")
+    units = docs.select("doc_id", _once(clean).alias("clean")).select("doc_id", numbered)
+    units = units.select("doc_id", "line_no", F.trim("line").alias("unit"))
+    return units.where(n_words(F.col("unit")) >= least_words)
+
+
+def _texts(words: list[str]) -> Column:
+    return F.array(*(F.lit(w) for w in words)) if words else F.array().cast("array<string>")
 
 
 def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", given: tuple = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """The best template of each line and text that reaches ``least``: ``line_no``, ``license``, ``dice``."""
-    spark = docs.sparkSession
-    table = templates(spark, given)
-    sizes = table.agg(F.min("size"), F.max("size")).first()
+    """The best template of each line and text that reaches ``least``: ``line_no``, ``license``, ``dice``.
+
+    The templates are a list in the program, so their bigrams are constants of
+    the plan, and nothing is shuffled but the matches. What a unit shares with
+    all templates together bounds what it shares with each.
+    """
+    table = templates(docs.sparkSession, given).orderBy("size", "license").collect()
     ratio = least / (2 - least)
-    low, high = (sizes[0] or 0) * ratio, (sizes[1] or 0) / ratio
+    low, high = min((t["size"] for t in table), default=0) * ratio, max((t["size"] for t in table), default=0) / ratio
     named = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    units = _units(named, max(2, int(low))).withColumn("bigrams", bigrams(F.col("unit")))
+    units = _units(named, max(2, int(low))).select("doc_id", "line_no", _once(bigrams(F.col("unit"))).alias("bigrams"))
     units = units.withColumn("size", F.size("bigrams")).where((F.col("size") >= low) & (F.col("size") <= high))
-    shared = table.select("license", "template", F.col("size").alias("own"), F.explode("bigrams").alias("bigram"))
-    parts = units.select("doc_id", "line_no", "size", F.xxhash64("unit").alias("unit"), F.explode("bigrams").alias("bigram"))
-    # The templates are constants of this module or a caller's list: the table's size is known when the plan is made.
-    hits = parts.join(shared, "bigram").where((F.col("own") >= F.col("size") * ratio) & (F.col("own") <= F.col("size") / ratio))
-    keys = ["doc_id", "line_no", "unit", "size", "license", "template", "own"]
-    counted = hits.select(*keys, "bigram").groupBy(*keys).agg(F.count_distinct("bigram").alias("shared"))
-    dice = 2 * F.col("shared") / (F.col("size") + F.col("own"))
-    found = counted.withColumn("dice", dice).where(F.col("dice") >= least)
-    best = found.groupBy("doc_id", "line_no", "unit").agg(F.min(F.struct((-F.col("dice")).alias("d"), "license")).alias("best"))
-    best = best.select("doc_id", F.col("line_no").cast("long"), F.col("best.license").alias("license"), F.round(-F.col("best.d"), 6).alias("dice"))
-    return best.distinct().withColumnRenamed("doc_id", doc)
+    known = _texts(sorted({b for t in table for b in t["bigrams"]}))
+    parts = units.select("doc_id", "line_no", "size", _once(F.array_intersect("bigrams", known)).alias("known"))
+    parts = parts.where(F.size("known") >= F.col("size") * ratio)
+
+    def dice(t) -> Column:
+        near = (F.col("size") * ratio <= t["size"]) & (F.col("size") / ratio >= t["size"])
+        shared = F.size(F.array_intersect("known", _texts(t["bigrams"])))
+        return F.when(near, F.struct((-2 * shared / (F.col("size") + t["size"])).alias("d"), F.lit(t["license"]).alias("license")))
+
+    none = F.lit(None).cast("struct<d:double,license:string>")
+    best = F.array_min(F.array(none, *(dice(t) for t in table)))
+    found = parts.select("doc_id", "line_no", _once(best).alias("best")).where(F.col("best.d") <= -least)
+    found = found.select("doc_id", F.col("line_no").cast("long"), F.col("best.license").alias("license"), F.round(-F.col("best.d"), 6).alias("dice"))
+    return found.distinct().withColumnRenamed("doc_id", doc)
