@@ -201,21 +201,43 @@ def _edits_of_slice(items: list[str], texts: list[str]) -> np.ndarray:
     for step in steps:
         more, less = nothing, nothing  # what the block above passes on: a rise or a fall of one
         for block in range(blocks):
-            p, m, equal = up[block], down[block], same[block][step]
+            p, m, equal = up[block], down[block], same[block].take(step)
             stay = equal | m
-            equal |= less
+            if block:
+                equal |= less
             zero = (((equal & p) + p) ^ p) | equal
             rises, falls = m | ~(zero | p), p & zero
             if block == blocks - 1:
-                score += ((rises >> top) & one).astype(np.int64) - ((falls >> top) & one).astype(np.int64)
-            out_more, out_less = rises >> last, falls >> last
-            rises, falls = (rises << one) | more, (falls << one) | less
+                score += ((rises >> top) & one).view(np.int64)
+                score -= ((falls >> top) & one).view(np.int64)
+            passed = (rises >> last, falls >> last) if block < blocks - 1 else None
+            rises, falls = rises << one, falls << one
+            if block:
+                rises |= more
+                falls |= less
             up[block], down[block] = falls | ~(stay | rises), rises & stay
-            more, less = out_more, out_less
+            more, less = passed or (nothing, nothing)
         np.minimum(best, score, out=best)
     return best
 
 
+def _possible(items: list[str], pieces: list[str], most: np.ndarray, at_once: int) -> np.ndarray:
+    """Which pairs may be within ``most`` edits: 64 code points of an item at a
+    time, whose least edits add up to no more than the item's."""
+    left = np.argsort([len(p) for p in pieces], kind="stable")
+    bound = np.zeros(len(items), np.int64)
+    for low in range(0, max(map(len, items), default=0), 64):
+        more = np.array([len(items[i]) > max(64, low) for i in left], bool)
+        done, left = left[~more], left[more]
+        for first in range(0, len(left), at_once):
+            some = left[first : first + at_once]
+            bound[some] += _edits_of_slice([items[i][low : low + 64] for i in some], [pieces[i] for i in some])
+        left = np.concatenate([done, left])
+        left = left[bound[left] <= most[left]]
+        left = left[np.argsort([len(pieces[i]) for i in left], kind="stable")] if len(left) else left
+    return left
+
+
 def least_edits(items: list[str], texts: list[str], percent: int = 0, at_once: int = 2048) -> np.ndarray:
     """For each pair, the least edit distance of the item to any part of the text.
 
@@ -223,23 +245,24 @@ def least_edits(items: list[str], texts: list[str], percent: int = 0, at_once: i
     that, above it too. Long texts are cut into pieces that overlap by the
     longest part so close to the item.
     """
-    work = []
+    pairs, pieces = [], []
     for pair, (item, text) in enumerate(zip(items, texts, strict=True)):
         overlap = len(item) + len(item) * (100 - percent) // 100 + 1
-        blocks = (len(item) + 63) // 64
         for start in range(0, max(1, len(text) - overlap), 2 * overlap):
-            piece = text[start : start + 3 * overlap]
-            work.append((blocks, len(piece), pair, piece))
-    work.sort(key=lambda w: w[:3])
+            pairs.append(pair)
+            pieces.append(text[start : start + 3 * overlap])
     best = np.array([len(item) for item in items], np.int64)
+    most = best * (100 - percent) // 100
+    left = _possible([items[i] for i in pairs], pieces, most[pairs], at_once) if percent else range(len(pairs))
+    work = sorted(((len(items[pairs[i]]) + 63) // 64, len(pieces[i]), i) for i in left)
     first = 0
     while first < len(work):
         end = first + 1
         while end < len(work) and end - first < at_once and work[end][0] == work[first][0]:
             end += 1
-        pairs = np.array([w[2] for w in work[first:end]])
-        found = _edits_of_slice([items[i] for i in pairs], [w[3] for w in work[first:end]])
-        np.minimum.at(best, pairs, found)
+        some = [w[2] for w in work[first:end]]
+        found = _edits_of_slice([items[pairs[i]] for i in some], [pieces[i] for i in some])
+        np.minimum.at(best, [pairs[i] for i in some], found)
         first = end
     return best
 

@@ -17,7 +17,7 @@ ITEMS = [some(30), some(24).capitalize() + ".", "Short item here", "One", None,
 
 def changed(text, n):
     words = text.split()
-    for at in random.sample(range(len(words)), n):
+    for at in random.sample(range(len(words)), min(n, len(words))):
         words[at] = "other"
     return " ".join(words)
 
@@ -46,6 +46,14 @@ def test_least_edits_is_the_plain_distance():
     assert found.tolist() == [plain_edits(item, text) for item, text in pairs]
 
 
+def test_far_pairs_are_told_from_close_ones():
+    pairs = [(item, some(9) + " " + changed(item, n) + " " + some(9)) for n in range(12) for item in (some(40), some(11), some(3) + "x" * n)]
+    found = decontam.least_edits(*map(list, zip(*pairs)), 80)
+    for (item, text), edits in zip(pairs, found.tolist()):
+        want = plain_edits(item, text)
+        assert edits == want if 100 * want <= 20 * len(item) else 100 * edits > 20 * len(item)
+
+
 def test_long_texts_in_pieces():
     for at in range(0, 400, 37):
         item = some(10)
