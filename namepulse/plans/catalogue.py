@@ -323,8 +323,9 @@ def segment_list(spark, sf_dir):
 def segments_new(spark, sf_dir):
     events = feed.event_records(spark, sf_dir)
     filed = events.withColumn("segment", timegrid.segment_name(timegrid.quarter_floor(F.col("ts"))))
-    seen = filed.where("name = 'click' AND ts < TIMESTAMP '2024-01-15'").select("segment")
-    return segments.new_segments(filed, seen)
+    present = filed.where("name = 'click' AND ts < TIMESTAMP '2024-01-15'").select("segment")
+    fed = filed.where("ts < TIMESTAMP '2024-01-10'").select("segment")
+    return segments.new_segments(filed, present, fed)
 
 
 @query

@@ -215,10 +215,12 @@ SELECT event_id, strftime(start, '%Y%m%d%H%M%S') || '.gkg.csv' AS segment FROM (
                                           quarter - INTERVAL 15 MINUTE,
                                           INTERVAL 15 MINUTE)) AS start FROM e)"""),
     "segments_new": _events("""
-, seen AS (SELECT segment FROM segments WHERE name = 'click' AND ts < TIMESTAMP '2024-01-15')
-SELECT DISTINCT segment, segment NOT IN (SELECT segment FROM seen) AS to_fetch,
-       segment > (SELECT max(segment) FROM seen) AS to_feed
-FROM segments WHERE segment NOT IN (SELECT segment FROM seen)"""),
+, present AS (SELECT segment FROM segments WHERE name = 'click' AND ts < TIMESTAMP '2024-01-15'),
+marked AS (
+  SELECT DISTINCT segment, segment NOT IN (SELECT segment FROM present) AS to_fetch,
+         segment > (SELECT max(segment) FROM segments WHERE ts < TIMESTAMP '2024-01-10') AS to_feed
+  FROM segments)
+SELECT * FROM marked WHERE to_fetch OR to_feed"""),
     "quarter_floor": _events(f"SELECT event_id, strftime(quarter, {_CLOCK}) AS quarter FROM e"),
     "quarter_next": _events(f"""
 SELECT event_id, strftime(quarter + INTERVAL 15 MINUTE, {_CLOCK}) AS quarter FROM e"""),

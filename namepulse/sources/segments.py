@@ -6,24 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from namepulse.functions.codec import clean_utf8
 from namepulse.sources.batch import scan_lines
 
 
-def new_segments(candidates: DataFrame, seen: DataFrame) -> DataFrame:
+def new_segments(candidates: DataFrame, present: DataFrame, fed: DataFrame) -> DataFrame:
     """Candidate segments that still need work.
 
-    ``to_fetch`` marks those never seen; ``to_feed`` those past the last one
-    seen, which are the only ones that may go into the stream in order.
+    ``to_fetch`` marks those not ``present`` yet; ``to_feed`` those past the last
+    one ``fed``, which are the only ones that may go into the stream in order. A
+    segment may be present and not fed.
     """
-    last = seen.agg(F.max("segment")).scalar()
-    known = seen.select("segment", F.lit(True).alias("known")).distinct()
+    last = fed.agg(F.max("segment")).scalar()
+    here = present.select("segment", F.lit(True).alias("present")).distinct()
     return (
         candidates.select("segment")
         .distinct()
-        .join(known, "segment", "left")
+        .join(here, "segment", "left")
         .select(
             "segment",
-            F.col("known").isNull().alias("to_fetch"),
+            F.col("present").isNull().alias("to_fetch"),
             (F.col("segment") > F.coalesce(last, F.lit(""))).alias("to_feed"),
         )
         .where("to_fetch OR to_feed")
@@ -36,10 +38,11 @@ def segment_lines(spark: SparkSession, paths, segment_pattern: str) -> DataFrame
     ``segment_pattern`` takes the segment's name out of the file path, so a
     segment may be one file or a folder of files named in order. Columns:
     ``value``, ``segment``, ``path``, ``block`` (offset of the input split) and
-    ``read_id``, which rises by one from line to line of a split.
+    ``read_id``, which rises by one from line to line of a split. Malformed
+    bytes are dropped.
     """
     return scan_lines(spark, paths).select(
-        "value",
+        clean_utf8(F.col("value")).alias("value"),
         F.regexp_extract("_metadata.file_path", segment_pattern, 1).alias("segment"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),

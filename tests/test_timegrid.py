@@ -128,5 +128,19 @@ def test_pseudo_key_survives_separators_in_names(spark):
 
 def test_nothing_seen_means_all_segments_are_new(spark):
     candidates = spark.createDataFrame([("b",), ("a",), ("a",)], "segment string")
-    rows = segments.new_segments(candidates, candidates.where("false")).collect()
+    none = candidates.where("false")
+    rows = segments.new_segments(candidates, none, none).collect()
     assert sorted(map(tuple, rows)) == [("a", True, True), ("b", True, True)]
+
+
+def test_segments_fetched_and_not_fed(spark):
+    candidates = spark.createDataFrame([(s,) for s in "abcd"], "segment string")
+    rows = segments.new_segments(candidates, candidates.where("segment <> 'b' AND segment <> 'd'"), candidates.where("segment = 'b'"))
+    assert sorted(map(tuple, rows.collect())) == [("b", True, False), ("c", False, True), ("d", True, True)]
+
+
+def test_segment_lines_drop_malformed_bytes(spark, folder):
+    with open(f"{folder}/20200101000000.gkg.csv", "wb") as out:
+        out.write(b"a\xffb\nc\n")
+    lines = segments.segment_lines(spark, folder, r"/(\d{14})\.gkg\.csv").collect()
+    assert [(r.value, r.segment) for r in sorted(lines, key=lambda r: r.read_id)] == [("ab", "20200101000000"), ("c", "20200101000000")]
