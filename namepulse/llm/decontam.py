@@ -6,7 +6,8 @@ word and step; so words that differ by few edits give strings that differ in
 few places. A repetition samples places of the embedded string into one hash.
 An item is embedded from each of its words as far as the walk stays inside it,
 a document from each of its words; an equal hash nominates the item-sized
-window around it. Short items have walks of their own, shorter length.
+window around it. Short items have walks of their own, shorter length. Walks
+that stand still on a common word are left out where an item has others.
 
 A nominated window, with room for shifts, is compared with the item by the
 least edit distance (code points) of the item to any part of the window. Items
@@ -32,6 +33,8 @@ from namepulse.llm.tables import settle, workers
 
 #: Steps of a walk and how many of them are sampled, for items of so many words at least.
 WALKS = {12: 5, 4: 2, 1: 1}
+#: How many different words the sampled places hold at least, where an item has such walks.
+DIFFERENT = {12: 4}
 _TABLE_BITS = 24
 _PUNCTUATION = bytes(set(range(33, 127)) - set(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
 NORMAL = np.where(tx.table(_PUNCTUATION), np.uint8(32), tx.LOWER)
@@ -42,11 +45,12 @@ def repetitions(recall: float, words: int, edited: float, steps: int = 12) -> in
     """How many repetitions find an item of ``words`` words, a share of which is ``edited``, with the recall.
 
     A walk spans about half its steps in words; an item has room for several
-    spans, each of which is whole with ``(1 - edited) ** span``.
+    spans. A span finds the item if it is whole, ``(1 - edited) ** span``, and
+    its walk is one of those that tell, about three in five.
     """
     span = steps / 2
-    miss = (1 - (1 - edited) ** span) ** (words / span)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(miss))) if miss else 1
+    miss = (1 - 0.6 * (1 - edited) ** span) ** (words / span)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
 
 
 def _draws(repetition: int, steps: int) -> tuple[np.ndarray, set[int]]:
@@ -55,23 +59,51 @@ def _draws(repetition: int, steps: int) -> tuple[np.ndarray, set[int]]:
     return odd, set(rng.choice(steps, WALKS[steps], replace=False).tolist())
 
 
-def signatures(hashes: np.ndarray, repetition: int, steps: int) -> np.ndarray:
-    """The sampled hash of the walk from each word; the last words' walks run off the end and mean nothing."""
+def _read(hashes: np.ndarray, repetition: int, steps: int):
+    """The words at the sampled places of the walk from each word, place by place."""
     odd, sampled = _draws(repetition, steps)
     symbols = (np.concatenate([hashes, np.zeros(steps, np.uint64)]) >> np.uint64(32)).astype(np.uint32)
     at = np.arange(len(hashes))
-    out = np.full(len(hashes), steps * 1000 + repetition, np.uint64)
     for step in range(max(sampled) + 1):
         here = symbols[at]
         if step in sampled:
-            out *= tx._BASE
-            out += here
-        here *= odd[step]
-        here >>= np.uint32(31)
-        at += here
+            yield here
+        at += (here * odd[step]) >> np.uint32(31)
+
+
+def signatures(hashes: np.ndarray, repetition: int, steps: int) -> np.ndarray:
+    """The sampled hash of the walk from each word; the last words' walks run off the end and mean nothing."""
+    out = np.full(len(hashes), steps * 1000 + repetition, np.uint64)
+    for here in _read(hashes, repetition, steps):
+        out *= tx._BASE
+        out += here
     return tx.mix(out)
 
 
+def _different(hashes: np.ndarray, repetition: int, steps: int) -> np.ndarray:
+    """How many different words the sampled places of each walk hold."""
+    read = np.sort(np.stack(list(_read(hashes, repetition, steps))), 0)
+    return 1 + (read[1:] != read[:-1]).sum(0)
+
+
+def item_signatures(hashes: np.ndarray, repeats: int) -> list[tuple[int, int]]:
+    """(hash, place) of an item's walks that stay inside it.
+
+    A walk that stands still on a common word holds little else, and many texts
+    have the like. So walks of too few different words are left out, unless the
+    item has no others.
+    """
+    steps = _steps_of(len(hashes))
+    inside = len(hashes) - steps + 1
+    rows = [
+        (int(s), place, int(n))
+        for r in range(repeats)
+        for place, (s, n) in enumerate(zip(signatures(hashes, r, steps)[:inside].view(np.int64), _different(hashes, r, steps)[:inside]))
+    ]
+    telling = [row for row in rows if row[2] >= DIFFERENT.get(steps, 1)] or rows
+    return [row[:2] for row in telling]
+
+
 def _steps_of(words: int) -> int:
     return next(s for s in WALKS if words >= s)
 
@@ -99,11 +131,8 @@ def _item_rows(repeats: int):
                     own = words.hashes[words.bounds[row] : words.bounds[row + 1]]
                     if not len(own):
                         continue
-                    steps = _steps_of(len(own))
                     normal = _join_words(data, words, row)
-                    for r in range(repeats):
-                        found = signatures(own, r, steps).view(np.int64)[: len(own) - steps + 1]
-                        rows += [(ids[chunk.first + row], normal, len(own), int(s), o) for o, s in enumerate(found)]
+                    rows += [(ids[chunk.first + row], normal, len(own), *found) for found in item_signatures(own, repeats)]
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "item", "words", "signature", "place"])

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from namepulse.llm import decontam
 from tests.llm.conftest import ODD
 
@@ -84,3 +86,23 @@ def test_empty_tables(spark, table):
 
 def test_repetitions_grow_with_the_recall():
     assert decontam.repetitions(0.9, 24, 0.15) <= decontam.repetitions(0.999, 24, 0.15)
+
+
+def test_edited_items_are_nominated_with_the_recall():
+    rng = np.random.default_rng(3)
+    repeats, found = decontam.repetitions(0.99, 24, 0.15), 0
+    for _ in range(300):
+        item = rng.integers(1, 2**63, 24).astype(np.uint64)
+        edited = item.copy()
+        edited[rng.choice(24, 4, replace=False)] = rng.integers(1, 2**63, 4)
+        text = np.concatenate([rng.integers(1, 2**63, 9).astype(np.uint64), edited, item[:0]])
+        own = np.array([s for s, _ in decontam.item_signatures(item, repeats)])
+        found += any(np.isin(decontam.signatures(text, r, 12).view(np.int64), own).any() for r in range(repeats))
+    assert found >= 285
+
+
+def test_an_item_keeps_walks_that_stand_still_if_it_has_no_others():
+    for words in ([7] * 30, [1, 2] * 9, [5] * 13, [3], [3, 3, 3, 3]):
+        hashes = np.array(words, np.uint64) << np.uint64(40)
+        found = decontam.item_signatures(hashes, 3)
+        assert found and all(0 <= place <= len(words) - decontam._steps_of(len(words)) for _, place in found)
