@@ -341,7 +341,8 @@ def link_groups(
         pairs = _star_pairs(own, parities, round_no, percent)
         found = settle(_verified(pairs, texts, members, size, percent), "jaccard-stars")
         links = found if links is None else links.union(found)
-        groups = components(links, "jaccard").withColumnRenamed("id", "f")
+        # Stars are shallow: two steps join nearly all, and what they leave apart is only compared again.
+        groups = components(links, "jaccard", steps=2).withColumnRenamed("id", "f")
         own = shared.join(groups, "f", "left").select("entry", "f", "n", F.coalesce("component", "f").alias("component"))
         own = settle(own, "jaccard-grouped")
         before, (open_pairs, rows) = open_pairs, _open_pairs(own)
