@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from namepulse.llm import decontam, jaccard, langid, licenses, linededup, packing, ppm, quality, replytrees, suffixes
+from namepulse.llm.oracles import ORACLE_SQL
 from namepulse.llm.tables import documents
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
@@ -89,5 +92,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
 }
-
-ORACLE_SQL: dict[str, str] = {}
