@@ -9,6 +9,11 @@ a document from each of its words; an equal hash nominates the item-sized
 window around it. Short items have walks of their own, shorter length. Walks
 that stand still on a common word are left out where an item has others.
 
+Edits inside words leave few words whole, so bytes are sampled as well: spaced
+grams of the normal text, as long as an item's own length and the edits that
+``percent`` allows let enough of them stay whole, by an estimate, for the
+recall; items too short for that have grams so short that one always stays.
+
 A nominated window, with room for shifts, is compared with the item by the
 least edit distance (code points) of the item to any part of the window. Items
 within ``100 - percent`` per cent of edits are leaks.
@@ -22,6 +27,7 @@ their ids differ. Empty tables give no rows.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +41,16 @@ from namepulse.llm.tables import settle, workers
 WALKS = {12: 5, 4: 2, 1: 1}
 #: How many different words the sampled places hold at least, where an item has such walks.
 DIFFERENT = {12: 4}
-_TABLE_BITS = 24
+#: Sampled bytes of a gram, longest first, and how many grams of a length there are.
+GRAMS = (12, 10, 8, 6)
+SPACED = 2
+_TABLE_BITS = 26
+#: Nominations of an item that start within so many code points are one.
+_NEAR = 32
 _PUNCTUATION = bytes(set(range(33, 127)) - set(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
 NORMAL = np.where(tx.table(_PUNCTUATION), np.uint8(32), tx.LOWER)
 _CANDIDATES = "doc_id long, text string, signatures array<long>, places array<int>"
+_INDEX = "item_id long, item string, signature long, place int, walk int, gram int"
 
 
 def repetitions(recall: float, words: int, edited: float, steps: int = 12) -> int:
@@ -108,82 +120,188 @@ def _steps_of(words: int) -> int:
     return next(s for s in WALKS if words >= s)
 
 
+def gram_of(length: int, percent: int = 80, recall: float = 0.99) -> int:
+    """How many bytes the grams of an item of ``length`` bytes sample.
+
+    A gram stays whole with chance ``percent ** bytes``. Edits that shift the
+    text break whole runs, so several have to be expected; for short items
+    grams are runs, of which no ``100 - percent`` per cent of edits break all.
+    """
+    expected = -2.6 * math.log(1 - recall)
+    for size in GRAMS:
+        if (length - _span(size) + 1) * (percent / 100) ** size >= expected:
+            return size
+    edits = length * (100 - percent) // 100
+    return min(max(1, -((edits - length) // (edits + 1))), min(GRAMS) - 1)
+
+
+def _span(gram: int) -> int:
+    """Bytes from the first to the last that a gram samples: the short ones are runs."""
+    return gram * 4 // 3 if gram in GRAMS else gram
+
+
+def _masks(gram: int) -> list[np.ndarray]:
+    """The places that the grams of one length sample, as masks over two words of eight bytes."""
+    masks = []
+    for repetition in range(SPACED if gram in GRAMS else 1):
+        rng = np.random.Generator(np.random.PCG64([13, gram, repetition]))
+        sampled = np.zeros(16, np.uint8)
+        sampled[[0, _span(gram) - 1]] = 255
+        if gram > 2:
+            sampled[rng.choice(_span(gram) - 2, gram - 2, replace=False) + 1] = 255
+        masks.append(sampled.view(np.uint64))
+    return masks
+
+
+def gram_signatures(data: np.ndarray, grams: list[int], piece: int = 1 << 15):
+    """Pieces of (first byte, hashes) of the grams that start at each byte; zeros follow the last."""
+    masks = [(tx._VALUES[gram * 8 + r], low, high) for gram in grams for r, (low, high) in enumerate(_masks(gram))]
+    for at in range(0, len(data) if masks else 0, piece):
+        part = np.zeros(min(piece, len(data) - at) + 16, np.uint64)
+        some = data[at : at + len(part)]
+        part[: len(some)] = some
+        for width in (1, 2, 4):
+            part[:-width] |= part[width:] << np.uint64(8 * width)
+        for salt, low, high in masks:
+            found = part[:-16] & low
+            found ^= salt
+            found *= tx._BASE
+            if high:
+                found ^= (part[8:-8] & high) * tx._UNBASE
+            found ^= found >> np.uint64(32)
+            found *= tx._UNBASE
+            found ^= found >> np.uint64(29)
+            found *= tx._BASE
+            yield at, found
+
+
 def _normal(chunk: tx.Chunk) -> tuple[np.ndarray, tx.Words]:
     data = NORMAL[chunk.data]
     return data, tx.words(chunk, data)
 
 
-def _join_words(data: np.ndarray, words: tx.Words, row: int) -> str:
-    low, high = words.bounds[row], words.bounds[row + 1]
-    if low == high:
-        return ""
-    return b" ".join(data[words.starts[low] : words.ends[high - 1]].tobytes().split()).decode()
+class _Joined(NamedTuple):
+    """The normal texts of a chunk, one space between words: bytes, code points before each, bounds, word starts."""
+
+    data: np.ndarray
+    points: np.ndarray
+    bounds: np.ndarray
+    starts: np.ndarray
+
+    def text(self, row: int) -> str:
+        return self.data[self.bounds[row] : self.bounds[row + 1]].tobytes().decode()
 
 
-def _item_rows(repeats: int):
+def _join_words(data: np.ndarray, words: tx.Words) -> _Joined:
+    space = tx.IS_SPACE[data]
+    kept = ~space
+    inner = np.ones(len(words.starts), bool)
+    inner[words.bounds[:-1][words.bounds[:-1] < words.bounds[1:]]] = False
+    kept[words.starts[inner] - 1] = True
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(kept, out=before[1:])
+    joined = np.where(space, np.uint8(32), data)[kept]
+    points = np.cumsum(~tx.IS_TAIL[joined]) - 1
+    starts = before[words.starts]
+    # A text begins at its first word, an empty one where the text before ends.
+    bounds = np.append(starts, len(joined))[words.bounds]
+    return _Joined(joined, points, bounds, starts)
+
+
+def _item_rows(repeats: int, percent: int, recall: float):
     def run(batches):
         for batch in batches:
             rows = []
             ids = batch.column(0).to_pylist()
             for chunk in tx.chunks(batch.column(1)):
                 data, words = _normal(chunk)
+                joined = _join_words(data, words)
                 for row in range(len(chunk.offsets) - 1):
-                    own = words.hashes[words.bounds[row] : words.bounds[row + 1]]
-                    if not len(own):
+                    low, high = words.bounds[row], words.bounds[row + 1]
+                    if low == high:
                         continue
-                    normal = _join_words(data, words, row)
-                    rows += [(ids[chunk.first + row], normal, len(own), *found) for found in item_signatures(own, repeats)]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "item", "words", "signature", "place"])
+                    own = words.hashes[low:high]
+                    points = joined.points[joined.bounds[row] : joined.bounds[row + 1]] - joined.points[joined.bounds[row]]
+                    starts = points[joined.starts[low:high] - joined.bounds[row]]
+                    name = (ids[chunk.first + row], joined.text(row))
+                    found = [(s, int(starts[place]), _steps_of(len(own)), None) for s, place in item_signatures(own, repeats)]
+                    gram = gram_of(len(points), percent, recall)
+                    inside = len(points) - _span(gram) + 1
+                    for at, hashes in gram_signatures(joined.data[joined.bounds[row] : joined.bounds[row + 1]], [gram]):
+                        places = points[at : max(at, min(inside, at + len(hashes)))].tolist()
+                        found += [(s, place, None, gram) for s, place in zip(hashes.view(np.int64).tolist(), places)]
+                    rows += [(*name, *f) for f in found]
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            names = ["item_id", "item", "signature", "place", "walk", "gram"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return run
 
 
 def _bits(signatures_: DataFrame) -> np.ndarray:
-    """Two bits of each hash in a table of 2 MB, whatever the number of items."""
+    """Two bits of each hash in a table of 8 MB, whatever the number of items."""
     spots = F.array(*(F.expr(f"shiftrightunsigned(signature, {64 - _TABLE_BITS - i * _TABLE_BITS}) & {(1 << _TABLE_BITS) - 1}") for i in (0, 1)))
     cells = signatures_.select(F.explode(spots).alias("at")).groupBy(F.expr("at div 32").alias("word"))
-    rows = cells.agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 AS int))")).alias("bits")).collect()
+    rows = cells.agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 AS int))")).alias("bits")).toArrow()
     bits = np.zeros((1 << _TABLE_BITS) // 32, np.uint32)
-    for row in rows:
-        bits[row.word] = row.bits
+    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
     return bits
 
 
-def _hits(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _hits(found: np.ndarray, bits: np.ndarray, coarse: np.ndarray) -> np.ndarray:
+    # Most of the hashes go by the first bits alone, sixteen cells at a time.
+    near = np.flatnonzero(coarse[(found >> np.uint64(68 - _TABLE_BITS)).view(np.int64)])
+    found = found[near]
     for i in (0, 1):
         at = ((found >> np.uint64(64 - _TABLE_BITS - i * _TABLE_BITS)) & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
         hit = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
         if i == 0:
             first = np.flatnonzero(hit)
             found = found[first]
-    return first[hit]
+    return near[first[hit]]
 
 
-def _scan(bits: np.ndarray, walks: list[int], repeats: int):
-    """Documents with words whose walks may be an item's: normal text, hashes and word numbers."""
+def _scan(bits: np.ndarray, walks: list[int], repeats: int, grams: list[int]):
+    """Documents with walks or grams that may be an item's: normal text, hashes and the code points where they start."""
 
     def run(batches):
+        coarse = bits.view(np.uint16) != 0
         for batch in batches:
-            ids = batch.column(0)
-            rows = [[], [], [], []]
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            null = np.array([not x.is_valid for x in batch.column(0)], bool)
             for chunk in tx.chunks(batch.column(1)):
                 data, words = _normal(chunk)
-                hits: dict[int, list] = {}
+                joined = _join_words(data, words)
+                hashes, places = [], []
+
+                def keep(found: np.ndarray, hits: np.ndarray, at: np.ndarray) -> None:
+                    hashes.append(found[hits])
+                    places.append(at)
+
                 for steps in walks:
                     for r in range(repeats):
                         found = signatures(words.hashes, r, steps)
-                        for at in _hits(found, bits):
-                            row = int(np.searchsorted(words.bounds, at, "right")) - 1
-                            hits.setdefault(row, []).append((int(found[at].view(np.int64)), int(at - words.bounds[row])))
-                for row, own in hits.items():
-                    rows[0].append(ids[chunk.first + row].as_py())
-                    rows[1].append(_join_words(data, words, row))
-                    rows[2].append([s for s, _ in own])
-                    rows[3].append([p for _, p in own])
-            kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["doc_id", "text", "signatures", "places"])
+                        hits = _hits(found, bits, coarse)
+                        keep(found, hits, joined.starts[hits])
+                for at, found in gram_signatures(joined.data, grams):
+                    hits = _hits(found, bits, coarse)
+                    keep(found, hits, at + hits)
+                hashes, places = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hashes, places))
+                doc = np.searchsorted(joined.bounds, places, "right") - 1
+                order = np.argsort(doc, kind="stable")
+                doc, hashes, places = doc[order], hashes[order], places[order]
+                places = joined.points[places] - joined.points[joined.bounds[doc]]
+                own, first = np.unique(doc, return_index=True)
+                bounds = np.append(first, len(doc)).astype(np.int32)
+                rows = chunk.first + own
+                columns = [
+                    pa.array(np.where(null[rows], 0, ids[rows]).astype(np.int64), pa.int64(), mask=null[rows]),
+                    pa.array([joined.text(row) for row in own], pa.string()),
+                    pa.ListArray.from_arrays(bounds, hashes.view(np.int64)),
+                    pa.ListArray.from_arrays(bounds, places.astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "signatures", "places"])
 
     return run
 
@@ -296,11 +414,11 @@ def least_edits(items: list[str], texts: list[str], percent: int = 0, at_once: i
     return best
 
 
-def _spans(starts: list[int], words: int, slack: int) -> list[list[int]]:
-    """Word ranges around the nominated windows, those that meet as one."""
+def _spans(starts: list[int], size: int, slack: int) -> list[list[int]]:
+    """Code points around the nominated windows of so many, those that meet as one."""
     spans: list[list[int]] = []
     for start in sorted(starts):
-        low, high = max(0, start - slack), start + words + slack
+        low, high = max(0, start - slack), start + size + slack
         if spans and low <= spans[-1][1]:
             spans[-1][1] = max(high, spans[-1][1])
         else:
@@ -325,15 +443,15 @@ def _check(percent: int, at_once: int = 4 << 20):
         ids, items, texts, size = [], [], [], 0
         for batch in batches:
             for doc, text, nominated in zip(*(batch.column(n) for n in ("doc_id", "text", "nominated")), strict=True):
-                words = text.as_py().split(" ")
+                whole = text.as_py()
                 starts: dict[tuple, list[int]] = {}
                 for n in nominated.as_py():
-                    starts.setdefault((n["item_id"], n["item"], n["words"]), []).append(n["start"])
-                for (item_id, item, count), own in starts.items():
-                    for low, high in _spans(own, count, 2 + math.ceil(count * (100 - percent) / 100)):
+                    starts.setdefault((n["item_id"], n["item"]), []).append(n["near"] * _NEAR)
+                for (item_id, item), own in starts.items():
+                    for low, high in _spans(own, len(item), 2 * _NEAR + len(item) * (100 - percent) // 100):
                         ids.append((doc.as_py(), item_id))
                         items.append(item)
-                        texts.append(" ".join(words[low:high]))
+                        texts.append(whole[low:high])
                         size += len(texts[-1])
                 if size > at_once:
                     yield checked(ids, items, texts)
@@ -357,20 +475,25 @@ def leaks(
 ) -> DataFrame:
     """One row per document and item found in it: ``edits``, the least distance, and ``item_chars``, the item's length.
 
-    ``recall`` is the share of items of 24 words with ``edited`` of the words
-    changed that the hashes are to find; unchanged items are always found.
+    ``recall`` is the share of items with all edits that ``percent`` allows that
+    the grams are to find, and of items of 24 words with ``edited`` of the words
+    changed that the walks are; unchanged items are always found.
     """
     workers()
     repeats = repetitions(recall, 24, edited)
     index = items.select(F.col(item).cast("long"), F.col(item_text).cast("string"))
-    index = settle(index.mapInArrow(_item_rows(repeats), "item_id long, item string, words int, signature long, place int"), "items")
-    walks = [s for s in WALKS if not index.where(_in_class(s)).isEmpty()]
+    index = settle(index.mapInArrow(_item_rows(repeats, percent, recall), _INDEX).withColumn("name", F.xxhash64("item_id", "item")), "items")
+    classes = index.select("walk", "gram").distinct().collect()
+    walks, grams = (sorted({c[i] for c in classes} - {None}) for i in (0, 1))
     texts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string"))
-    found = texts.mapInArrow(_scan(_bits(index), walks, repeats), _CANDIDATES)
+    found = texts.mapInArrow(_scan(_bits(index), walks, repeats, grams), _CANDIDATES)
     found = settle(found.withColumn("row", F.xxhash64("doc_id", "text")), "candidates")
     hits = found.select("row", F.explode(F.arrays_zip("signatures", "places")).alias("hit"))
     hits = hits.select("row", F.col("hit.signatures").alias("signature"), F.col("hit.places").alias("at"))
-    windows = hits.join(index, "signature").select("row", F.struct("item_id", "item", "words", (F.col("at") - F.col("place")).alias("start")).alias("n"))
+    near = F.floor((F.col("at") - F.col("place")) / _NEAR).cast("int").alias("near")
+    windows = hits.join(index.select("signature", "name", "place"), "signature").select("row", "name", near).distinct()
+    names = index.select("name", "item_id", "item").distinct()
+    windows = windows.join(names, "name").select("row", F.struct("item_id", "item", "near").alias("n"))
     # A document's nominations are in proportion to its own length; its text goes to a task once.
     windows = windows.groupBy("row").agg(F.collect_set("n").alias("nominated"))
     rows = windows.join(found.select("row", "doc_id", "text").dropDuplicates(["row"]), "row")
@@ -378,8 +501,3 @@ def leaks(
     # An item that occurs with several texts, or a document, counts by its nearest.
     out = checked.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "item_chars")).alias("least"))
     return out.select(F.col("doc_id").alias(doc), F.col("item_id").alias(item), "least.edits", "least.item_chars")
-
-
-def _in_class(steps: int):
-    above = [s for s in WALKS if s > steps]
-    return (F.col("words") >= steps) & (F.col("words") < min(above) if above else F.lit(True))

@@ -106,3 +106,25 @@ def test_an_item_keeps_walks_that_stand_still_if_it_has_no_others():
         hashes = np.array(words, np.uint64) << np.uint64(40)
         found = decontam.item_signatures(hashes, 3)
         assert found and all(0 <= place <= len(words) - decontam._steps_of(len(words)) for _, place in found)
+
+
+def scattered(item, share, rng):
+    """The item with a share of its characters replaced, left out or preceded by another."""
+    out = list(item)
+    for at in rng.sample(range(len(out)), len(out) * share // 100):
+        out[at] = rng.choice(["x", "", "q" + out[at]])
+    return "".join(out)
+
+
+def test_edits_up_to_the_bound_are_found_at_all_lengths(spark, table):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnoprstuvwyz"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(2, 8)))
+    items = [" ".join(word() for _ in range(n)) for n in (2, 3, 4, 6, 8, 10, 12, 13, 14, 15, 18, 23, 24, 40) for _ in range(8)]
+    words = lambda item: [w if i % 5 else "zz" for i, w in enumerate(item.split())]
+    texts = [" ".join([word(), word(), made, word()]) for item in items for made in (scattered(item, 20, rng), scattered(item, 14, rng), " ".join(words(item)))]
+    found = {(r.doc_id, r.item_id): r.edits for r in decontam.leaks(table(texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    want = {(d, d // 3): decontam.least_edits([items[d // 3]], [text])[0] for d, text in enumerate(texts)}
+    want = {k: v for k, v in want.items() if 100 * v <= 20 * len(items[k[1]])}
+    same = sum(found.get(k) == v for k, v in want.items())
+    assert len(want) > 250 and same >= 0.98 * len(want)
