@@ -2,7 +2,7 @@
 
 Text evidence: hashed byte trigrams of a page's visible text under counts per
 language of all labelled documents, weighed as at most ``EVIDENCE`` of them.
-Other evidence: the language that the markup declares and the suffix of the
+Other evidence: the language that the markup declares, wherever, and the suffix of the
 address, with the chance of each given the language, and the host's languages
 as a prior. A host's prior is smoothed towards its domain's, that towards the
 whole table's; all are sums of the pages' text probabilities, without the page
@@ -34,13 +34,25 @@ SMOOTH = 5.0
 #: The model is one row of BUCKETS values per language and goes to every task.
 MOST_LANGUAGES = 1000
 _HIDDEN = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(rb"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]+)")
+_ROOT = re.compile(rb"(?i)<html\b")
+_LANG = re.compile(rb"(?i)\slang\s*=\s*[\"']?([a-z]+)")
 
 
 def visible(html: bytes) -> bytes:
     return _HIDDEN.sub(b" ", html)
 
 
+def declared_language(html: bytes) -> str:
+    """The language of the first ``html`` tag that has one, wherever in the page; each byte is passed once."""
+    at = 0
+    while tag := _ROOT.search(html, at):
+        at = html.find(b">", tag.end())
+        at = len(html) if at < 0 else at
+        if found := _LANG.search(html, tag.end(), at):
+            return found[1].lower().decode()
+    return ""
+
+
 def trigrams(chunk: tx.Chunk) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte trigrams of all texts, and the text of each."""
     data = tx.LOWER[chunk.data].astype(np.int64)
@@ -85,7 +97,7 @@ def _evidence(table: np.ndarray):
     def run(batches):
         for batch in batches:
             html = [(x.as_py() or "").encode() for x in batch.column("html")]
-            declared = [(m[1].lower().decode() if (m := _DECLARED.search(x[:4096])) else "") for x in html]
+            declared = [declared_language(x) for x in html]
             shown = pa.array([visible(x).decode("utf-8", "ignore") for x in html], pa.string())
             logs = []
             for chunk in tx.chunks(shown):

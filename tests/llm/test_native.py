@@ -73,3 +73,13 @@ def test_evidence_moves_doubtful_pages(spark, table):
     assert found[20].language == "de" and found[22].language == "en"
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert langid.identify(empty, docs).count() == 0
+
+
+def test_language_declared_after_a_long_head(spark):
+    docs = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 5, "text string, lang string")
+    page = "<html lang='de'><p>der hund und die katze</p></html>"
+    ahead = ["", "<!-- " + "x" * 5000 + " -->", " " * 70_000 + "<!doctype html>\n<HTML class='a'>"]
+    rows = [(i, "", head + page) for i, head in enumerate(ahead)]
+    found = langid.identify(spark.createDataFrame(rows, "page_id long, url string, html string"), docs).collect()
+    assert sorted((r.page_id, r.declared, r.language) for r in found) == [(i, "de", "de") for i in range(len(ahead))]
+    assert langid.declared_language(b"<html " * 100_000) == ""
