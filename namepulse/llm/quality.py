@@ -8,8 +8,10 @@ far from its group's estimate by Mahalanobis distance is rejected.
 
 Medians and the half's radius come from counts over a fine fixed grid, so a
 group is never gathered, however large; means and products are partial sums.
-A group too small for an estimate takes its language's, and a small language
-the whole table's. Null languages and sources form groups of their own. Null
+The mean and covariance of a group of ``n`` documents that pass the base rule
+are drawn towards its language's by ``n / (n + SHRINK)``, and so are a
+language's towards the whole table's, at every step; there is no least size.
+Null languages and sources form groups of their own. Null
 and empty texts have zero statistics and fail the base rule. Repeated rows are
 judged one by one. An empty table gives no rows.
 """
@@ -33,7 +35,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FLOORS = {"length": 0.5, "word_length": 0.08, "symbols": 0.05, "dup_lines": 0.5, "repeats": 0.15}
 STATS = tuple(FLOORS)
 GRID = 0.01
-SMALL_GROUP = 100
+#: Documents that weigh as much as the wider estimate does.
+SHRINK = 20
 STEPS = 3
 #: 5 degrees of freedom, upper tail 1e-5.
 LIMIT = 30.9
@@ -152,8 +155,22 @@ def _start(rows: DataFrame) -> DataFrame:
     spreads = [F.greatest(1.4826 * pick(s, "at"), F.lit(FLOORS[s])).alias(f"sd_{s}") for s in STATS]
     table = both.agg(*means, *spreads)
     zero = F.lit(0.0)
-    inverse = F.array(*(F.array(*(1 / F.col(f"sd_{s}") ** 2 if s == t else zero for t in STATS)) for s in STATS))
-    return table.select("key", F.array(*(f"mean_{s}" for s in STATS)).alias("mean"), inverse.alias("inverse"))
+    spread = F.array(*(F.array(*(F.col(f"sd_{s}") ** 2 if s == t else zero for t in STATS)) for s in STATS))
+    return table.select("key", F.array(*(f"mean_{s}" for s in STATS)).alias("mean"), spread.alias("spread"))
+
+
+def _shrunk(raw: DataFrame, sizes: DataFrame, shrink: float) -> DataFrame:
+    """Means and inverse covariances from those of each key alone, drawn towards those above it."""
+    raw = raw.join(sizes, "key").withColumn("own", F.col("all") / (F.col("all") + shrink))
+    blend = lambda a, b: F.zip_with(a, b, lambda x, y: F.col("own") * x + (1 - F.col("own")) * y)
+    spread = F.zip_with("spread", "wide_spread", lambda a, b: blend(a, b))
+    whole = raw.where("key.level = 2").select("key", "mean", "spread")
+    wide = lambda above: above.select(F.col("key.lang").alias("wide_lang"), F.col("mean").alias("wide_mean"), F.col("spread").alias("wide_spread"))
+    drawn = lambda rows: rows.select("key", blend("mean", "wide_mean").alias("mean"), spread.alias("spread"))
+    langs = drawn(raw.where("key.level = 1").crossJoin(F.broadcast(wide(whole))))
+    groups = drawn(raw.where("key.level = 0").join(wide(langs), F.col("key.lang").eqNullSafe(F.col("wide_lang"))))
+    schema = raw.select("key", "mean", F.col("spread").alias("inverse")).schema
+    return groups.union(langs).union(whole).mapInArrow(_inverses, schema)
 
 
 def distance() -> Column:
@@ -164,38 +181,35 @@ def distance() -> Column:
 
 
 def _inverses(batches):
-    """Means and inverse covariances from counts, sums and products; floors keep them regular."""
-    floors = np.array([FLOORS[s] ** 2 for s in STATS])
     for batch in batches:
-        n = batch.column("n").to_numpy()
-        sums = np.array(batch.column("sums").to_pylist()).reshape(-1, len(STATS))
-        products = np.array(batch.column("products").to_pylist()).reshape(-1, len(STATS), len(STATS))
-        mean = sums / n[:, None]
-        spread = products / n[:, None, None] - mean[:, :, None] * mean[:, None, :]
-        # The nearest half spreads less than all: the consistency factor for 5 statistics.
-        spread = 1.9 * spread + np.diag(floors)
-        inverse = np.linalg.inv(spread) if len(n) else spread
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array(mean.tolist(), pa.list_(pa.float64())), pa.array(inverse.tolist(), pa.list_(pa.list_(pa.float64())))],
-            ["key", "mean", "inverse"],
-        )
+        spread = np.array(batch.column("spread").to_pylist()).reshape(-1, len(STATS), len(STATS))
+        inverse = np.linalg.inv(spread) if len(spread) else spread
+        columns = [batch.column("key"), batch.column("mean"), pa.array(inverse.tolist(), pa.list_(pa.list_(pa.float64())))]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "mean", "inverse"])
 
 
 def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One step: the estimate of the nearest half of each key's documents."""
+    """One step: mean and covariance of the nearest half of each key's documents; floors keep them regular."""
     far = rows.join(estimate, "key").withColumn("ring", F.floor(F.least(F.log1p(distance()), F.lit(20.0)) / GRID))
     counts = far.groupBy("key", "ring").agg(F.sum("n").alias("n"))
     radius = _weighted_median(counts, ["key"], "ring")
     near = far.drop("mean", "inverse").join(radius, "key").where("ring <= at")
-    sums = F.array(*(F.sum(F.col("n") * F.col(s)) for s in STATS))
-    products = F.array(*(F.array(*(F.sum(F.col("n") * F.col(s) * F.col(t)) for t in STATS)) for s in STATS))
-    moments = near.groupBy("key").agg(F.sum("n").cast("double").alias("n"), sums.alias("sums"), products.alias("products"))
-    schema = estimate.select("key", "mean", "inverse").schema
-    return moments.mapInArrow(_inverses, schema)
+    sums = [F.sum(F.col("n") * F.col(s)) for s in STATS]
+    products = [F.sum(F.col("n") * F.col(s) * F.col(t)) for s in STATS for t in STATS]
+    moments = near.groupBy("key").agg(F.sum("n").cast("double").alias("n"), F.array(*sums).alias("sums"), F.array(*products).alias("products"))
+    mean = [F.col("sums")[i] / F.col("n") for i in range(len(STATS))]
+
+    def spread(i: int, j: int) -> Column:
+        """The nearest half spreads less than all: the consistency factor for 5 statistics."""
+        own = 1.9 * (F.col("products")[i * len(STATS) + j] / F.col("n") - mean[i] * mean[j])
+        return own + FLOORS[STATS[i]] ** 2 if i == j else own
+
+    spreads = F.array(*(F.array(*(spread(i, j) for j in range(len(STATS)))) for i in range(len(STATS))))
+    return moments.select("key", F.array(*mean).alias("mean"), spreads.alias("spread"))
 
 
-def estimates(stats: DataFrame, steps: int = STEPS, small: int = SMALL_GROUP) -> DataFrame:
-    """``key``, ``mean`` and ``inverse`` of every group, language and the whole table that is large enough.
+def estimates(stats: DataFrame, steps: int = STEPS, shrink: float = SHRINK) -> DataFrame:
+    """``key``, ``mean`` and ``inverse`` of every group, language and the whole table.
 
     ``stats`` has ``lang``, ``source`` and the transformed statistics, which are
     rounded to the grid, so that equal vectors become one row with a weight.
@@ -203,12 +217,11 @@ def estimates(stats: DataFrame, steps: int = STEPS, small: int = SMALL_GROUP) ->
     cells = [(F.round(F.col(s) / GRID) * GRID).alias(s) for s in STATS]
     grid = stats.select("lang", "source", *cells).groupBy("lang", "source", *STATS).agg(F.count("*").alias("n"))
     rows = _levels(settle(grid, "quality-grid"))
-    rows = rows.groupBy("key", *STATS).agg(F.sum("n").alias("n"))
-    large = rows.groupBy("key").agg(F.sum("n").alias("all")).where((F.col("all") >= small) | (F.col("key.level") == 2))
-    rows = settle(rows.join(large.select("key"), "key"), "quality-rows")
-    estimate = settle(_start(rows), "quality-start")
+    rows = settle(rows.groupBy("key", *STATS).agg(F.sum("n").alias("n")), "quality-rows")
+    sizes = settle(rows.groupBy("key").agg(F.sum("n").alias("all")), "quality-sizes")
+    estimate = settle(_shrunk(settle(_start(rows), "quality-raw"), sizes, shrink), "quality-start")
     for _ in range(steps):
-        estimate = settle(_concentrate(rows, estimate), "quality-step")
+        estimate = settle(_shrunk(settle(_concentrate(rows, estimate), "quality-raw"), sizes, shrink), "quality-step")
     return estimate
 
 

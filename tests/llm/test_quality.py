@@ -49,3 +49,15 @@ def test_kept_rows_come_back_whole(table, clashing):
 def test_empty_table(table):
     assert quality.judge(table([])).count() == 0
     assert quality.keep_rows(table([])).count() == 0
+
+
+def test_a_small_source_is_judged_by_its_own(spark):
+    """99 documents of code among prose of their language, each source in its own way."""
+    rng = random.Random(6)
+    prose = [" ".join(rng.choice(["sun", "river", "walks", "under", "stone,", "the"]) for _ in range(rng.randint(40, 90))) for _ in range(300)]
+    code = [" ".join(rng.choice(["a<b", "if(x)", "call(y)", "&ref", "x=1;", "ptr*", "return", "value"]) for _ in range(rng.randint(40, 90))) for _ in range(99)]
+    junk = ["|".join(["a", "#%", "&&"] * 60) + " " + " ".join(f"$${i}##" for i in range(50))]
+    made = [(i, t, "en", s) for i, (t, s) in enumerate([(t, "web") for t in prose] + [(t, "code") for t in code] + [(junk[0], "few")])]
+    found = {r.doc_id: r for r in quality.judge(spark.createDataFrame(made, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(found[i].kept or found[i].base_failed for i in range(399)) and not found[399].kept
+    assert sum(found[i].kept for i in range(300, 399)) > 90
