@@ -532,7 +532,7 @@ def _run_to_end(spark, writer, checkpoint):
     its partitions as it goes; a stream keeps the number it starts with.)"""
     cores = str(spark.sparkContext.defaultParallelism)
     with settings(spark, {"spark.sql.shuffle.partitions": cores}):
-        run_to_end(writer, checkpoint)
+        run_to_end(spark, writer, checkpoint)
 
 
 def _run(spark, label, build):

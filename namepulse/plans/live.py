@@ -37,15 +37,15 @@ def start_top(
 ) -> list[StreamingQuery]:
     """Start both queries of a job, a micro-batch ``every`` so often."""
     return [
-        start(updates, f"{root}/checkpoint/updates", every),
-        start(_top(spark, root), f"{root}/checkpoint/top", every),
+        start(spark, updates, f"{root}/checkpoint/updates", every),
+        start(spark, _top(spark, root), f"{root}/checkpoint/top", every),
     ]
 
 
 def catch_up_top(spark: SparkSession, updates: DataStreamWriter, root: str) -> None:
     """Run both queries of a job over what is there now, then stop."""
-    run_to_end(updates, f"{root}/checkpoint/updates")
-    run_to_end(_top(spark, root), f"{root}/checkpoint/top")
+    run_to_end(spark, updates, f"{root}/checkpoint/updates")
+    run_to_end(spark, _top(spark, root), f"{root}/checkpoint/top")
 
 
 def _top(spark: SparkSession, root: str) -> DataStreamWriter:

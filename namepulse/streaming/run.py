@@ -14,18 +14,22 @@ STATE_SETTINGS = {
 
 
 def start(
-    writer: DataStreamWriter, checkpoint: str, every: str | None = None
+    spark: SparkSession, writer: DataStreamWriter, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Start a query: every ``every`` (such as ``"15 minutes"``), or, without
-    it, over what is there now and then stop. State is durable either way."""
+    it, over what is there now and then stop. State is durable either way.
+
+    ``spark`` is the session of the stream's frame. The active session may be
+    another one, such as a micro-batch's, and its settings would not count.
+    """
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    with settings(SparkSession.active(), STATE_SETTINGS):
+    with settings(spark, STATE_SETTINGS):
         return writer.start()
 
 
-def run_to_end(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
-    query = start(writer, checkpoint)
+def run_to_end(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
+    query = start(spark, writer, checkpoint)
     query.awaitTermination()
     return query
 

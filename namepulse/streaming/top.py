@@ -57,7 +57,10 @@ def rising_top(records: DataFrame, root: str, k: int = S.LIVE_TOP) -> DataStream
 def read_snapshot(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """The list after a recent micro-batch; empty before the first."""
     if batch_id < 0:
-        return spark.createDataFrame([], ENTRY_DDL)
+        # Not createDataFrame, which would make a micro-batch's session the active one.
+        return spark.range(0).select(
+            F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("count")
+        )
     snapshot = spark.read.schema(SNAPSHOT_DDL).parquet(_slot(root, batch_id))
     return snapshot.where(F.col("batch") == batch_id).select(F.inline("top"))
 

@@ -1,6 +1,7 @@
 """Streams against their batch twins, restarts included."""
 
 import datetime as dt
+import json
 import os
 import random
 import time
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from namepulse.operators import histogram, hourly, live, replay, unpack
 from namepulse.plans import live as live_plan
+from namepulse.session import ROCKSDB
 from namepulse.sources import stream
 from namepulse.streaming import counts, sweep, top
 from namepulse.streaming.run import run_to_end, write_batches
@@ -60,7 +62,7 @@ def test_names_on_a_stream_equal_names_in_batch(spark, folder):
     rows = [(name, text, START) for name, text in LINES.items() if name != "bad_date"]
     add(spark, f"{folder}/in", rows, ddl)
     names = unpack.stream_names(stream.record_stream(spark, f"{folder}/in"))
-    run_to_end(write_batches(names, f"{folder}/out"), f"{folder}/ck")
+    run_to_end(spark, write_batches(names, f"{folder}/out"), f"{folder}/ck")
     written = spark.read.parquet(f"{folder}/out").select("id", "name")
     batch = unpack.names_by_day(spark.read.parquet(f"{folder}/in"))
     assert rows_of(written) == rows_of(batch.select("id", "word"))
@@ -70,7 +72,7 @@ def test_sliding_hour_equals_batch_across_restarts(spark, folder):
     for rows in SLICES:
         add(spark, f"{folder}/in", rows)
         windows = counts.sliding_hour_stream(read(spark, f"{folder}/in"), "1 minute")
-        run_to_end(write_batches(windows, f"{folder}/out").outputMode("append"), f"{folder}/ck")
+        run_to_end(spark, write_batches(windows, f"{folder}/out").outputMode("append"), f"{folder}/ck")
     everything = spark.read.parquet(f"{folder}/in")
     last = everything.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=1)
     closed = hourly.sliding_hour(everything).where(F.col("window_end") <= F.lit(last))
@@ -83,7 +85,7 @@ def test_swept_counts_equal_batch_across_restarts(spark, folder, phase):
     for rows in SLICES:
         add(spark, f"{folder}/in", rows)
         swept = sweep.swept_counts(read(spark, f"{folder}/in"), "10 minutes", phase)
-        run_to_end(write_batches(swept, f"{folder}/out").outputMode("update"), f"{folder}/ck")
+        run_to_end(spark, write_batches(swept, f"{folder}/out").outputMode("update"), f"{folder}/ck")
     everything = spark.read.parquet(f"{folder}/in")
     written = spark.read.schema(sweep.OUTPUT_DDL + ", batch bigint").parquet(f"{folder}/out")
     latest = (
@@ -107,7 +109,7 @@ def test_swept_windows_equal_batch_when_closed(spark, folder, phase):
     for rows in SLICES:
         add(spark, f"{folder}/in", rows)
         windows = counts.swept_windows(read(spark, f"{folder}/in"), "10 minutes", phase)
-        run_to_end(write_batches(windows, f"{folder}/out").outputMode("append"), f"{folder}/ck")
+        run_to_end(spark, write_batches(windows, f"{folder}/out").outputMode("append"), f"{folder}/ck")
     everything = spark.read.parquet(f"{folder}/in")
     reached = everything.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10, hours=1)
     closed = F.unix_micros(F.lit(reached))
@@ -124,7 +126,7 @@ def test_late_records_count_until_swept(spark, folder):
     for rows in batches:
         add(spark, f"{folder}/in", rows)
         swept = sweep.swept_counts(read(spark, f"{folder}/in"), "1 hour")
-        run_to_end(write_batches(swept, f"{folder}/out").outputMode("update"), f"{folder}/ck")
+        run_to_end(spark, write_batches(swept, f"{folder}/out").outputMode("update"), f"{folder}/ck")
     written = spark.read.schema(sweep.OUTPUT_DDL + ", batch bigint").parquet(f"{folder}/out")
     last = written.where("kind = 'count'").groupBy("at_us").agg(F.max_by("last_hour", "batch"))
     hour = 3_600_000_000
@@ -136,14 +138,14 @@ def test_a_batch_that_runs_again_changes_nothing(spark, folder):
     for rows in SLICES[:2]:
         add(spark, f"{folder}/in", rows)
         run_to_end(
-            counts.count_updates(read(spark, f"{folder}/in"), f"{folder}/out"), f"{folder}/ck"
+            spark, counts.count_updates(read(spark, f"{folder}/in"), f"{folder}/out"), f"{folder}/ck"
         )
     before = rows_of(spark.read.parquet(f"{folder}/out"))
     os.remove(f"{folder}/ck/commits/1")
     crc = f"{folder}/ck/commits/.1.crc"
     if os.path.exists(crc):
         os.remove(crc)
-    run_to_end(counts.count_updates(read(spark, f"{folder}/in"), f"{folder}/out"), f"{folder}/ck")
+    run_to_end(spark, counts.count_updates(read(spark, f"{folder}/in"), f"{folder}/out"), f"{folder}/ck")
     assert rows_of(spark.read.parquet(f"{folder}/out")) == before
     updates = stream.decode_updates(spark.read.parquet(f"{folder}/out"))
     assert rows_of(live.latest_per_name(updates)) == rows_of(
@@ -169,7 +171,7 @@ def test_live_top_follows_falling_counts(spark, folder):
     ddl, before = "name string, count bigint, seq bigint", {}
     for number, (rows, expected) in enumerate(changes(5)):
         add(spark, f"{folder}/in", rows, ddl)
-        run_to_end(top.live_top(read(spark, f"{folder}/in", ddl), f"{folder}/top", 5), f"{folder}/ck")
+        run_to_end(spark, top.live_top(read(spark, f"{folder}/in", ddl), f"{folder}/top", 5), f"{folder}/ck")
         assert rows_of(top.read_latest_snapshot(spark, f"{folder}/top")) == rows_of(
             spark.createDataFrame(expected, "name string, count bigint")
         )
@@ -198,7 +200,7 @@ def test_snapshots_go_round_their_slots(spark, folder, monkeypatch):
 def test_rising_top_equals_batch(spark, folder):
     for rows in SLICES:
         add(spark, f"{folder}/in", rows)
-        run_to_end(top.rising_top(read(spark, f"{folder}/in"), f"{folder}/top", 3), f"{folder}/ck")
+        run_to_end(spark, top.rising_top(read(spark, f"{folder}/in"), f"{folder}/top", 3), f"{folder}/ck")
         so_far = spark.read.parquet(f"{folder}/in")
         assert rows_of(top.read_latest_snapshot(spark, f"{folder}/top")) == rows_of(
             live.top_names(live.name_counts(so_far), 3)
@@ -209,7 +211,7 @@ def test_window_topk_equals_batch(spark, folder):
     for rows in SLICES:
         add(spark, f"{folder}/in", rows)
         windows = counts.sliding_hour_stream(read(spark, f"{folder}/in"), "1 minute")
-        run_to_end(counts.window_topk(windows, f"{folder}/out", 2), f"{folder}/ck")
+        run_to_end(spark, counts.window_topk(windows, f"{folder}/out", 2), f"{folder}/ck")
     everything = spark.read.parquet(f"{folder}/in")
     last = everything.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=1)
     closed = hourly.sliding_hour(everything).where(F.col("window_end") <= F.lit(last))
@@ -284,7 +286,7 @@ def test_new_reader_can_start_at_the_end(spark, folder):
     since = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     add(spark, f"{folder}/in", updates("new"), stream.UPDATE_STREAM_DDL)
     decoded = stream.update_stream(spark, f"{folder}/in", since=since)
-    run_to_end(write_batches(decoded, f"{folder}/out"), f"{folder}/ck")
+    run_to_end(spark, write_batches(decoded, f"{folder}/out"), f"{folder}/ck")
     assert [tuple(r)[:3] for r in spark.read.parquet(f"{folder}/out").collect()] == [("new", 7, 0)]
 
 
@@ -309,3 +311,20 @@ def test_event_time_travels_in_a_message_header(spark):
     micros = lambda when: int(when.timestamp() * 1_000_000)
     assert times(received) == [("k", "v", micros(START))]
     assert times(bare) == [("k", "v", micros(arrived))]
+
+
+def state_provider(checkpoint):
+    """The provider a query's first micro-batch was planned with."""
+    with open(f"{checkpoint}/offsets/0") as offsets:
+        conf = json.loads(offsets.read().split("\n")[1])["conf"]
+    return conf["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_a_stream_after_another_keeps_durable_state(spark, folder):
+    add(spark, f"{folder}/in", SLICES[0])
+    records = read(spark, f"{folder}/in")
+    run_to_end(spark, top.rising_top(records, f"{folder}/top", 3), f"{folder}/ck-top")
+    swept = sweep.swept_counts(records, "10 minutes")
+    run_to_end(spark, write_batches(swept, f"{folder}/out").outputMode("update"), f"{folder}/ck")
+    assert state_provider(f"{folder}/ck-top") == ROCKSDB
+    assert state_provider(f"{folder}/ck") == ROCKSDB
