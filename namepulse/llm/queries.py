@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from namepulse.llm import decontam, jaccard, langid, licenses, linededup, packing, ppm, quality, replytrees, suffixes
+from namepulse.llm import decontam, jaccard, langid, licenses, linededup, packing, pii, ppm, quality, replytrees, suffixes
 from namepulse.llm.oracles import ORACLE_SQL
 from namepulse.llm.tables import documents
 
@@ -80,6 +80,10 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.drop_repeats(documents(spark, sf_dir), length=400, with_text=False).drop("kept")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir), pii.train(pii.example_table(spark)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -91,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ppm": op8_ppm,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_pii": op11_pii,
 }

@@ -67,4 +67,4 @@ def test_open_windows_are_bounded_and_the_best_fit_is_taken():
     docs = [(i, b"\0" * (4 * n), 0, n) for i, n in enumerate([6, 3, 4, 9, 1])]
     windows = list(packing.pack(iter(docs), 10, 2))
     assert [w.size for w in windows] == [10, 10, 3]
-    assert [(d[0], s, n) for d, s, n in windows[0].pieces] == [(0, 0, 6), (2, 0, 4)]
+    assert [(d[0], s, n) for d, s, n in windows[0].pieces] == [(0, 0, 6), (1, 0, 3), (3, 0, 1)]
