@@ -98,9 +98,46 @@ SELECT doc_id, line_no::BIGINT AS line_no, arg_min(license, (-dice, license)) AS
 FROM scored WHERE dice >= {LEAST} GROUP BY doc_id, line_no
 """
 
+_COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_low("text")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+sizes AS (SELECT lang, sum(len(words))::BIGINT AS n FROM cut GROUP BY lang),
+grams AS (
+  SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS place FROM cut, range(1, 6) sizes(size))
+),
+counted AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT *, string_split(phrase, ' ') AS words FROM counted WHERE size > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, h.a AS l, t.a AS r, n, ((1000::HUGEINT * c.a * n) // (h.a::HUGEINT * t.a))::BIGINT AS score
+  FROM cuts c JOIN counted h ON h.lang = c.lang AND h.phrase = c.head JOIN counted t ON t.lang = c.lang AND t.phrase = c.tail
+    JOIN sizes s ON s.lang = c.lang
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT lang, a, array_to_string(words[place:place + part - 1], ' ') AS phrase
+  FROM (
+    SELECT *, unnest(range(1, size - part + 2)) AS place FROM (SELECT *, unnest(range(2, size)) AS part FROM candidates)
+  )
+),
+held AS (SELECT DISTINCT b.lang, b.phrase FROM best b JOIN inside i ON b.lang = i.lang AND b.phrase = i.phrase AND 100 * i.a >= 100 * b.a),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b ANTI JOIN held h ON b.lang = h.lang AND b.phrase = h.phrase
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": _LICENSES,
     "op4_chat_formatting": _CHAT,
     "op6_line_dedup": _LINE_DEDUP,
     "op7_jaccard_join": _JACCARD,
+    "op13_collocations": _COLLOCATIONS,
 }
