@@ -134,10 +134,35 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """
 
+_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+_SEARCH = rf"""
+WITH cut AS (SELECT doc_id, regexp_extract_all({_low("coalesce(text, '')")}, {_TERMS}) AS terms FROM documents),
+sizes AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM cut),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_low("coalesce(text, '')")}, {_TERMS})) AS term FROM benchmark
+),
+rows AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM cut),
+held AS (SELECT doc_id, n, term, count(*) AS tf FROM rows SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, sizes GROUP BY term
+),
+worth AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS impact
+  FROM held JOIN weights USING (term), sizes
+),
+scored AS (SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN worth USING (term) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": _LICENSES,
     "op4_chat_formatting": _CHAT,
     "op6_line_dedup": _LINE_DEDUP,
     "op7_jaccard_join": _JACCARD,
+    "op12_lexical_search": _SEARCH,
     "op13_collocations": _COLLOCATIONS,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from namepulse.llm import collocations, decontam, jaccard, langid, licenses, linededup, packing, pii, ppm, quality, replytrees, suffixes
+from namepulse.llm import collocations, decontam, jaccard, langid, licenses, linededup, packing, pii, ppm, quality, ranked, replytrees, suffixes
 from namepulse.llm.oracles import ORACLE_SQL
 from namepulse.llm.tables import documents
 
@@ -84,6 +84,10 @@ def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir), pii.train(pii.example_table(spark)))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), k=50)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir), least=100, longest=5, most=2000)
 
@@ -100,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_pii": op11_pii,
+    "op12_lexical_search": op12_lexical_search,
     "op13_collocations": op13_collocations,
 }
