@@ -12,7 +12,7 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-SPARK_TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double"}
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean", "DOUBLE": "double"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
