@@ -18,10 +18,9 @@ counts pairs of neighbouring ids:
 
 Texts are read once a length; nothing as long as a text is shuffled.
 
-Counts are added up by (language, hash, hash of the first words, hash of the
-last words), so phrases of equal text have one row wherever they occur, and a
-hot word or language is spread over all of them. Hashes are 64 bits wide and
-two of them name a phrase.
+Counts are added up by pair: both small ids in one number, or the hashes of the
+first and of the last words. Hashes are 64 bits wide and begin from the
+language, so a hot word or language is spread over all its phrases.
 
 A null text is an empty one; a null language is ``und``. Ids are not read:
 repeated rows count as often as they occur. Ties are ordered by phrase. An
@@ -49,7 +48,9 @@ UNKNOWN = "und"
 _BUCKET = 1 << 15
 _IS_CUT = tx.table(b".,;:!?\x0a\x0b\x0c\x0d")
 _IS_BLANK = tx.table(b"\x20\x09")
-_PAIRS = "lang string, gram long, head long, tail long, a long"
+#: A pair of small ids is one number, with no second part; another pair is two hashes.
+_PAIRS = "part long, other long, a long"
+_ID_BITS = 32
 
 
 def _words(chunk: tx.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,22 +101,44 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tx.Chunk, np.nd
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(language, hash, word, occurrences) of every chunk."""
+    """(language, word, occurrences) of every chunk."""
     for chunk, lang, names, salts in _chunks(batches):
         starts, ends, hashes, doc, _ = _words(chunk)
         if not len(starts):
             continue
         own = lang[doc]
-        grams, first, n = np.unique(tx.mix(hashes ^ salts[own]), return_index=True, return_counts=True)
+        _, first, n = np.unique(tx.mix(hashes ^ salts[own]), return_index=True, return_counts=True)
         lengths = (ends - starts)[first]
         places = np.repeat(starts[first] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
         text = tx.LOWER[chunk.data[places]]
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         word = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.tobytes()), pa.py_buffer(text.tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()).take(pa.array(own[first])), tx.column(grams), word.cast(pa.string()), pa.array(n, pa.int64())],
-            ["lang", "gram", "word", "a"],
-        )
+        langs = pa.array(names, pa.string()).take(pa.array(own[first]))
+        yield pa.RecordBatch.from_arrays([langs, word.cast(pa.string()), pa.array(n, pa.int64())], ["lang", "word", "a"])
+
+
+def _name_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash that stands for each (language, word)."""
+    for batch in batches:
+        for chunk, lang, names, salts in _chunks(iter([batch])):
+            grams = tx.mix(tx.range_hash(chunk.data, chunk.offsets[:-1], chunk.offsets[1:]) ^ salts[lang])
+            yield pa.RecordBatch.from_arrays([tx.column(grams), *(c.slice(chunk.first, len(lang)) for c in batch.columns)], ["gram", *batch.schema.names])
+
+
+def _name_pairs(tables):
+    """Pairs as counted to (phrase, first words, last words, occurrences)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, heads = tables.value
+        for batch in batches:
+            small = np.asarray(batch.column(1).is_null())
+            head = np.asarray(batch.column(0)).view(np.uint64).copy()
+            tail = np.asarray(batch.column(1).fill_null(0)).view(np.uint64).copy()
+            ids = head[small].astype(np.int64)
+            head[small], tail[small] = heads.gram_of[ids >> _ID_BITS], heads.gram_of[ids & ((1 << _ID_BITS) - 1)]
+            yield pa.RecordBatch.from_arrays([tx.column(join(head, tail)), tx.column(head), tx.column(tail), batch.column(2)], ["gram", "head", "tail", "a"])
+
+    return run
 
 
 class _Tiles:
@@ -157,11 +180,9 @@ class Heads:
     """Small ids of the most frequent phrases: languages one after the other, in each by rank."""
 
     def __init__(self, langs: list[str], grams: np.ndarray):
-        self.names = sorted(set(langs))
-        number = {name: i for i, name in enumerate(self.names)}
-        own = np.array([number[name] for name in langs], np.int32)
-        place = np.argsort(own, kind="stable")
-        self.gram_of, self.lang_of = grams[place], own[place]
+        number = {name: i for i, name in enumerate(sorted(set(langs)))}
+        own = np.array([number[name] for name in langs], np.int64)
+        self.gram_of = grams[np.argsort(own, kind="stable")]
         self.ids = np.argsort(self.gram_of)
         self.grams = self.gram_of[self.ids]
         self.tiles = -(-len(grams) // TILE)
@@ -196,8 +217,7 @@ def _count_pairs(size: int, tables):
 
         def by_address(tile: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             a, b = tile // n_tiles * TILE + cell // TILE, tile % n_tiles * TILE + cell % TILE
-            langs = pa.array(heads.names, pa.string()).take(pa.array(heads.lang_of[a]))
-            return _rows(langs, heads.gram_of[a], heads.gram_of[b], n)
+            return _rows((a << _ID_BITS) | b, None, n)
 
         for chunk, lang, names, salts in _chunks(batches):
             _, _, hashes, doc, joined = _words(chunk)
@@ -216,7 +236,6 @@ def _count_pairs(size: int, tables):
                 grams, place = join(head, tail), place[near]
             if not len(grams):
                 continue
-            own = lang[doc[place]]
             a, b = heads.id_of(head), heads.id_of(tail)
             small = (a >= 0) & (b >= 0)
             tile = a[small] // TILE * n_tiles + b[small] // TILE
@@ -224,17 +243,16 @@ def _count_pairs(size: int, tables):
                 yield by_address(*found)
             rest, first, n = np.unique(grams[~small], return_index=True, return_counts=True)
             if len(rest):
-                langs = pa.array(names, pa.string()).take(pa.array(own[~small][first]))
-                yield _rows(langs, head[~small][first], tail[~small][first], n)
+                yield _rows(head[~small][first], tail[~small][first], n)
         for found in tiles.counted():
             yield by_address(*found)
 
     return run
 
 
-def _rows(langs: pa.Array, head: np.ndarray, tail: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    columns = [langs, tx.column(join(head, tail)), tx.column(head), tx.column(tail), pa.array(n, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "gram", "head", "tail", "a"])
+def _rows(part: np.ndarray, other: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
+    second = pa.nulls(len(part), pa.int64()) if other is None else tx.column(other)
+    return pa.RecordBatch.from_arrays([tx.column(part), second, pa.array(n, pa.int64())], ["part", "other", "a"])
 
 
 def _bit_table(frequent: DataFrame) -> np.ndarray:
@@ -278,13 +296,13 @@ def phrases(
     workers()
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    words = texts.mapInArrow(_count_words, "lang string, gram long, word string, a long")
-    words = settle(words.groupBy("lang", "gram", "word").agg(F.sum("a").alias("a")), "words")
+    words = texts.mapInArrow(_count_words, "lang string, word string, a long")
+    words = settle(words.groupBy("lang", "word").agg(F.sum("a").alias("a")), "words")
     sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
     none = F.array().cast("array<long>")
     levels = [
         settle(
-            words.where(F.col("a") >= least).select(
+            words.where(F.col("a") >= least).mapInArrow(_name_words, "gram long, lang string, word string, a long").select(
                 "lang", "gram", F.lit(None).cast("long").alias("head"), F.lit(None).cast("long").alias("tail"), "a",
                 F.col("word").alias("phrase"), none.alias("heads"), none.alias("tails"),
             ),
@@ -297,10 +315,12 @@ def phrases(
         bits |= _bit_table(before)
         tables = spark.sparkContext.broadcast((bits, _heads(before)))
         pairs = texts.mapInArrow(_count_pairs(size, tables), _PAIRS)
-        pairs = pairs.groupBy("lang", "gram", "head", "tail").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+        pairs = pairs.groupBy("part", "other").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+        pairs = settle(pairs.mapInArrow(_name_pairs(tables), "gram long, head long, tail long, a long"), f"pairs-{size}")
+        # A phrase's hash belongs to one language, that of its words.
         first = before.select("lang", F.col("gram").alias("head"), F.col("phrase").alias("start"), F.col("heads").alias("h"), F.col("a").alias("ha"))
-        last = before.select("lang", F.col("gram").alias("tail"), F.col("phrase").alias("end"), F.col("tails").alias("t"), F.col("a").alias("ta"))
-        found = settle(pairs, f"pairs-{size}").join(first, ["lang", "head"]).join(last, ["lang", "tail"])
+        last = before.select(F.col("gram").alias("tail"), F.col("phrase").alias("end"), F.col("tails").alias("t"), F.col("a").alias("ta"))
+        found = pairs.join(first, "head").join(last, "tail")
         levels.append(
             settle(
                 found.select(
