@@ -9,31 +9,86 @@ from pyspark.sql.streaming import DataStreamWriter
 from namepulse import schema as S
 from namepulse.operators.live import (
     delta_json,
-    latest_per_name,
     name_counts,
     top_names,
     topk_delta,
 )
 from namepulse.streaming.run import batch_folder
+from namepulse.streaming.shortlist import LIST_DDL, SHARDS, shard_lists
 
 ENTRY_DDL = "name string, count bigint"
 SNAPSHOT_DDL = "batch bigint, top array<struct<name: string, count: bigint>>"
 SLOTS = 16
 
 
-def live_top(updates: DataFrame, root: str, k: int = S.LIVE_TOP) -> DataStreamWriter:
+def live_top(
+    updates: DataFrame, root: str, k: int = S.LIVE_TOP, shards: int = SHARDS
+) -> DataStreamWriter:
     """Top list over a stream of count updates (name, count, seq).
 
-    Counts may fall, and then a name long silent can come back into the list,
-    so every name's latest count is state and the list is taken from all of
-    them: per task first, then one merge of ``k`` rows a task.
+    Counts may fall, and then a name long silent can come back into the list.
+    Names are kept in shards, each with a short list of its best
+    (:func:`shard_lists`), so a trigger touches the names it changes and the
+    lists of their shards; the top list is merged from all lists, ``k`` names a
+    shard. The newest lists are a table beside the snapshots.
     """
-    ranked = top_names(latest_per_name(updates), k)
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        _publish(batch, root, batch_id)
+        # Written first: what follows reads it more than once, and state must be gone through once.
+        changed = f"{root}/changed/slot={batch_id % SLOTS}"
+        batch.write.mode("overwrite").parquet(changed)
+        new = batch.sparkSession.read.schema(LIST_DDL).parquet(changed)
+        lists = _shard_lists(batch.sparkSession, root, batch_id - 1).join(
+            new.select("shard"), "shard", "left_anti"
+        )
+        lists.unionByName(new).withColumn("batch", F.lit(batch_id).cast("bigint")).coalesce(
+            1
+        ).write.mode("overwrite").parquet(_lists_slot(root, batch_id))
+        entries = _shard_lists(batch.sparkSession, root, batch_id).select(
+            F.inline(F.arrays_zip(F.col("names").alias("name"), F.col("counts").alias("count")))
+        )
+        _publish(top_names(entries, k), root, batch_id)
+
+    return shard_lists(updates, k, shards).writeStream.outputMode("update").foreachBatch(body)
+
+
+def _lists_slot(root: str, batch_id: int) -> str:
+    return f"{root}/lists/slot={batch_id % SLOTS}"
+
+
+def _shard_lists(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The shards' lists after a recent micro-batch; empty before the first."""
+    if batch_id < 0:
+        return spark.range(0).select(
+            F.lit(None).cast("int").alias("shard"),
+            F.lit(None).cast("array<string>").alias("names"),
+            F.lit(None).cast("array<bigint>").alias("counts"),
+        )
+    lists = spark.read.schema(f"{LIST_DDL}, batch bigint").parquet(_lists_slot(root, batch_id))
+    return lists.where(F.col("batch") == batch_id).drop("batch")
+
+
+def top_from_state(
+    spark: SparkSession, checkpoint: str, k: int = S.LIVE_TOP, shards: bool = True
+) -> DataFrame:
+    """The top list as the durable state of a stopped query has it, read as a
+    table: of :func:`live_top`, or of :func:`rising_top` where ``shards`` is
+    off. Needs neither snapshots nor updates."""
+    state = spark.read.format("statestore")
+    if not shards:
+        counts = state.load(checkpoint).select(
+            "key.name", F.col("value.*")
+        ).toDF("name", "count")
+        return top_names(counts, k)
+    counts = state.option("stateVarName", "counts").load(checkpoint)
+    stored = F.col("user_map_key.name")
+    name = F.when(stored != "", F.substring(stored, 2, 1 << 30))
+    return top_names(counts.select(name.alias("name"), F.col("user_map_value.count").alias("count")), k)
 
-    return ranked.writeStream.outputMode("complete").foreachBatch(body)
+
+def rebuild_snapshot(spark: SparkSession, root: str, top: DataFrame, batch_id: int) -> None:
+    """Write ``top`` as the list after a micro-batch, as if the snapshot had never been lost."""
+    _write_snapshot(top, root, batch_id)
 
 
 def rising_top(records: DataFrame, root: str, k: int = S.LIVE_TOP) -> DataStreamWriter:
@@ -94,10 +149,7 @@ def _publish(top: DataFrame, root: str, batch_id: int) -> None:
     that runs again finds what it found the first time.
     """
     spark = top.sparkSession
-    entries = F.collect_list(F.struct("name", "count")).alias("top")
-    top.agg(entries).select(F.lit(batch_id).cast("bigint").alias("batch"), "top").write.mode(
-        "overwrite"
-    ).parquet(_slot(root, batch_id))
+    _write_snapshot(top, root, batch_id)
     change = topk_delta(
         read_snapshot(spark, root, batch_id - 1), read_snapshot(spark, root, batch_id)
     )
@@ -105,5 +157,12 @@ def _publish(top: DataFrame, root: str, batch_id: int) -> None:
     change.coalesce(1).write.mode("overwrite").parquet(batch_folder(f"{root}/delta", batch_id))
 
 
+def _write_snapshot(top: DataFrame, root: str, batch_id: int) -> None:
+    entries = F.collect_list(F.struct("name", "count")).alias("top")
+    top.agg(entries).select(F.lit(batch_id).cast("bigint").alias("batch"), "top").write.mode(
+        "overwrite"
+    ).parquet(_slot(root, batch_id))
+
+
 def _slot(root: str, batch_id: int) -> str:
     return f"{root}/snapshot/slot={batch_id % SLOTS}"

@@ -4,8 +4,10 @@ import datetime as dt
 import json
 import os
 import random
+import shutil
 import time
 
+import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from namepulse.operators import histogram, hourly, live, replay, unpack
 from namepulse.plans import live as live_plan
 from namepulse.session import ROCKSDB
 from namepulse.sources import stream
-from namepulse.streaming import counts, sweep, top
+from namepulse.streaming import counts, shortlist, sweep, top
 from namepulse.streaming.run import run_to_end, write_batches
 from tests.lines import LINES, line
 
@@ -183,6 +185,87 @@ def test_live_top_follows_falling_counts(spark, folder):
     assert top.read_messages(spark, f"{folder}/top").count() == number + 1
 
 
+def test_the_list_comes_back_from_state_alone(spark, folder):
+    ddl = "name string, count bigint, seq bigint"
+    for rows, expected in changes(6):
+        add(spark, f"{folder}/in", [*rows, (None, 3, rows[-1][2])], ddl)
+        run_to_end(spark, top.live_top(read(spark, f"{folder}/in", ddl), f"{folder}/top", 5, 3), f"{folder}/ck")
+    listed = rows_of(top.read_latest_snapshot(spark, f"{folder}/top"))
+    shutil.rmtree(f"{folder}/top/snapshot")
+    found = top.top_from_state(spark, f"{folder}/ck", 5)
+    assert rows_of(found) == listed
+    top.rebuild_snapshot(spark, f"{folder}/top", found, 3)
+    assert rows_of(top.read_latest_snapshot(spark, f"{folder}/top")) == listed
+    assert state_provider(f"{folder}/ck") == ROCKSDB
+    add(spark, f"{folder}/in2", SLICES[0])
+    run_to_end(spark, top.rising_top(read(spark, f"{folder}/in2"), f"{folder}/top2", 3), f"{folder}/ck2")
+    assert rows_of(top.top_from_state(spark, f"{folder}/ck2", 3, shards=False)) == rows_of(
+        top.read_latest_snapshot(spark, f"{folder}/top2")
+    )
+    assert state_provider(f"{folder}/ck2") == ROCKSDB
+
+
+class Cell:
+    """A value or a map of state in memory, with a count of the times it was gone through."""
+
+    def __init__(self):
+        self.value, self.map, self.scans = None, {}, 0
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+    update = lambda self, value: setattr(self, "value", value)
+    containsKey = lambda self, key: key in self.map
+    getValue = lambda self, key: self.map.get(key)
+    updateValue = lambda self, key, value: self.map.__setitem__(key, value)
+    removeKey = lambda self, key: self.map.pop(key, None)
+
+    def iterator(self):
+        self.scans += 1
+        return iter(list(self.map.items()))
+
+
+class Handle:
+    def __init__(self):
+        self.cells, self.timers = {}, set()
+
+    def getMapState(self, name, *schemas, **ttl):
+        return self.cells.setdefault(name, Cell())
+
+    getValueState = getMapState
+
+    def registerTimer(self, at_ms):
+        self.timers.add(at_ms)
+
+
+def test_short_lists_are_exact_and_seldom_gone_through():
+    rng = random.Random(9)
+    handle, k = Handle(), 5
+    lists = shortlist.ShortList(k)
+    lists.init(handle)
+    now, shown, seq = {}, [], 0
+    for step in range(600):
+        rows = []
+        for _ in range(rng.randint(1, 4)):
+            name = rng.choice([None, *(f"n{i}" for i in range(60))])
+            now[name] = rng.choice([0, rng.randint(0, 40), now.get(name, 0) + 1])
+            rows.append((name, now[name], seq))
+            seq += 1
+        for out in lists.handleInputRows((0,), iter([pd.DataFrame(rows, columns=["name", "count", "seq"])]), None):
+            shown = list(zip(out["names"][0], out["counts"][0]))
+        best = sorted(((n, c) for n, c in now.items() if c), key=lambda e: (-e[1], e[0] is not None, e[0] or ""))
+        assert shown == best[:k]
+    assert handle.cells["counts"].scans < 200
+
+
+def test_an_update_out_of_order_is_passed_over():
+    lists = shortlist.ShortList(2)
+    lists.init(Handle())
+    send = lambda *rows: [list(zip(o["names"][0], o["counts"][0])) for o in lists.handleInputRows((0,), iter([pd.DataFrame(rows, columns=["name", "count", "seq"])]), None)]
+    assert send(("a", 5, 10), ("a", 4, 9)) == [[("a", 5)]]
+    assert send(("a", 7, 8)) == []
+    assert send(("a", 0, 11)) == [[]]
+
+
 def test_snapshots_go_round_their_slots(spark, folder, monkeypatch):
     monkeypatch.setattr(top, "SLOTS", 2)
     entry = lambda rows: spark.createDataFrame(rows, top.ENTRY_DDL)
