@@ -6,6 +6,7 @@ equal whatever the session's time zone.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +19,10 @@ from namepulse.operators import histogram, hourly, live, replay, unpack
 from namepulse.plans import daily, feed
 from namepulse.session import new_folder, settings
 from namepulse.sources import batch, segments, stream
-from namepulse.streaming import counts, sweep, top
-from namepulse.streaming.run import run_to_end, write_batches
+from namepulse.streaming import counts, sweep, top, wallclock
+from namepulse.streaming import records as per_record
+from namepulse.streaming import replay as paced
+from namepulse.streaming.run import run_to_end, start, write_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +87,19 @@ def scan_multi_path(spark, sf_dir):
     return records.groupBy(month.alias("month")).agg(F.count("*").alias("records"))
 
 
+@query
+def scan_index(spark, sf_dir):
+    root = feed.feed_files(spark, sf_dir)
+    months = spark.range(1, 10).select(
+        F.concat(F.lit(f"{root}/year=1999/month=19990"), F.col("id").cast("string")).alias("path")
+    )
+    index = new_folder(spark, "index")
+    months.coalesce(1).write.option("encoding", "UTF-16").csv(index)
+    records = batch.scan_index(spark, f"{index}/part-*")
+    month = F.regexp_extract("_metadata.file_path", r"/month=(\d+)/", 1)
+    return records.groupBy(month.alias("month")).agg(F.count("*").alias("records"))
+
+
 @query
 def clean_utf8(spark, sf_dir):
     text = F.col("text")
@@ -301,6 +317,17 @@ def daily_topk_json(spark, sf_dir):
     return _nested(spark.read.schema(ddl).json(path))
 
 
+@query
+def daily_topk_by_day(spark, sf_dir):
+    """All days, then those of one year again from its own lines."""
+    root, path = feed.feed_files(spark, sf_dir), new_folder(spark, "daily-days")
+    for lines in (root, f"{root}/year=1997"):
+        ranked = daily.top_names_of_lines(batch.scan_lines(spark, lines), stop=feed.FEED_STOP)
+        daily.write_days(ranked, path)
+    ddl = "data string, result array<struct<topic: string, count: bigint>>"
+    return _nested(spark.read.schema(ddl).json(path))
+
+
 @query
 def global_topk(spark, sf_dir):
     return _by_day(histogram.global_topk(_feed_counts(spark, sf_dir)))
@@ -422,7 +449,8 @@ def running_count(spark, sf_dir):
 
 @query
 def running_count_of_large_names(spark, sf_dir):
-    records = feed.event_records(spark, sf_dir)
+    # One name for all records: it is cut over all tasks.
+    records = feed.event_records(spark, sf_dir).withColumn("name", F.lit("all"))
     counted = hourly.running_count(records)
     return counted.select(F.col("id").alias("event_id"), "name", "running_count")
 
@@ -609,6 +637,28 @@ def topk_snapshot(spark, sf_dir):
     return top.read_latest_snapshot(spark, _live(spark, sf_dir))
 
 
+@query
+def topk_from_state(spark, sf_dir):
+    return top.top_from_state(spark, f"{_live(spark, sf_dir)}-checkpoint")
+
+
+@query
+def changelog_from_latest(spark, sf_dir):
+    """A reader that begins after the second of three batches."""
+    folder = new_folder(spark, "late-reader")
+    since = None
+    for number in range(3):
+        if number == 2:
+            # File times are in whole seconds in some stores.
+            time.sleep(1.1)
+            since = spark.sql("SELECT cast(current_timestamp() AS string)").first()[0]
+        part = spark.read.schema(stream.UPDATE_STREAM_DDL).parquet(f"{_updates(spark, sf_dir)}/batch={number}")
+        part.write.mode("append").parquet(folder)
+    updates = stream.update_stream(spark, folder, since=since)
+    root = _run(spark, "from-latest", lambda out: write_batches(updates, out))
+    return _written(spark, root, "name string, count bigint, seq bigint").drop("batch")
+
+
 @query
 def topk_delta(spark, sf_dir):
     return top.read_deltas(spark, _live(spark, sf_dir))
@@ -645,6 +695,77 @@ def stream_window_topk(spark, sf_dir):
     return ranked.withColumn("window_end", clock(F.col("window_end")))
 
 
+@query
+def stream_window_topk_chained(spark, sf_dir):
+    ranked = counts.window_topk_stream(_event_stream(spark, sf_dir, "user_id"), LATENESS)
+    root = _run(
+        spark, "window-topk-chain", lambda out: write_batches(ranked, out).outputMode("append")
+    )
+    ddl = "window_end timestamp, rn bigint, name string, n bigint"
+    return _written(spark, root, ddl).drop("batch").withColumn("window_end", clock(F.col("window_end")))
+
+
+@query
+def stream_running_count(spark, sf_dir):
+    root = _run(spark, "running", lambda out: per_record.record_updates(_event_stream(spark, sf_dir), out))
+    counted = _written(spark, root, per_record.UPDATE_DDL)
+    return counted.select(F.col("id").alias("event_id"), "name", "running_count")
+
+
+@query
+def stream_replay(spark, sf_dir):
+    """Thirty days of segments, ten days a micro-batch, the stream restarted after each."""
+    schedule, root = new_folder(spark, "schedule"), new_folder(spark, "replayed")
+    paced.write_schedule(replay.replay_records(_spread(spark, sf_dir)), schedule)
+    first = spark.read.parquet(schedule).agg(F.min("slot")).first()[0] * 900
+    for _ in range(3):
+        clock_stream = paced.stepped_seconds(spark, 10 * 86_400)
+        _run_to_end(spark, paced.paced_replay(clock_stream, schedule, root, first), f"{root}-checkpoint")
+    sent = _written(spark, root, stream.RECORD_STREAM_DDL)
+    return sent.select("key", F.unix_millis("timestamp").alias("event_ms"), F.col("batch").alias("part"))
+
+
+@query
+def stream_wall_sweep(spark, sf_dir):
+    """All records at once, then sweeps by a clock that shows an hour a second, until none is left."""
+    source = _event_stream(spark, sf_dir).select("name", "ts")
+    newest = feed.event_records(spark, sf_dir).agg(F.max("ts").alias("ts")).select(F.unix_millis("ts"))
+    wall = wallclock.Clock(newest.first()[0], int(time.time() * 1000), speed=3600)
+    root = new_folder(spark, "wall")
+    writer = write_batches(wallclock.wall_swept_counts(source, wall), root).outputMode("update")
+    found = lambda: _written(spark, root, wallclock.OUTPUT_DDL)
+    with settings(spark, {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}):
+        query = start(spark, writer, f"{root}-checkpoint", every="1 second")
+    total = feed.event_records(spark, sf_dir).count()
+    try:
+        # The clock never stands still, so there is no end to wait for but the last sweep.
+        for _ in range(60):
+            time.sleep(1)
+            if query.lastProgress and query.lastProgress.batchId > 0:
+                if found().where("kind = 'sweep'").agg(F.sum("changed")).first()[0] == total:
+                    break
+    finally:
+        query.stop()
+    here = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("changed")))
+    # In a micro-batch records come before sweeps.
+    last = F.max_by("last_hour", F.struct("batch", F.col("kind") == "sweep"))
+    return found().groupBy("name").agg(here("count").alias("counted"), here("sweep").alias("swept"), last.alias("last_hour"))
+
+
+@query
+def stream_sweep_from_history(spark, sf_dir):
+    """The processor over all but the first ten days, begun from batch counts of those."""
+    cut = F.lit("2024-01-11").cast("timestamp")
+    history = sweep.kept_at(feed.event_records(spark, sf_dir), cut)
+    later = _event_stream(spark, sf_dir).where(F.col("ts") >= cut).select("name", "ts")
+    swept = sweep.swept_counts(later, LATENESS, history=history)
+    root = _run(spark, "from-history", lambda out: write_batches(swept, out).outputMode("update"))
+    counted = _written(spark, root, sweep.OUTPUT_DDL).where("kind = 'count'")
+    return counted.groupBy("name", F.col("at_us").alias("hour_us")).agg(
+        F.max_by("last_hour", "batch").alias("last_hour")
+    )
+
+
 @query
 def stream_last_hour_sweep(spark, sf_dir):
     windows = counts.swept_windows(_event_stream(spark, sf_dir), LATENESS)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from namepulse import schema as S
 from namepulse.operators import histogram, unpack
@@ -37,6 +38,18 @@ def write_json(ranked: DataFrame, path: str) -> None:
     histogram.topk_nested(ranked).write.mode("overwrite").json(path)
 
 
+def write_days(ranked: DataFrame, path: str) -> None:
+    """One JSON object a day in a folder of that day. Only the days in ``ranked``
+    are replaced; a job that runs again over one day leaves the others alone."""
+    nested = histogram.topk_nested(ranked).withColumn("day", F.col("data"))
+    (
+        nested.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day")
+        .json(path)
+    )
+
+
 def show_top(ranked: DataFrame, rows: int = 20) -> None:
     """Print the first days, untruncated. For interactive use."""
     histogram.topk_array(ranked).orderBy("date").show(rows, truncate=False)
@@ -48,13 +61,15 @@ def run(
     output: str,
     rejects: str | None = None,
     typed: bool = False,
+    by_day: bool = False,
 ) -> None:
     """Scan ``paths``, write the daily top names as JSON to ``output`` and,
-    where asked for, the lines that counted for nothing to ``rejects``."""
+    where asked for, the lines that counted for nothing to ``rejects``. With
+    ``by_day`` only the days that ``paths`` hold are replaced in ``output``."""
     if typed:
         ranked = top_names_of_records(scan_records(spark, paths))
     else:
         ranked = top_names_of_lines(scan_lines(spark, paths))
-    write_json(ranked, output)
+    (write_days if by_day else write_json)(ranked, output)
     if rejects is not None:
         unpack.rejected_lines(scan_lines(spark, paths)).write.mode("overwrite").parquet(rejects)

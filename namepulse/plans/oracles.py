@@ -138,6 +138,21 @@ _BY_INTERVAL = _events("""
 SELECT a.name, a.hour_us, a.n + coalesce(b.n, 0) AS last_hour
 FROM hours a LEFT JOIN hours b ON a.name = b.name AND b.hour_us = a.hour_us - 3600000000""")
 
+_WINDOW_TOPK = _events(f"""
+, windows AS (
+  SELECT window_start + INTERVAL 1 HOUR AS window_end, user AS name, count(*) AS n
+  FROM sliding GROUP BY ALL)
+SELECT strftime(window_end, {_CLOCK}) AS window_end,
+       row_number() OVER (PARTITION BY window_end ORDER BY n DESC, name) AS rn, name, n
+FROM windows WHERE window_end <= (SELECT watermark FROM closing)
+QUALIFY rn <= 10""")
+
+_SEND_SECOND = """CASE WHEN position < (900 - size % 900) * (size // 900)
+            THEN position // greatest(size // 900, 1)
+            ELSE 900 - size % 900
+                 + (position - (900 - size % 900) * (size // 900)) // (size // 900 + 1)
+       END"""
+
 _TOP_100 = "SELECT name, count FROM tops WHERE batch = 2"
 
 _SQL = {
@@ -150,6 +165,9 @@ FROM lines GROUP BY 1"""),
 SELECT stamp[:8] AS day, count(*) AS lines, CAST(sum(fields) AS BIGINT) AS fields
 FROM lines GROUP BY 1"""),
     "scan_multi_path": _feed("SELECT stamp[:6] AS month, count(*) AS records FROM lines GROUP BY 1"),
+    "scan_index": _feed("""
+SELECT stamp[:6] AS month, count(*) AS records FROM lines
+WHERE stamp[:6] BETWEEN '199901' AND '199909' GROUP BY 1"""),
     "clean_utf8": "SELECT doc_id, md5(text) AS digest, length(text) AS chars FROM documents",
     # Fields and filters
     "split_fields": _feed("""
@@ -207,6 +225,7 @@ JOIN generate_series(0, 19) g(pos) ON true
 LEFT JOIN ranked r ON r.date = d.date AND r.rn = pos + 1 AND r.rn <= 10"""),
     "daily_topk_nested": _TOPK_NESTED,
     "daily_topk_json": _TOPK_NESTED,
+    "daily_topk_by_day": _TOPK_NESTED,
     "global_topk": _feed("SELECT date, word, total FROM counts ORDER BY total DESC, date, word LIMIT 10"),
     # The segment grid and the replay
     "segment_list": _events("""
@@ -231,15 +250,17 @@ SELECT segment, key, position,
        epoch_ms(date_trunc('minute', first(ts) OVER (PARTITION BY quarter ORDER BY event_id)))
        + position * (900000 // size) AS event_ms
 FROM segments"""),
-    "replay_records": _events("""
+    "replay_records": _events(f"""
 SELECT key, CAST(27 AS BIGINT) AS fields,
        epoch_ms(date_trunc('minute', first(ts) OVER (PARTITION BY quarter ORDER BY event_id)))
        + position * (900000 // size) AS event_ms,
-       CASE WHEN position < (900 - size % 900) * (size // 900)
-            THEN position // greatest(size // 900, 1)
-            ELSE 900 - size % 900
-                 + (position - (900 - size % 900) * (size // 900)) // (size // 900 + 1)
-       END AS send_second
+       {_SEND_SECOND} AS send_second
+FROM segments"""),
+    "stream_replay": _events(f"""
+SELECT key,
+       epoch_ms(date_trunc('minute', first(ts) OVER (PARTITION BY quarter ORDER BY event_id)))
+       + position * (900000 // size) AS event_ms,
+       CAST((epoch(quarter) - min(epoch(quarter)) OVER () + {_SEND_SECOND}) // 864000 AS BIGINT) AS part
 FROM segments"""),
     "replay_rate": _events(f"""
 SELECT strftime(quarter, {_CLOCK}) AS quarter, queued, seconds, queued // seconds AS rate FROM (
@@ -252,7 +273,8 @@ SELECT strftime(quarter, {_CLOCK}) AS quarter, queued, seconds, queued // second
 SELECT event_type AS name, epoch_us(date_trunc('minute', ts)) AS ts_us, count(*) AS n
 FROM events GROUP BY ALL""",
     "running_count": _RUNNING,
-    "running_count_of_large_names": _RUNNING,
+    "running_count_of_large_names": _events("""
+SELECT event_id, 'all' AS name, row_number() OVER (ORDER BY ts, event_id) AS running_count FROM e"""),
     "latest_per_name": _events("SELECT user AS name, count(*) AS count FROM e GROUP BY user"),
     "last_hour_exact": _last_hour("ts"),
     "last_hour_exact_of_large_names": _last_hour("date_trunc('minute', ts)"),
@@ -293,8 +315,12 @@ UNION ALL SELECT key, epoch_us(ts), user FROM e WHERE name = 'error'"""),
     "stream_count_update": _events("SELECT user AS name, count(*) AS count FROM e GROUP BY user"),
     "changelog_decode": _events("""
 SELECT name, count, CAST(batch AS BIGINT) AS seq FROM totals WHERE changed"""),
+    "changelog_from_latest": _events("""
+SELECT name, count, CAST(batch AS BIGINT) AS seq FROM totals WHERE changed AND batch = 2"""),
     "topk_snapshot": _events(_TOP_100),
     "stream_top100": _events(_TOP_100),
+    "topk_from_state": _events(_TOP_100),
+    "stream_running_count": _RUNNING,
     "topk_delta": _events("SELECT CAST(batch AS BIGINT) AS batch, name, count FROM deltas"),
     "delta_json": _events("""
 SELECT CAST(batch AS BIGINT) AS batch,
@@ -306,14 +332,8 @@ SELECT strftime(window_start, {_CLOCK}) AS window_start,
        strftime(window_start + INTERVAL 1 HOUR, {_CLOCK}) AS window_end, name, count(*) AS n
 FROM sliding WHERE window_start + INTERVAL 1 HOUR <= (SELECT watermark FROM closing)
 GROUP BY ALL"""),
-    "stream_window_topk": _events(f"""
-, windows AS (
-  SELECT window_start + INTERVAL 1 HOUR AS window_end, user AS name, count(*) AS n
-  FROM sliding GROUP BY ALL)
-SELECT strftime(window_end, {_CLOCK}) AS window_end,
-       row_number() OVER (PARTITION BY window_end ORDER BY n DESC, name) AS rn, name, n
-FROM windows WHERE window_end <= (SELECT watermark FROM closing)
-QUALIFY rn <= 10"""),
+    "stream_window_topk": _WINDOW_TOPK,
+    "stream_window_topk_chained": _WINDOW_TOPK,
     "stream_last_hour_top": _events("""
 , user_hours AS (SELECT user AS name, hour_us, count(*) AS n FROM e GROUP BY ALL
 ), states AS (
@@ -328,6 +348,10 @@ SELECT name, count FROM (
   SELECT name, arg_max(count, at_us * 2 + kind) AS count FROM states GROUP BY name)
 WHERE count > 0 ORDER BY count DESC, name LIMIT 100"""),
     "stream_last_hour_sweep": _BY_INTERVAL,
+    "stream_wall_sweep": _events("""
+SELECT name, count(*) AS counted, count(*) AS swept, CAST(0 AS BIGINT) AS last_hour FROM e GROUP BY name"""),
+    "stream_sweep_from_history": f"""
+SELECT * FROM ({_BY_INTERVAL}) WHERE hour_us >= epoch_us(TIMESTAMP '2024-01-11')""",
     "stream_last_hour_processor": _BY_INTERVAL,
     "stream_sweep_updates": _events(f"""
 SELECT * FROM ({_SWEEP_UPDATES})

@@ -62,9 +62,16 @@ def from_messages(messages: DataFrame) -> DataFrame:
 
 def kafka_updates(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """Count updates from a Kafka topic, from the latest offset on by default."""
-    raw = _kafka(spark, servers, topic, {"startingOffsets": "latest", **options})
+    first = {"startingOffsets": "latest", "includeHeaders": "true"}
+    return from_update_messages(_kafka(spark, servers, topic, {**first, **options}))
+
+
+def from_update_messages(messages: DataFrame) -> DataFrame:
+    """(name, count, seq): ``seq`` from its header where there is one, else the offset."""
+    sent = F.filter("headers", lambda h: h["key"] == "seq")
+    seq = F.coalesce(decode_count(F.get(sent, F.lit(0))["value"]), F.col("offset"))
     return decode_updates(
-        raw.select(F.col("key").cast("string").alias("key"), "value", F.col("offset").alias("seq"))
+        messages.select(F.col("key").cast("string").alias("key"), "value", seq.alias("seq"))
     )
 
 

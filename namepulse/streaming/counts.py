@@ -91,6 +91,37 @@ def swept_windows(
     )
 
 
+def window_topk_stream(
+    records: DataFrame, lateness: str = "1 hour", k: int = S.DAILY_TOP, shards: int = 8
+) -> DataFrame:
+    """(window_end, rn, name, n): the ``k`` largest names of each closed hour, as
+    one chain of streaming aggregates for append output.
+
+    Counts per window and name, then the best of each shard of a window's names,
+    then the best of all. A shard's names are gathered before they are cut, so
+    ``shards`` bounds what one group holds.
+    """
+    shard = F.pmod(F.xxhash64("name"), F.lit(shards))
+    entry = F.struct((-F.col("n")).alias("minus"), "name")
+    first = lambda entries: F.slice(F.array_sort(entries), 1, k)
+    best = (
+        records.withWatermark("ts", lateness)
+        .groupBy(F.window("ts", "1 hour", f"{S.SEGMENT_MINUTES} minutes"), "name")
+        .agg(F.count("*").alias("n"))
+        .groupBy("window", shard.alias("shard"))
+        .agg(first(F.collect_list(entry)).alias("best"))
+        .groupBy("window")
+        .agg(first(F.flatten(F.collect_list("best"))).alias("best"))
+    )
+    placed = best.select("window.end", F.posexplode("best").alias("place", "entry"))
+    return placed.select(
+        F.col("end").alias("window_end"),
+        (F.col("place") + 1).cast("bigint").alias("rn"),
+        "entry.name",
+        (-F.col("entry.minus")).alias("n"),
+    )
+
+
 def window_topk(windows: DataFrame, root: str, k: int = S.DAILY_TOP) -> DataStreamWriter:
     """The ``k`` largest names of each closed window, to a table under ``root``.
 

@@ -8,13 +8,13 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from namepulse.functions.codec import encode_count
-from namepulse.operators.hourly import hour_start_us
+from namepulse.operators.hourly import hour_counts, hour_start_us
 from namepulse.streaming.run import batch_folder
 
 # Send this module's code to the Python workers along with the query, so that
@@ -26,7 +26,10 @@ OUTPUT_DDL = "name string, kind string, at_us bigint, last_hour bigint"
 
 
 def swept_counts(
-    records: DataFrame, lateness: str = "1 hour", phase_minutes: int = 0
+    records: DataFrame,
+    lateness: str = "1 hour",
+    phase_minutes: int = 0,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Stream of (name, kind, at_us, last_hour) from a stream of (name, ts).
 
@@ -39,6 +42,10 @@ def swept_counts(
     Each task adds up its records per (name, event time) before the shuffle.
     Records of different times stay apart, so each meets the watermark by its
     own time, however the rows fall into batches.
+
+    ``history`` holds the counts (name, hour_us, n) that a new stream begins
+    from, such as :func:`kept_at` gives; then nothing is put out for them before
+    records or sweeps change them. A restarted stream has its state.
     """
     pieces = (
         records.select(
@@ -52,9 +59,16 @@ def swept_counts(
         outputStructType=OUTPUT_DDL,
         outputMode="Update",
         timeMode="EventTime",
+        initialState=None if history is None else history.select("name", "hour_us", "n").groupBy("name"),
     )
 
 
+def kept_at(records: DataFrame, until: Column, phase_minutes: int = 0) -> DataFrame:
+    """(name, hour_us, n): what a swept counter holds of batch ``records`` at a time."""
+    counts = hour_counts(records.where(F.col("ts") < until), phase_minutes)
+    return counts.where(F.col("hour_us") + 2 * _HOUR_US > F.unix_micros(until))
+
+
 def last_hour_updates(swept: DataFrame, root: str) -> DataStreamWriter:
     """Write :func:`swept_counts` as a table of updates (key, value, seq).
 
@@ -62,19 +76,50 @@ def last_hour_updates(swept: DataFrame, root: str) -> DataStreamWriter:
     counts of the interval it opens, and then by micro-batch. The row with the
     largest ``seq`` is the name's count now.
     """
-    minutes = F.call_function("div", F.col("at_us"), F.lit(60_000_000))
-    place = minutes * 2 + F.when(F.col("kind") == "count", 1).otherwise(0)
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        batch.select(
-            F.col("name").alias("key"),
-            encode_count(F.col("last_hour")).alias("value"),
-            (F.shiftleft(place, 36) + F.lit(batch_id)).alias("seq"),
-        ).write.mode("overwrite").parquet(batch_folder(root, batch_id))
+        updates = _as_updates(batch, batch_id)
+        updates.write.mode("overwrite").parquet(batch_folder(root, batch_id))
+
+    return swept.writeStream.outputMode("update").foreachBatch(body)
+
+
+def last_hour_updates_to_kafka(swept: DataFrame, servers: str, topic: str) -> DataStreamWriter:
+    """The same to a Kafka topic; needs the Kafka connector on the classpath.
+
+    ``seq`` travels as a header, so that a reader can tell which of a name's
+    updates is the newest, whatever order they are read in.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        (
+            update_messages(_as_updates(batch, batch_id))
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", servers)
+            .option("topic", topic)
+            .option("includeHeaders", "true")
+            .save()
+        )
 
     return swept.writeStream.outputMode("update").foreachBatch(body)
 
 
+def update_messages(updates: DataFrame) -> DataFrame:
+    """Rows for a Kafka sink from (key, value, seq): the last as a header of eight bytes."""
+    header = F.struct(F.lit("seq").alias("key"), encode_count(F.col("seq")).alias("value"))
+    return updates.select("key", "value", F.array(header).alias("headers"))
+
+
+def _as_updates(swept: DataFrame, batch_id: int) -> DataFrame:
+    minutes = F.call_function("div", F.col("at_us"), F.lit(60_000_000))
+    place = minutes * 2 + F.when(F.col("kind") == "count", 1).otherwise(0)
+    return swept.select(
+        F.col("name").alias("key"),
+        encode_count(F.col("last_hour")).alias("value"),
+        (F.shiftleft(place, 36) + F.lit(batch_id)).alias("seq"),
+    )
+
+
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums = (
@@ -98,6 +143,9 @@ class SweptHours(StatefulProcessor):
         self.handle = handle
         self.kept = handle.getValueState("kept", "hours array<bigint>, counts array<bigint>")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._save(dict(zip(initialState["hour_us"].tolist(), initialState["n"].tolist())))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         kept = self._load()
         touched = set()

@@ -13,10 +13,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from namepulse.operators import histogram, hourly, live, replay, unpack
+from namepulse.plans import daily
 from namepulse.plans import live as live_plan
 from namepulse.session import ROCKSDB
 from namepulse.sources import stream
-from namepulse.streaming import counts, shortlist, sweep, top
+from namepulse.streaming import counts, shortlist, sweep, top, wallclock
+from namepulse.streaming import records as per_record
+from namepulse.streaming import replay as paced
 from namepulse.streaming.run import run_to_end, write_batches
 from tests.lines import LINES, line
 
@@ -411,3 +414,167 @@ def test_a_stream_after_another_keeps_durable_state(spark, folder):
     run_to_end(spark, write_batches(swept, f"{folder}/out").outputMode("update"), f"{folder}/ck")
     assert state_provider(f"{folder}/ck-top") == ROCKSDB
     assert state_provider(f"{folder}/ck") == ROCKSDB
+
+
+class Now:
+    """Timer values at a moment of the test's clock."""
+
+    def __init__(self, ms):
+        self.ms = ms
+
+    getCurrentProcessingTimeInMs = lambda self: self.ms
+
+
+def swept_by_the_wall(rows, phase, clock=wallclock.Clock(), history=()):
+    """What the processor puts out for one name's (arrival ms, hour_us), timers fired as they fall due."""
+    processor, handle = wallclock.WallSweep(clock, phase), Handle()
+    processor.init(handle)
+    out, now = [], 0
+
+    def fire(until):
+        while handle.timers and min(handle.timers) <= until:
+            at = min(handle.timers)
+            handle.timers.remove(at)
+            out.extend(processor.handleExpiredTimer(("a",), Now(at), None))
+
+    if history:
+        frame = pd.DataFrame(history, columns=["hour_us", "n"])
+        processor.handleInitialState(("a",), frame, Now(rows[0][0]))
+    for arrival, hour in rows:
+        fire(arrival)
+        frame = pd.DataFrame({"name": ["a"], "hour_us": [hour]})
+        out.extend(processor.handleInputRows(("a",), iter([frame]), Now(arrival)))
+    fire(1 << 62)
+    return pd.concat(out), handle
+
+
+@pytest.mark.parametrize("phase", [0, 25])
+def test_the_wall_clock_sweeps_as_the_batch_form_does(spark, phase):
+    times = sorted(ts for _, ts, _ in SLICES[0] + SLICES[2])
+    hour = lambda ts: (int(ts.timestamp() * 1000) - phase * 60_000) // 3_600_000 * 3_600_000_000 + phase * 60_000_000
+    rows = [(int(ts.timestamp() * 1000), hour(ts)) for ts in times]
+    records = spark.createDataFrame([(i, ts, "a") for i, ts in enumerate(times)], RECORD_DDL)
+    got, handle = swept_by_the_wall(rows, phase)
+    swept = got[got.kind == "sweep"]
+    assert sorted(zip(swept.at_us, swept.last_hour)) == sorted(
+        map(tuple, hourly.sweep_updates(records, phase).select("sweep_us", "remaining").collect())
+    )
+    # Right after each record the counter shows what the batch form says of it.
+    counted = hourly.last_hour_sweep(records, phase).orderBy("ts", "id").select("last_hour").collect()
+    assert got[got.kind == "count"].last_hour.tolist() == [r[0] for r in counted]
+    assert not handle.timers and not handle.cells["hours"].map
+    # A faster clock that shows the same hours puts out the same.
+    start = rows[0][0]
+    fast = wallclock.Clock(start, 0, 60)
+    again, _ = swept_by_the_wall([(-(-(ms - start) // 60), h) for ms, h in rows], phase, fast)
+    columns = ["kind", "changed", "last_hour"]
+    assert again[columns].values.tolist() == got[columns].values.tolist()
+
+
+def test_a_wall_clock_begun_from_history(spark):
+    cut = START + dt.timedelta(hours=2)
+    times = sorted(ts for _, ts, _ in SLICES[0])
+    hour = lambda ts: int(ts.timestamp()) // 3600 * 3_600_000_000
+    rows = [(int(ts.timestamp() * 1000), hour(ts)) for ts in times]
+    whole, _ = swept_by_the_wall(rows, 0)
+    records = spark.createDataFrame([(i, ts, "a") for i, ts in enumerate(times)], RECORD_DDL)
+    history = [(r.hour_us, r.n) for r in sweep.kept_at(records, F.lit(cut)).collect()]
+    later, _ = swept_by_the_wall([r for r in rows if r[0] >= cut.timestamp() * 1000], 0, history=history)
+    after = whole[whole.at_us > cut.timestamp() * 1_000_000]
+    assert later.values.tolist() == after.values.tolist()
+
+
+def test_a_stream_begun_from_history_equals_one_from_the_start(spark, folder):
+    add(spark, f"{folder}/before", SLICES[0])
+    cut = F.lit(START + dt.timedelta(hours=3))
+    history = sweep.kept_at(spark.read.parquet(f"{folder}/before"), cut)
+    for rows in SLICES[1:]:
+        add(spark, f"{folder}/in", rows)
+        swept = sweep.swept_counts(read(spark, f"{folder}/in"), "10 minutes", history=history)
+        run_to_end(spark, write_batches(swept, f"{folder}/out").outputMode("update"), f"{folder}/ck")
+    everything = spark.createDataFrame(sum(SLICES, []), RECORD_DDL)
+    cut_us = int((START + dt.timedelta(hours=3)).timestamp()) * 1_000_000
+    written = spark.read.schema(sweep.OUTPUT_DDL + ", batch bigint").parquet(f"{folder}/out")
+    latest = written.where("kind = 'count'").groupBy("name", "at_us").agg(F.max_by("last_hour", "batch"))
+    assert rows_of(latest) == rows_of(hourly.last_hour_by_interval(everything).where(F.col("hour_us") >= cut_us))
+    reached = everything.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
+    due = hourly.sweep_updates(everything).where(
+        (F.col("sweep_us") > cut_us) & (F.col("sweep_us") <= F.unix_micros(F.lit(reached)))
+    )
+    reported = written.where("kind = 'sweep'").select("name", "at_us", "last_hour")
+    assert rows_of(reported) == rows_of(due)
+    assert any("rare1" in row for row in rows_of(reported))
+
+
+def test_every_record_has_its_running_count(spark, folder):
+    for rows in SLICES:
+        add(spark, f"{folder}/in", [*rows, (rows[0][0] + 500, rows[0][1], None)])
+        run_to_end(spark, per_record.record_updates(read(spark, f"{folder}/in"), f"{folder}/out"), f"{folder}/ck")
+    written = spark.read.schema(f"{per_record.UPDATE_DDL}, batch bigint").parquet(f"{folder}/out")
+    batch = hourly.running_count(spark.read.parquet(f"{folder}/in"))
+    assert written.select("batch").distinct().count() == 3
+    assert rows_of(written.select("id", "name", "running_count")) == rows_of(batch.select("id", "name", "running_count"))
+
+
+def test_window_topk_as_one_chain_equals_batch(spark, folder):
+    for rows in SLICES:
+        add(spark, f"{folder}/in", [*rows, (0, rows[0][1], None)])
+        ranked = counts.window_topk_stream(read(spark, f"{folder}/in"), "1 minute", 2, shards=3)
+        run_to_end(spark, write_batches(ranked, f"{folder}/out").outputMode("append"), f"{folder}/ck")
+    everything = spark.read.parquet(f"{folder}/in")
+    last = everything.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=1)
+    closed = hourly.sliding_hour(everything).where(F.col("window_end") <= F.lit(last))
+    best = histogram.daily_topk(
+        closed.select(F.col("window_end").alias("date"), F.col("name").alias("word"), F.col("n").alias("total")), 2
+    )
+    written = spark.read.parquet(f"{folder}/out").select("window_end", "rn", "name", "n")
+    assert rows_of(written) == rows_of(best)
+
+
+def test_a_paced_replay_sends_each_line_in_its_second_once(spark, folder):
+    rows = [
+        (segment, f"{segment[:14]}-{i}", f"line {i}", START, second)
+        for segment in ("20240101000000.gkg.csv", "20240101001500.gkg.csv")
+        for i, second in enumerate([0, 0, 1, 450, 899])
+    ]
+    ddl = "segment string, key string, value string, timestamp timestamp, send_second bigint"
+    replayed = spark.createDataFrame(rows, ddl)
+    paced.write_schedule(replayed, f"{folder}/schedule")
+    first = int(START.timestamp())
+    for number in range(3):
+        clock = paced.stepped_seconds(spark, 700)
+        run_to_end(spark, paced.paced_replay(clock, f"{folder}/schedule", f"{folder}/out", first), f"{folder}/ck")
+        if number == 1:
+            # The second micro-batch runs again.
+            os.remove(f"{folder}/ck/commits/1")
+            if os.path.exists(f"{folder}/ck/commits/.1.crc"):
+                os.remove(f"{folder}/ck/commits/.1.crc")
+            clock = paced.stepped_seconds(spark, 700)
+            run_to_end(spark, paced.paced_replay(clock, f"{folder}/schedule", f"{folder}/out", first), f"{folder}/ck")
+    sent = spark.read.schema(f"{stream.RECORD_STREAM_DDL}, batch bigint").parquet(f"{folder}/out")
+    offset = {"20240101000000": 0, "20240101001500": 900}
+    expected = [(key, (offset[segment[:14]] + second) // 700) for segment, key, _, _, second in rows]
+    assert sorted(map(tuple, sent.select("key", "batch").collect())) == sorted(e for e in expected if e[1] < 4)
+
+
+def test_the_order_of_swept_counts_travels_in_a_header(spark):
+    updates = spark.createDataFrame([("a", (7).to_bytes(8, "big"), 12)], stream.UPDATE_STREAM_DDL)
+    messages = sweep.update_messages(updates).select(
+        F.encode("key", "UTF-8").alias("key"), "value", "headers", F.lit(3).cast("bigint").alias("offset")
+    )
+    read_back = lambda df: [tuple(r) for r in stream.from_update_messages(df).collect()]
+    assert read_back(messages) == [("a", 7, 12)]
+    bare = messages.withColumn("headers", F.lit(None).cast("array<struct<key:string,value:binary>>"))
+    assert read_back(bare) == [("a", 7, 3)]
+
+
+def test_a_day_that_is_written_again_leaves_the_others(spark, folder):
+    ranked = lambda rows: spark.createDataFrame(rows, "date date, rn bigint, word string, total bigint")
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    daily.write_days(ranked([(one, 1, "a", 5), (two, 1, "b", 6)]), f"{folder}/days")
+    before = {f: os.stat(f"{folder}/days/day=2024-01-02/{f}").st_mtime_ns for f in os.listdir(f"{folder}/days/day=2024-01-02")}
+    for total in (8, 9):
+        daily.write_days(ranked([(one, 1, "a", total)]), f"{folder}/days")
+        written = spark.read.json(f"{folder}/days").select("data", F.inline("result"))
+        assert sorted(map(tuple, written.select("data", "topic", "count").collect())) == [("2024-01-01", "a", total), ("2024-01-02", "b", 6)]
+    assert before == {f: os.stat(f"{folder}/days/day=2024-01-02/{f}").st_mtime_ns for f in os.listdir(f"{folder}/days/day=2024-01-02")}
