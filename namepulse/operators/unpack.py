@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from namepulse import schema as S
@@ -30,6 +30,16 @@ def read_fields(lines: DataFrame, *carry: str) -> DataFrame:
     )
 
 
+def keep_lines(read: DataFrame, condition: Column) -> DataFrame:
+    """The rows of :func:`read_fields` that meet ``condition``.
+
+    No or one row comes out of each, and no filter is left that would move to
+    the scan and cut the line again.
+    """
+    row = F.struct(*read.columns)
+    return read.select(F.inline(F.when(condition, F.array(row))))
+
+
 def dated_names(lines: DataFrame, *carry: str) -> DataFrame:
     """(id, date, names) of every line; ``names`` is NULL where the line has no
     date or too few fields."""

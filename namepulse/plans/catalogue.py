@@ -139,19 +139,21 @@ def split_fields(spark, sf_dir):
 @query
 def filter_field_count(spark, sf_dir):
     read = unpack.read_fields(feed.feed_lines(spark, sf_dir))
-    return read.where("names IS NOT NULL").select("id", "names")
+    return unpack.keep_lines(read, F.col("names").isNotNull()).select("id", "names")
 
 
 @query
 def filter_names_present(spark, sf_dir):
     read = unpack.read_fields(feed.feed_lines(spark, sf_dir))
-    return read.where(packed.has_names(F.col("names"))).select("id", "names")
+    return unpack.keep_lines(read, packed.has_names(F.col("names"))).select("id", "names")
 
 
 @query
 def parse_date(spark, sf_dir):
     when = fields.record_time(F.col("raw_date"))
-    read = unpack.read_fields(feed.feed_lines(spark, sf_dir)).where("names IS NOT NULL")
+    read = unpack.keep_lines(
+        unpack.read_fields(feed.feed_lines(spark, sf_dir)), F.col("names").isNotNull()
+    )
     return read.select("id", F.coalesce(fields.day_text(when), F.lit("not a date")).alias("day"))
 
 
@@ -319,11 +321,10 @@ def daily_topk_json(spark, sf_dir):
 
 @query
 def daily_topk_by_day(spark, sf_dir):
-    """All days, then those of one year again from its own lines."""
-    root, path = feed.feed_files(spark, sf_dir), new_folder(spark, "daily-days")
-    for lines in (root, f"{root}/year=1997"):
-        ranked = daily.top_names_of_lines(batch.scan_lines(spark, lines), stop=feed.FEED_STOP)
-        daily.write_days(ranked, path)
+    """All days of the events, then one of them again from its own lines."""
+    lines, path = feed.event_lines(spark, sf_dir), new_folder(spark, "daily-days")
+    for part in (lines, lines.where("cast(ts AS date) = DATE '2024-01-15'")):
+        daily.write_days(daily.top_names_of_lines(part.select("value")), path)
     ddl = "data string, result array<struct<topic: string, count: bigint>>"
     return _nested(spark.read.schema(ddl).json(path))
 
@@ -717,7 +718,8 @@ def stream_replay(spark, sf_dir):
     """Thirty days of segments, ten days a micro-batch, the stream restarted after each."""
     schedule, root = new_folder(spark, "schedule"), new_folder(spark, "replayed")
     paced.write_schedule(replay.replay_records(_spread(spark, sf_dir)), schedule)
-    first = spark.read.parquet(schedule).agg(F.min("slot")).first()[0] * 900
+    first = spark.read.parquet(schedule).agg(F.min("second")).first()[0]
+    first -= first % (S.SEGMENT_MINUTES * 60)
     for _ in range(3):
         clock_stream = paced.stepped_seconds(spark, 10 * 86_400)
         _run_to_end(spark, paced.paced_replay(clock_stream, schedule, root, first), f"{root}-checkpoint")

@@ -225,7 +225,12 @@ JOIN generate_series(0, 19) g(pos) ON true
 LEFT JOIN ranked r ON r.date = d.date AND r.rn = pos + 1 AND r.rn <= 10"""),
     "daily_topk_nested": _TOPK_NESTED,
     "daily_topk_json": _TOPK_NESTED,
-    "daily_topk_by_day": _TOPK_NESTED,
+    "daily_topk_by_day": _events("""
+SELECT data, rn - 1 AS pos, topic, count FROM (
+  SELECT *, row_number() OVER (PARTITION BY data ORDER BY count DESC, topic) AS rn FROM (
+    SELECT strftime(ts, '%Y-%m-%d') AS data, topic, count(*) AS count
+    FROM (SELECT ts, unnest([user, name]) AS topic FROM e) GROUP BY ALL))
+WHERE rn <= 10"""),
     "global_topk": _feed("SELECT date, word, total FROM counts ORDER BY total DESC, date, word LIMIT 10"),
     # The segment grid and the replay
     "segment_list": _events("""
@@ -260,7 +265,7 @@ FROM segments"""),
 SELECT key,
        epoch_ms(date_trunc('minute', first(ts) OVER (PARTITION BY quarter ORDER BY event_id)))
        + position * (900000 // size) AS event_ms,
-       CAST((epoch(quarter) - min(epoch(quarter)) OVER () + {_SEND_SECOND}) // 864000 AS BIGINT) AS part
+       CAST((epoch_us(quarter) // 1000000 - min(epoch_us(quarter) // 1000000) OVER () + {_SEND_SECOND}) // 864000 AS BIGINT) AS part
 FROM segments"""),
     "replay_rate": _events(f"""
 SELECT strftime(quarter, {_CLOCK}) AS quarter, queued, seconds, queued // seconds AS rate FROM (

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namepulse import schema as S
+from namepulse.functions.codec import clean_utf8
 
 
 def scan_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -27,7 +28,13 @@ def scan_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Raw lines as one column, ``value``, from files, folders or globs."""
+    """Lines as one column, ``value``, from files, folders or globs. Malformed
+    bytes are dropped."""
+    return raw_lines(spark, paths).select(clean_utf8(F.col("value")).alias("value"))
+
+
+def raw_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The same as read, malformed bytes and all."""
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text([paths] if isinstance(paths, str) else list(paths))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from namepulse.functions.codec import clean_utf8
-from namepulse.sources.batch import scan_lines
+from namepulse.sources.batch import raw_lines
 
 
 def new_segments(candidates: DataFrame, present: DataFrame, fed: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def segment_lines(spark: SparkSession, paths, segment_pattern: str) -> DataFrame
     ``read_id``, which rises by one from line to line of a split. Malformed
     bytes are dropped.
     """
-    return scan_lines(spark, paths).select(
+    return raw_lines(spark, paths).select(
         clean_utf8(F.col("value")).alias("value"),
         F.regexp_extract("_metadata.file_path", segment_pattern, 1).alias("segment"),
         F.col("_metadata.file_path").alias("path"),

@@ -7,27 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from namepulse.functions.timegrid import segment_start
-from namepulse.schema import SEGMENT_MINUTES
 from namepulse.sources.stream import RECORD_STREAM_DDL
 from namepulse.streaming.run import batch_folder
 
-_SLOT = SEGMENT_MINUTES * 60
-SCHEDULE_DDL = f"{RECORD_STREAM_DDL}, second bigint, slot bigint"
+_DAY = 86_400
+SCHEDULE_DDL = f"{RECORD_STREAM_DDL}, second bigint, day bigint"
 
 
 def write_schedule(replayed: DataFrame, path: str) -> None:
     """Write :func:`~namepulse.operators.replay.replay_records` as a table by second.
 
     ``second`` is in epoch seconds: the start of the segment's quarter hour and
-    the second within it that sends the record. ``slot``, its quarter hour, is
-    a folder, so a second's records are found without reading the rest.
+    the second within it that sends the record. Days are folders, and rows lie
+    by second in them, so a second's records are found without reading the rest.
     """
     start = F.unix_seconds(segment_start(F.col("segment")))
     timed = replayed.select(
         "key", "value", "timestamp", (start + F.col("send_second")).alias("second")
     )
-    slot = F.call_function("div", F.col("second"), F.lit(_SLOT)).alias("slot")
-    timed.select("*", slot).hint("rebalance", "slot").write.partitionBy("slot").parquet(path)
+    day = F.call_function("div", F.col("second"), F.lit(_DAY)).alias("day")
+    placed = timed.select("*", day).repartitionByRange("second").sortWithinPartitions("second")
+    placed.write.partitionBy("day").parquet(path)
 
 
 def wall_seconds(spark: SparkSession) -> DataFrame:
@@ -62,7 +62,7 @@ def paced_replay(seconds: DataFrame, schedule: str, root: str, first_second: int
             return
         low, high = low + first_second, high + first_second
         due = batch.sparkSession.read.schema(SCHEDULE_DDL).parquet(schedule)
-        due = due.where(F.col("slot").between(low // _SLOT, high // _SLOT))
+        due = due.where(F.col("day").between(low // _DAY, high // _DAY))
         due.where(F.col("second").between(low, high)).select("key", "value", "timestamp").write.mode(
             "overwrite"
         ).parquet(batch_folder(root, batch_id))

@@ -2,8 +2,9 @@
 
 import re
 
+import pytest
 from namepulse.operators import histogram, hourly, unpack
-from namepulse.plans import daily, feed
+from namepulse.plans import catalogue, daily, feed
 from namepulse.sources.batch import scan_lines, scan_records
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -70,3 +71,8 @@ def test_histogram_maps_need_no_window(spark):
     maps = histogram.daily_histogram_maps(histogram.daily_counts(unpack.names_by_day(lines)))
     assert "Window" not in physical(maps)
     assert maps.groupBy("date").count().where("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["filter_field_count", "filter_names_present", "parse_date"])
+def test_filters_on_pieces_cut_a_line_once(spark, name):
+    assert physical(catalogue.queries()[name](spark, SF_DIR)).count("split(") == 1
