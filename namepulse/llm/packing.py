@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from namepulse.llm import text as tx
 from namepulse.llm.tables import settle, workers
 
 WINDOW = 4096
 ID = np.dtype("<u4")
-CACHED_WORDS = 1_500_000
+#: Bytes of words, ids and overhead that a worker keeps, and the longest word kept.
+CACHED_BYTES, CACHED_WORD, ENTRY_BYTES = 256 << 20, 256, 250
 PIECES = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -44,37 +46,61 @@ _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 _encoders: dict[str, "WordIds"] = {}
 
 
-class WordIds(dict):
-    """From a word's bytes to its packed ids; a bounded cache before the tokenizer.
+class WordIds:
+    """Packed ids of words; a cache of bounded size before the tokenizer.
 
     The tokenizer drops white space and never joins what white space parts, so
     a text's ids are its words' ids in order. A full cache becomes the old one,
     from which words in use move back, so frequent words stay.
     """
 
-    def __init__(self, path: str, most: int = CACHED_WORDS):
+    def __init__(self, path: str, most: int = CACHED_BYTES):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most, self.old = most, {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.setdefault(word, self.old[word])
-
-    def __call__(self, text: bytes) -> bytes:
-        words = text.split()
-        if len(self) > self.most // 2:
-            self.old = dict(self)
-            self.clear()
-        new = [w for w in set(words) if w not in self and w not in self.old]
+        self.most, self.size = most, 0
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        out = [self.known.get(w) for w in words]
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        new = []
+        for i in missing:
+            out[i] = self.old.get(words[i])
+            if out[i] is None:
+                new.append(i)
         for at in range(0, len(new), 10_000):
             some = new[at : at + 10_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            self.update((w, np.array(c.ids, ID).tobytes()) for w, c in zip(some, coded, strict=True))
-        return b"".join(map(self.__getitem__, words))
+            coded = self.tokenizer.encode_batch_fast([words[i].decode() for i in some], add_special_tokens=False)
+            for i, c in zip(some, coded, strict=True):
+                out[i] = np.array(c.ids, ID).tobytes()
+        for i in missing:
+            if len(words[i]) <= CACHED_WORD:
+                self.known[words[i]] = out[i]
+                self.size += len(words[i]) + len(out[i]) + ENTRY_BYTES
+        if self.size > self.most // 2:
+            self.old, self.known, self.size = self.known, {}, 0
+        return out
+
+    def texts(self, chunk: tx.Chunk, end: bytes) -> Iterator[bytes]:
+        """Each text's packed ids and the end: distinct words are looked up once a chunk."""
+        words = tx.words(chunk)
+        raw = chunk.data.tobytes()
+        _, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+        coded = self([raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)])
+        ids = np.frombuffer(b"".join(coded), ID)
+        counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        starts = np.cumsum(counts) - counts
+        counts, starts = counts[which], starts[which]
+        after = np.concatenate([[0], np.cumsum(counts)])
+        placed = ids[np.repeat(starts - after[:-1], counts) + np.arange(after[-1])]
+        bounds = after[words.bounds].tolist()
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield placed[a:b].tobytes() + end
 
 
 class Window:
@@ -156,17 +182,22 @@ def _first_stage(encoder: Callable[[bytes], bytes] | str, end_id: int, width: in
     def run(batches):
         from pyspark import TaskContext
 
-        if isinstance(encoder, str):
-            encode = _encoders.get(encoder) or _encoders.setdefault(encoder, WordIds(encoder))
-        else:
-            encode = encoder
         end = np.array([end_id], ID).tobytes()
+        if isinstance(encoder, str):
+            known = _encoders.get(encoder) or _encoders.setdefault(encoder, WordIds(encoder))
+
+        def texts(chunk):
+            if isinstance(encoder, str):
+                return known.texts(chunk, end)
+            raw, bounds = chunk.data.tobytes(), chunk.offsets.tolist()
+            return (encoder(raw[a:b]) + end for a, b in zip(bounds[:-1], bounds[1:], strict=True))
 
         def docs():
             for batch in batches:
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    ids = encode((text.as_py() or "").encode()) + end
-                    yield key, ids, 0, len(ids) // 4
+                for chunk in tx.chunks(batch.column(1)):
+                    keys = batch.column(0).slice(chunk.first, len(chunk.offsets) - 1).to_pylist()
+                    for key, ids in zip(keys, texts(chunk), strict=True):
+                        yield key, ids, 0, len(ids) // 4
 
         yield from _rows(pack(docs(), width, open_windows), width, TaskContext.get().partitionId() << 32)
 
