@@ -18,8 +18,8 @@ keeps the result exact.
 Equal sets are one set from the start. The sets of an entry are first compared
 with one of them only, another in each round, and links joined to components,
 until few pairs of an entry are in different components; those come last. Every
-pair first meets a bound: 1024 parity bits of two sets differ in no more places
-than the sets do. What is left is verified on the whole sets, so no link
+pair first meets a bound: parity bits of two sets, as many as shingles, differ in
+no more places than the sets do. What is left is verified on the whole sets, so no link
 between different components is lost, and a group of copies never gives all its
 pairs. Shingles are 64-bit
 hashes, compared by 48 bits; a set's number is 64 bits wide.
@@ -101,13 +101,18 @@ _PARITY = 1024
 
 
 def _parities(tokens: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """For each set, bits that say whether an odd number of its shingles fall on a place."""
-    n = len(bounds) - 1
-    own = np.repeat(np.arange(n), np.diff(bounds))
-    places = (tx.mix(tokens ^ np.uint64(0x2545F491)) & np.uint64(_PARITY - 1)).astype(np.int64)
-    odd = np.bincount(own * _PARITY + places, minlength=n * _PARITY) & 1
+    """For each set, bits that say whether an odd number of its shingles fall on a place.
+
+    A set has as many places as shingles or more, a power of two: unlike sets
+    then differ in half of them, however long they are.
+    """
+    sizes = np.diff(bounds)
+    places = np.maximum(_PARITY, 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(places)])
+    at = (tx.mix(tokens ^ np.uint64(0x2545F491)) & np.repeat(places - 1, sizes).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(np.repeat(first[:-1], sizes) + at, minlength=int(first[-1])) & 1
     longs = np.packbits(odd.astype(np.uint8)).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (_PARITY // 64), pa.int32()), pa.array(longs))
+    return pa.ListArray.from_arrays(pa.array(first // 64, pa.int32()), pa.array(longs))
 
 
 def _measure(size: int):
@@ -266,8 +271,14 @@ def _verify(percent: int):
 def _close(percent: int):
     """What linked sets ``(n, bits)`` and ``(n2, bits2)`` must satisfy: close sizes, and parities that differ in few places."""
     sizes = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-    differ = F.aggregate(F.zip_with("bits", "bits2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    return sizes & (differ * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n2")))
+    # Close sizes have as many places, or one twice as many: that one is folded.
+    fold = lambda c: F.expr(f"zip_with(slice({c}, 1, size({c}) div 2), slice({c}, 1 + size({c}) div 2, size({c}) div 2), (x, y) -> x ^ y)")
+    short = F.least(F.size("bits"), F.size("bits2"))
+    one, two = (F.when(F.size(c) > short, fold(c)).otherwise(F.col(c)) for c in ("bits", "bits2"))
+    differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    bound = differ * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n2"))
+    # Below one half, sizes may be further apart than one fold: then nothing is said.
+    return sizes & F.coalesce(bound, F.lit(True))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:

@@ -66,3 +66,27 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (None, 3)]
     found = {r.id: r.component for r in tables.components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100)}
+
+
+def test_parities_of_any_two_sizes_bound_the_difference(spark):
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (0, 5, 900, 1020, 1030, 2040, 2060, 5000, 9000):
+        base = np.unique(rng.integers(1, 1 << 49, n, np.uint64))
+        for share in (1.0, 0.97, 0.9):
+            kept = base[rng.random(len(base)) < share]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(1, 1 << 49, int(n * (1 - share) / 2), np.uint64)])))
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    bits = jaccard._parities(np.concatenate(sets), bounds).to_pylist()
+    assert all(len(b) * 64 >= len(s) for b, s in zip(bits, sets, strict=True))
+    rows = [(i, j, len(x), len(y), bits[i], bits[j]) for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j]
+    frame = spark.createDataFrame(rows, "i int, j int, n long, n2 long, bits array<long>, bits2 array<long>")
+    close = {(r.i, r.j) for r in frame.where(jaccard._close(85)).collect()}
+    for i, x in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            shared = len(np.intersect1d(x, sets[j]))
+            union = len(x) + len(sets[j]) - shared
+            if union and 100 * shared >= 85 * union:
+                assert (i, j) in close
+            if union > 100 and 100 * shared < 40 * union:
+                assert (i, j) not in close
