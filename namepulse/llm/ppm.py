@@ -43,7 +43,10 @@ ALPHABET = 257
 WORD, RUN = 0, 1
 #: Entries of each table that is shipped: 16 bytes each.
 SHIPPED = 1 << 20
-SUBTREES = 128
+#: Groups of subtrees at least, and distinct runs to a group, about.
+SUBTREES, GROUP_RUNS = 128, 400_000
+#: Bytes of text whose words and runs are counted at once.
+COUNTED = 1 << 20
 #: The end token's key among the words' hashes.
 END_TOKEN = np.uint64(1)
 
@@ -81,30 +84,36 @@ def _merge(keys: list, counts: list) -> tuple[np.ndarray, ...]:
 
 
 def _counts(order: int):
-    """Words and runs of a batch: how often in training texts, how often in all."""
+    """Words and runs of each chunk: how often in training texts, how often in all.
+
+    A chunk's arrays are put out before the next is read: what a task holds
+    follows from the chunk's size, not the batch's.
+    """
 
     def run(batches):
         for batch in batches:
             train = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
-            found = {WORD: [], RUN: []}
-            for chunk in tx.chunks(batch.column(1)):
+            for chunk in tx.chunks(batch.column(1), COUNTED):
                 own = train[chunk.first : chunk.first + len(chunk.offsets) - 1]
                 words = tx.words(chunk, tx.LOWER[chunk.data])
+                yield _counted(WORD, words.hashes, np.diff(words.bounds), own)
+                del words
                 codes, bounds = runs(chunk, order)
-                for kind, keys, sizes in ((WORD, words.hashes, np.diff(words.bounds)), (RUN, codes, np.diff(bounds))):
-                    flags = np.repeat(own, sizes)
-                    for learned in (True, False):
-                        values, n = np.unique(keys[flags == learned], return_counts=True)
-                        found[kind].append((values.astype(np.uint64), n * learned, n))
-            for kind, parts in found.items():
-                if parts:
-                    keys, learned, n = _merge([p[0] for p in parts], [[p[i] for p in parts] for i in (1, 2)])
-                    kinds = pa.array(np.full(len(keys), kind, np.int32))
-                    yield pa.RecordBatch.from_arrays([kinds, *map(tx.column, (keys, learned, n))], ["kind", "key", "train", "n"])
+                yield _counted(RUN, codes, np.diff(bounds), own)
 
     return run
 
 
+def _counted(kind: int, keys: np.ndarray, sizes: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
+    flags = np.repeat(train, sizes)
+    found = [np.unique(keys[flags == learned], return_counts=True) for learned in (True, False)]
+    values = [v.astype(np.uint64) for v, _ in found]
+    learned = [n * i for (_, n), i in zip(found, (1, 0), strict=True)]
+    keys, learned, n = _merge(values, [learned, [n for _, n in found]])
+    kinds = pa.array(np.full(len(keys), kind, np.int32))
+    return pa.RecordBatch.from_arrays([kinds, *map(tx.column, (keys, learned, n))], ["kind", "key", "train", "n"])
+
+
 class _Order:
     """Counts of one order: contexts with their symbols, sorted by key."""
 
@@ -217,23 +226,29 @@ def _score(order: int, words_, runs_, missing: float):
                     at = np.minimum(np.searchsorted(own, keys), len(own) - 1) if len(own) else np.zeros(len(keys), np.int64)
                     hit = own[at] == keys if len(own) else np.zeros(len(keys), bool)
                     found = np.where(hit, values[at], 0.0) if len(own) else np.zeros(len(keys))
-                    total = np.zeros(len(keys) + 1)
                     doc = np.repeat(np.arange(size), np.diff(ends))
                     total = np.bincount(doc, found, size)
                     sums[kind] = total
                     if kind == WORD:
                         known = np.bincount(doc, hit & (found > missing), size).astype(np.int64)
                     if not hit.all():
-                        rest.append((kind, numbers[doc[~hit]], keys[~hit]))
+                        # One row for all occurrences of a key in a text.
+                        who, key = doc[~hit], keys[~hit]
+                        order_ = np.lexsort((key, who))
+                        who, key = who[order_], key[order_]
+                        new = np.ones(len(who), bool)
+                        new[1:] = (who[1:] != who[:-1]) | (key[1:] != key[:-1])
+                        at = np.flatnonzero(new)
+                        rest.append((kind, numbers[who[at]], key[at], np.diff(np.append(at, len(who)))))
                 slice_ = [batch.column(i).slice(chunk.first, size) for i in (0, 1)]
                 tokens = np.diff(words.bounds) + 1
                 none = [pa.nulls(size, t) for t in (pa.int32(), pa.int64(), pa.int64())]
                 columns = [pa.array(numbers), *slice_, *map(tx.column, (tokens, known, sums[WORD], sums[RUN])), *none]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SCORED.split(", ")])
-                for kind, who, keys in rest:
+                for kind, who, keys, times in rest:
                     n = len(keys)
                     columns = [pa.array(who), *(pa.nulls(n, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-                    columns += [pa.array(np.full(n, kind, np.int32)), pa.array(keys), pa.array(np.ones(n, np.int64))]
+                    columns += [pa.array(np.full(n, kind, np.int32)), pa.array(keys), pa.array(times, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SCORED.split(", ")])
 
     return run
@@ -269,7 +284,8 @@ def score(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", order: in
     low = grams.where("train > 0").groupBy(F.col("key").bitwiseAND(_mask(1)).alias("key")).agg(F.sum("train").alias("train")).toArrow()
     low = low.column("key").to_numpy(), low.column("train").to_numpy()
     # A subtree: contexts with the same last two symbols; a group holds some of them.
-    group = F.pmod(F.xxhash64(F.shiftrightunsigned("key", BITS).bitwiseAND(_mask(1))), F.lit(SUBTREES))
+    groups = max(SUBTREES, -(-grams.count() // GROUP_RUNS))
+    group = F.pmod(F.xxhash64(F.shiftrightunsigned("key", BITS).bitwiseAND(_mask(1))), F.lit(groups))
     grams = settle(grams.groupBy(group.alias("part")).applyInArrow(_subtree(order, low), "key long, n long, value double"), "ppm-runs")
     tables = []
     for table in (words, grams):
@@ -277,7 +293,7 @@ def score(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", order: in
         tables.append(spark.sparkContext.broadcast((keys, values)))
     scored = settle(named.mapInArrow(_score(order, *tables, missing), _SCORED), "ppm-scored")
     sums = scored.where("kind IS NULL")
-    rest = scored.where("kind IS NOT NULL").groupBy("kind", "key", "row").agg(F.sum("n").alias("times"))
+    rest = scored.where("kind IS NOT NULL").select("kind", "key", "row", F.col("n").alias("times"))
     entries = words.withColumn("kind", F.lit(WORD)).union(grams.withColumn("kind", F.lit(RUN))).drop("n")
     rest = rest.join(entries, ["kind", "key"], "left")
     part = F.col("times") * F.col("value")
