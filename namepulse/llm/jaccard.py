@@ -167,19 +167,17 @@ def _level(n: int, percent: int) -> int:
 
 
 def entries(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """What a set is indexed by: hashes of rare shingles and of pairs of frequent ones, for each of its levels."""
+    """What a set is indexed by: hashes of rare shingles, and of pairs of frequent ones for each of its levels."""
     n = len(tokens)
     slack = n - int(least_overlap(n, percent))
     often = frequent[_slots(tokens)]
     order = np.concatenate([np.flatnonzero(~often), np.flatnonzero(often)])
     rare = n - int(often.sum())
-    out = []
+    if rare > slack:
+        return tx.mix(tokens[order[: slack + 1]])
+    out = [tx.mix(tokens[order[:rare]])]
     for level in range(_level(int(least_overlap(n, percent)), percent), _level(n, percent) + 1):
         salt = np.uint64(level + 1)
-        if rare > slack:
-            out.append(tx.mix(tokens[order[: slack + 1]] + salt))
-            continue
-        out.append(tx.mix(tokens[order[:rare]] + salt))
         kinds: dict[int, list] = {}
         covered = rare
         for token in tokens[order[rare:]]:
@@ -206,7 +204,9 @@ def _index(size: int, percent: int, packed: np.ndarray):
                 tokens, bounds = shingle_sets(chunk, size)
                 numbers, _ = _set_numbers(tokens, bounds)
                 found, owner, sizes = [np.zeros(0, np.uint64)], [], []
-                for i in np.flatnonzero(np.diff(bounds) >= least):
+                # Copies within a chunk are one set.
+                distinct = np.sort(np.unique(numbers, return_index=True)[1])
+                for i in distinct[np.diff(bounds)[distinct] >= least]:
                     found.append(entries(tokens[bounds[i] : bounds[i + 1]], frequent, percent))
                     owner.append(i)
                     sizes.append(len(found[-1]))
