@@ -271,6 +271,12 @@ def daily_topk_of_records(spark, sf_dir):
     return _by_day(daily.top_names_of_records(records, stop=feed.FEED_STOP))
 
 
+@query
+def daily_topk_in_rounds(spark, sf_dir):
+    lines = feed.feed_lines(spark, sf_dir)
+    return _by_day(daily.top_names_of_lines(lines, stop=feed.FEED_STOP, rounds=True))
+
+
 def _positions(array):
     return F.posexplode(array).alias("pos", "topic")
 

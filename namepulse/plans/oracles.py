@@ -217,6 +217,7 @@ WHERE word NOT IN (SELECT p_name FROM part WHERE p_size < 10) GROUP BY word"""),
     "daily_histogram_map": _feed("SELECT date, word, total FROM counts"),
     "daily_topk": _DAILY_TOPK,
     "daily_topk_of_records": _DAILY_TOPK,
+    "daily_topk_in_rounds": _DAILY_TOPK,
     "daily_topk_array": _TOPK_FLAT,
     "daily_topk_padded": _feed("""
 SELECT d.date, pos, coalesce(word, '(none)') AS word, coalesce(total, -1) AS total
