@@ -5,7 +5,8 @@ Normal form: A-Z in lower case, everything but letters a-z and digits as one
 space. The coefficient of two sets of bigrams is twice what they share over the
 sum of their sizes. A coefficient of ``least`` bounds the ratio of the sizes, so
 lines and texts outside every template's bounds go before bigrams are made, and
-a pair outside its own bounds before they are counted.
+a pair outside its own bounds before they are counted. Bounds and threshold are
+compared in whole numbers: a coefficient of exactly ``least`` is a match.
 
 Null and empty texts, and lines of fewer than two words, match nothing. Equal
 templates of one name count once. Repeated rows are reported once per document;
@@ -14,6 +15,8 @@ documents with a null id are reported together. Empty tables give no rows.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,11 @@ TEMPLATES = (
 )
 
 
+def share(least: float) -> tuple[int, int]:
+    """``(p, q)`` with ``least = p / q``: what two sets share reaches it if ``2 * q * shared >= p * (size + other size)``."""
+    return Fraction(str(least)).as_integer_ratio()
+
+
 def normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9]+", " "))
 
@@ -89,22 +97,26 @@ def scan(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", given: tup
     all templates together bounds what it shares with each.
     """
     table = templates(docs.sparkSession, given).orderBy("size", "license").collect()
-    ratio = least / (2 - least)
-    low, high = min((t["size"] for t in table), default=0) * ratio, max((t["size"] for t in table), default=0) / ratio
+    p, q = share(least)
+    # What is shared is no more than the smaller set: that one is at least p / (2q - p) of the other.
+    rest = 2 * q - p
+    low, high = -(-p * min((t["size"] for t in table), default=0) // rest), rest * max((t["size"] for t in table), default=0) // p
     named = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    units = _units(named, max(2, int(low))).select("doc_id", "line_no", _once(bigrams(F.col("unit"))).alias("bigrams"))
+    units = _units(named, max(2, low)).select("doc_id", "line_no", _once(bigrams(F.col("unit"))).alias("bigrams"))
     units = units.withColumn("size", F.size("bigrams")).where((F.col("size") >= low) & (F.col("size") <= high))
     known = _texts(sorted({b for t in table for b in t["bigrams"]}))
     parts = units.select("doc_id", "line_no", "size", _once(F.array_intersect("bigrams", known)).alias("known"))
-    parts = parts.where(F.size("known") >= F.col("size") * ratio)
+    parts = parts.where(rest * F.size("known") >= p * F.col("size"))
 
     def dice(t) -> Column:
-        near = (F.col("size") * ratio <= t["size"]) & (F.col("size") / ratio >= t["size"])
+        near = (rest * F.col("size") >= p * t["size"]) & (rest * t["size"] >= p * F.col("size"))
+        both = F.col("size") + t["size"]
         shared = F.size(F.array_intersect("known", _texts(t["bigrams"])))
-        return F.when(near, F.struct((-2 * shared / (F.col("size") + t["size"])).alias("d"), F.lit(t["license"]).alias("license")))
+        score = F.when(2 * q * shared >= p * both, -2 * shared / both)
+        return F.when(near, F.struct(score.alias("d"), F.lit(t["license"]).alias("license")))
 
     none = F.lit(None).cast("struct<d:double,license:string>")
-    best = F.array_min(F.array(none, *(dice(t) for t in table)))
-    found = parts.select("doc_id", "line_no", _once(best).alias("best")).where(F.col("best.d") <= -least)
+    best = F.array_min(F.filter(F.array(none, *(dice(t) for t in table)), lambda x: x["d"].isNotNull()))
+    found = parts.select("doc_id", "line_no", _once(best).alias("best")).where("best IS NOT NULL")
     found = found.select("doc_id", F.col("line_no").cast("long"), F.col("best.license").alias("license"), F.round(-F.col("best.d"), 6).alias("dice"))
     return found.distinct().withColumnRenamed("doc_id", doc)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from namepulse.llm.licenses import LEAST, LOWER, TEMPLATES, UPPER
+from namepulse.llm.licenses import LEAST, LOWER, TEMPLATES, UPPER, share
 
+_P, _Q = share(LEAST)
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
@@ -91,11 +92,12 @@ units AS (
 ours AS ({_bigrams("unit").format("units")}),
 theirs AS ({_bigrams("template").format("given")}),
 scored AS (
-  SELECT doc_id, line_no, license, 2 * len(list_intersect(o.bigrams, t.bigrams)) / (len(o.bigrams) + len(t.bigrams)) AS dice
-  FROM ours o JOIN theirs t ON len(o.bigrams) > 0 AND len(o.bigrams) BETWEEN len(t.bigrams) * {LEAST / (2 - LEAST)} AND len(t.bigrams) / {LEAST / (2 - LEAST)}
+  SELECT doc_id, line_no, license, len(list_intersect(o.bigrams, t.bigrams)) AS shared, len(o.bigrams) + len(t.bigrams) AS sizes, 2 * shared / sizes AS dice
+  FROM ours o JOIN theirs t ON len(o.bigrams) > 0
+    AND {2 * _Q} * least(len(o.bigrams), len(t.bigrams)) >= {_P} * (len(o.bigrams) + len(t.bigrams))
 )
 SELECT doc_id, line_no::BIGINT AS line_no, arg_min(license, (-dice, license)) AS license, round(max(dice), 6) AS dice
-FROM scored WHERE dice >= {LEAST} GROUP BY doc_id, line_no
+FROM scored WHERE {2 * _Q} * shared >= {_P} * sizes GROUP BY doc_id, line_no
 """
 
 _COLLOCATIONS = rf"""

@@ -25,6 +25,15 @@ def test_license_scan_against_brute_force(table, clashing):
     assert licenses.scan(table([])).count() == 0
 
 
+def test_a_coefficient_of_exactly_the_least_is_a_match(table):
+    text = "Licensed under CC BY-NC 4.0 except where noted"
+    template = [("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.")]
+    assert dice(text, template[0][1]) == 0.8
+    docs = table([text, text, text + " here", None]).union(table([text]).limit(1))
+    found = sorted((r.doc_id, r.line_no, r.dice) for r in licenses.scan(docs, given=tuple(template)).collect())
+    assert found == [(0, 0, 0.8), (0, 1, 0.8), (1, 0, 0.8), (1, 1, 0.8)]
+
+
 TREE = [
     (1, 1, None, "user", "root <|im_end|> <\\| \\<|", 1.0),
     (1, 2, 1, "assistant", "left", 5.0),
