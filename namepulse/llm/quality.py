@@ -1,16 +1,20 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant.
 
-Every document gets a vector of transformed statistics. For each group
-(language and source) the estimate starts at the medians and the scaled median
-deviations, and concentration steps follow: the mean and covariance of the half
-of the documents nearest to the last estimate, over all documents. A document
-far from its group's estimate by Mahalanobis distance is rejected.
+Every document gets a vector of transformed statistics. Each group (language
+and source), each language and the whole table has an estimate of its mean and
+covariance: that of a half of its documents whose covariance has the least
+determinant. It is sought by concentration steps over all documents, each of
+which takes the half nearest to the last estimate, until the determinant stands
+still; from three starts (``STARTS``), of whose ends the least one stays. A
+document far from its group's estimate by Mahalanobis distance is rejected.
 
 Medians and the half's radius come from counts over a fine fixed grid, so a
 group is never gathered, however large; means and products are partial sums.
 The mean and covariance of a group of ``n`` documents that pass the base rule
 are drawn towards its language's by ``n / (n + SHRINK)``, and so are a
-language's towards the whole table's, at every step; there is no least size.
+language's towards the whole table's; there is no least size. The whole table
+is estimated first, then languages, then groups, so that what an estimate is
+drawn towards stands still and determinants of a key can be compared.
 Null languages and sources form groups of their own. Null
 and empty texts have zero statistics and fail the base rule. Repeated rows are
 judged one by one. An empty table gives no rows.
@@ -37,7 +41,11 @@ STATS = tuple(FLOORS)
 GRID = 0.01
 #: Documents that weigh as much as the wider estimate does.
 SHRINK = 20
-STEPS = 3
+#: Where the search for the least determinant starts: the medians with the scaled median deviations, the mean
+#: and covariance of all documents, and the medians with ``FLOORS`` as the unit of every statistic.
+STARTS = ("medians", "all", "units")
+#: A logarithm of a determinant that falls by less stands still.
+STILL = 1e-3
 #: 5 degrees of freedom, upper tail 1e-5.
 LIMIT = 30.9
 
@@ -139,8 +147,8 @@ def _weighted_median(counts: DataFrame, keys: list[str], value: str, share: floa
     return summed.where(F.col("upto") >= F.col("all") * share).groupBy(*keys).agg(F.min(value).alias("at"))
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Per key: medians as the mean, scaled median deviations as a diagonal covariance."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """``key, start, mean, spread`` of each key and each of ``STARTS``."""
     names = F.create_map(*(x for s in STATS for x in (F.lit(s), F.round(F.col(s) / GRID).cast("long"))))
     counted = rows.groupBy("key", *STATS).agg(F.sum("n").alias("n"))
     cells = counted.select("key", "n", F.explode(names).alias("stat", "cell"))
@@ -154,23 +162,44 @@ def _start(rows: DataFrame) -> DataFrame:
     means = [pick(s, "middle").alias(f"mean_{s}") for s in STATS]
     spreads = [F.greatest(1.4826 * pick(s, "at"), F.lit(FLOORS[s])).alias(f"sd_{s}") for s in STATS]
     table = both.agg(*means, *spreads)
-    zero = F.lit(0.0)
-    spread = F.array(*(F.array(*(F.col(f"sd_{s}") ** 2 if s == t else zero for t in STATS)) for s in STATS))
-    return table.select("key", F.array(*(f"mean_{s}" for s in STATS)).alias("mean"), spread.alias("spread"))
+    diagonal = lambda of: F.array(*(F.array(*(of(s) if s == t else F.lit(0.0) for t in STATS)) for s in STATS))
+    kinds = {"medians": diagonal(lambda s: F.col(f"sd_{s}") ** 2), "units": diagonal(lambda s: F.lit(FLOORS[s] ** 2))}
+    own = F.explode(F.array(*(F.struct(F.lit(k).alias("start"), v.alias("spread")) for k, v in kinds.items()))).alias("own")
+    middles = table.select("key", F.array(*(f"mean_{s}" for s in STATS)).alias("mean"), own)
+    every = _moments(rows.withColumn("start", F.lit("all")))
+    return middles.select("key", "own.start", "mean", "own.spread").unionByName(every)
 
 
-def _shrunk(raw: DataFrame, sizes: DataFrame, shrink: float) -> DataFrame:
-    """Means and inverse covariances from those of each key alone, drawn towards those above it."""
-    raw = raw.join(sizes, "key").withColumn("own", F.col("all") / (F.col("all") + shrink))
-    blend = lambda a, b: F.zip_with(a, b, lambda x, y: F.col("own") * x + (1 - F.col("own")) * y)
-    spread = F.zip_with("spread", "wide_spread", lambda a, b: blend(a, b))
-    whole = raw.where("key.level = 2").select("key", "mean", "spread")
-    wide = lambda above: above.select(F.col("key.lang").alias("wide_lang"), F.col("mean").alias("wide_mean"), F.col("spread").alias("wide_spread"))
-    drawn = lambda rows: rows.select("key", blend("mean", "wide_mean").alias("mean"), spread.alias("spread"))
-    langs = drawn(raw.where("key.level = 1").crossJoin(F.broadcast(wide(whole))))
-    groups = drawn(raw.where("key.level = 0").join(wide(langs), F.col("key.lang").eqNullSafe(F.col("wide_lang"))))
-    schema = raw.select("key", "mean", F.col("spread").alias("inverse")).schema
-    return groups.union(langs).union(whole).mapInArrow(_inverses, schema)
+def _moments(rows: DataFrame) -> DataFrame:
+    """``key, start, mean, spread`` of the given rows; floors keep the covariance regular."""
+    sums = [F.sum(F.col("n") * F.col(s)) for s in STATS]
+    products = [F.sum(F.col("n") * F.col(s) * F.col(t)) for s in STATS for t in STATS]
+    moments = rows.groupBy("key", "start").agg(F.sum("n").cast("double").alias("n"), F.array(*sums).alias("sums"), F.array(*products).alias("products"))
+    mean = [F.col("sums")[i] / F.col("n") for i in range(len(STATS))]
+
+    def spread(i: int, j: int) -> Column:
+        """The nearest half spreads less than all: the consistency factor for 5 statistics."""
+        own = 1.9 * (F.col("products")[i * len(STATS) + j] / F.col("n") - mean[i] * mean[j])
+        return own + FLOORS[STATS[i]] ** 2 if i == j else own
+
+    spreads = F.array(*(F.array(*(spread(i, j) for j in range(len(STATS)))) for i in range(len(STATS))))
+    return moments.select("key", "start", F.array(*mean).alias("mean"), spreads.alias("spread"))
+
+
+def _drawn(raw: DataFrame, sizes: DataFrame, wide: DataFrame | None, shrink: float) -> DataFrame:
+    """``key, start, mean, spread, inverse, det`` from what each key gives alone, drawn towards ``wide``.
+
+    ``wide`` holds the estimates one level up: one row, or one a language.
+    """
+    if wide is not None:
+        above = wide.select(F.col("key.level").alias("up"), F.col("key.lang").alias("up_lang"), F.col("mean").alias("up_mean"), F.col("spread").alias("up_spread"))
+        same = (F.col("key.level") + 1 == F.col("up")) & ((F.col("up") == 2) | F.col("key.lang").eqNullSafe(F.col("up_lang")))
+        raw = raw.join(sizes, "key").withColumn("own", F.col("all") / (F.col("all") + shrink)).join(above, same)
+        blend = lambda a, b: F.zip_with(a, b, lambda x, y: F.col("own") * x + (1 - F.col("own")) * y)
+        spread = F.zip_with("spread", "up_spread", lambda a, b: blend(a, b))
+        raw = raw.select("key", "start", blend("mean", "up_mean").alias("mean"), spread.alias("spread"))
+    schema = raw.withColumns({"inverse": F.col("spread"), "det": F.lit(0.0)}).schema
+    return raw.mapInArrow(_inverses, schema)
 
 
 def distance() -> Column:
@@ -183,33 +212,45 @@ def distance() -> Column:
 def _inverses(batches):
     for batch in batches:
         spread = np.array(batch.column("spread").to_pylist()).reshape(-1, len(STATS), len(STATS))
-        inverse = np.linalg.inv(spread) if len(spread) else spread
-        columns = [batch.column("key"), batch.column("mean"), pa.array(inverse.tolist(), pa.list_(pa.list_(pa.float64())))]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "mean", "inverse"])
-
+        inverse, det = (np.linalg.inv(spread), np.linalg.slogdet(spread)[1]) if len(spread) else (spread, np.zeros(0))
+        kind = pa.list_(pa.list_(pa.float64()))
+        columns = [*(batch.column(c) for c in ("key", "start", "mean", "spread")), pa.array(inverse.tolist(), kind), pa.array(det, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "start", "mean", "spread", "inverse", "det"])
 
-def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One step: mean and covariance of the nearest half of each key's documents; floors keep them regular."""
-    far = rows.join(estimate, "key").withColumn("ring", F.floor(F.least(F.log1p(distance()), F.lit(20.0)) / GRID))
-    counts = far.groupBy("key", "ring").agg(F.sum("n").alias("n"))
-    radius = _weighted_median(counts, ["key"], "ring")
-    near = far.drop("mean", "inverse").join(radius, "key").where("ring <= at")
-    sums = [F.sum(F.col("n") * F.col(s)) for s in STATS]
-    products = [F.sum(F.col("n") * F.col(s) * F.col(t)) for s in STATS for t in STATS]
-    moments = near.groupBy("key").agg(F.sum("n").cast("double").alias("n"), F.array(*sums).alias("sums"), F.array(*products).alias("products"))
-    mean = [F.col("sums")[i] / F.col("n") for i in range(len(STATS))]
 
-    def spread(i: int, j: int) -> Column:
-        """The nearest half spreads less than all: the consistency factor for 5 statistics."""
-        own = 1.9 * (F.col("products")[i * len(STATS) + j] / F.col("n") - mean[i] * mean[j])
-        return own + FLOORS[STATS[i]] ** 2 if i == j else own
+def _nearest(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """The half of each key's documents nearest to each of its estimates, whole rings of equal distance."""
+    far = rows.join(estimate.select("key", "start", "mean", "inverse"), "key")
+    far = far.withColumn("ring", F.floor(F.least(F.log1p(distance()), F.lit(20.0)) / GRID)).drop("mean", "inverse")
+    counts = far.groupBy("key", "start", "ring").agg(F.sum("n").alias("n"))
+    radius = _weighted_median(counts, ["key", "start"], "ring")
+    return far.join(radius, ["key", "start"]).where("ring <= at")
 
-    spreads = F.array(*(F.array(*(spread(i, j) for j in range(len(STATS)))) for i in range(len(STATS))))
-    return moments.select("key", F.array(*mean).alias("mean"), spreads.alias("spread"))
 
+def _least(rows: DataFrame, sizes: DataFrame, wide: DataFrame | None, shrink: float) -> DataFrame:
+    """Each key's estimate of least determinant: ``key, start, mean, spread, inverse, det``.
 
-def estimates(stats: DataFrame, steps: int = STEPS, shrink: float = SHRINK) -> DataFrame:
-    """``key``, ``mean`` and ``inverse`` of every group, language and the whole table.
+    A key's start is done with when a step no longer lowers its determinant;
+    only the others go on. Determinants fall by ``STILL`` at least, so steps end.
+    """
+    step = lambda estimate: settle(_drawn(_moments(_nearest(rows, estimate)), sizes, wide, shrink), "quality-step")
+    now = step(settle(_drawn(_starts(rows), sizes, wide, shrink), "quality-start"))
+    ends = []
+    while True:
+        later = step(now)
+        fallen = later.join(now.select("key", "start", F.col("det").alias("before")), ["key", "start"]).where(F.col("det") < F.col("before") - STILL)
+        fallen = settle(fallen.drop("before").select(now.columns), "quality-fallen")
+        if fallen.isEmpty():
+            break
+        ends.append(now.join(fallen.select("key", "start"), ["key", "start"], "left_anti").select(now.columns))
+        now = fallen
+    every = reduce(DataFrame.union, ends, now)
+    least = every.groupBy("key").agg(F.min_by(F.struct("start", "mean", "spread", "inverse", "det"), F.struct("det", "start")).alias("least"))
+    return settle(least.select("key", "least.*"), "quality-least")
+
+
+def estimates(stats: DataFrame, shrink: float = SHRINK) -> DataFrame:
+    """``key``, ``mean``, ``inverse``, ``det`` (its logarithm) and ``start`` of every group, language and the whole table.
 
     ``stats`` has ``lang``, ``source`` and the transformed statistics, which are
     rounded to the grid, so that equal vectors become one row with a weight.
@@ -219,10 +260,11 @@ def estimates(stats: DataFrame, steps: int = STEPS, shrink: float = SHRINK) -> D
     rows = _levels(settle(grid, "quality-grid"))
     rows = settle(rows.groupBy("key", *STATS).agg(F.sum("n").alias("n")), "quality-rows")
     sizes = settle(rows.groupBy("key").agg(F.sum("n").alias("all")), "quality-sizes")
-    estimate = settle(_shrunk(settle(_start(rows), "quality-raw"), sizes, shrink), "quality-start")
-    for _ in range(steps):
-        estimate = settle(_shrunk(settle(_concentrate(rows, estimate), "quality-raw"), sizes, shrink), "quality-step")
-    return estimate
+    level = lambda i: rows.where(F.col("key.level") == i)
+    whole = _least(level(2), sizes, None, shrink)
+    langs = _least(level(1), sizes, whole, shrink)
+    groups = _least(level(0), sizes, langs, shrink)
+    return groups.union(langs).union(whole).select("key", "mean", "inverse", "det", "start")
 
 
 def judge(
