@@ -1,7 +1,10 @@
+import itertools
 import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from namepulse.llm import quality
 from tests.llm.conftest import ODD
 
@@ -61,3 +64,32 @@ def test_a_small_source_is_judged_by_its_own(spark):
     found = {r.doc_id: r for r in quality.judge(spark.createDataFrame(made, "doc_id long, text string, lang string, source string")).collect()}
     assert all(found[i].kept or found[i].base_failed for i in range(399)) and not found[399].kept
     assert sum(found[i].kept for i in range(300, 399)) > 90
+
+
+def test_the_half_of_least_determinant_is_found(spark):
+    """All halves of twelve vectors by brute force: the same determinant, distances and verdicts."""
+    rng = np.random.default_rng(3)
+    floors = np.array(list(quality.FLOORS.values()))
+    vectors = np.array([4.0, 1.5, 0.2, 0.7, 0.4]) + rng.normal(size=(12, 5)) * floors
+    vectors[9:] += np.array([[3.0, 0.9, 0.6, 3.0, 0.0], [-3.0, 0.9, 0.6, 0.0, 1.2], [0.0, -0.9, 0.9, 4.0, 1.2]])
+    vectors = np.round(vectors / quality.GRID) * quality.GRID
+    made = [(i, None, None, False, *map(float, v)) for i, v in enumerate(vectors)]
+    names = ", ".join(f"{s} double" for s in quality.STATS)
+    stats = spark.createDataFrame(made, f"doc_id long, lang string, source string, base_failed boolean, {names}")
+
+    def of(half):
+        own = vectors[list(half)]
+        spread = 1.9 * np.cov(own.T, bias=True) + np.diag(floors**2)
+        return np.linalg.slogdet(spread)[1], own.mean(0), np.linalg.inv(spread)
+
+    det, mean, inverse = min((of(h) for h in itertools.combinations(range(12), 6)), key=lambda x: x[0])
+    estimate = quality.estimates(stats)
+    found = estimate.collect()
+    assert len(found) == 3 and {r.start for r in found} <= set(quality.STARTS)
+    for r in found:
+        assert abs(r.det - det) < 1e-6
+        assert np.allclose(r.mean, mean) and np.allclose(r.inverse, inverse)
+    far = np.einsum("ni,ij,nj->n", vectors - mean, inverse, vectors - mean)
+    judged = {r.doc_id: r for r in quality._judged(stats, estimate, 12.0).collect()}
+    assert np.allclose([judged[i].distance for i in range(12)], far)
+    assert [judged[i].kept for i in range(12)] == (far <= 12.0).tolist() and not any(judged[i].kept for i in (9, 10, 11))
