@@ -1,32 +1,35 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
 
-Texts are words without ASCII punctuation, A-Z in lower case. The CGK walk of a
-repetition reads a word, writes it, and steps on or stays by a random bit of
-word and step; so words that differ by few edits give strings that differ in
-few places. A repetition samples places of the embedded string into one hash.
-An item is embedded from each of its words as far as the walk stays inside it,
-a document from each of its words; an equal hash nominates the item-sized
-window around it. Short items have walks of their own, shorter length. Walks
-that stand still on a common word are left out where an item has others.
-
-Edits inside words leave few words whole, so bytes are sampled as well: spaced
-grams of the normal text, as long as an item's own length and the edits that
-``percent`` allows let enough of them stay whole, by an estimate, for the
-recall; items too short for that have grams so short that one always stays.
+Texts are words without ASCII punctuation, A-Z in lower case, one space between
+words. The CGK walk of an embedding reads a code point, writes it, and steps on
+or stays by a random bit of code point and step; so strings that differ by few
+edits give strings that differ in few places. Several hashes sample places of
+each embedded string. An item is embedded from its starts as far as the walk
+stays inside it, a document from each of its starts; an equal hash nominates the
+item-sized window around it. Starts are those of words, and every code point of
+scripts that are written without spaces.
+
+How long an item's walks are, how many places a hash samples and how many
+embeddings there are follow from the item and the edits that ``percent`` allows:
+the item is edited at random as much as that ``TRIES`` times, and the first of
+``LADDER`` that finds the ``recall`` of those copies is taken, with as many
+embeddings as that took. Items too short or too repetitive for all of these have walks so
+short that they stay within the run of whole code points that is always left.
 
 A nominated window, with room for shifts, is compared with the item by the
 least edit distance (code points) of the item to any part of the window. Items
 within ``100 - percent`` per cent of edits are leaks.
 
 The hashes of all items reach the tasks as a bit table of fixed size; what
-passes is joined with the items' hashes. Null, empty and wordless texts and
-items match nothing. Repeated rows, documents and items are found as often as
-their ids differ. Empty tables give no rows.
+passes is joined with the items' hashes. Only the pieces of a text around its
+nominations travel, as far as the longest item reaches. Null, empty and wordless
+texts and items match nothing. Repeated rows, documents and items are found as
+often as their ids differ; null ids are an id like any other. Empty tables give
+no rows.
 """
 
 from __future__ import annotations
 
-import math
 from typing import NamedTuple
 
 import numpy as np
@@ -37,142 +40,138 @@ from pyspark.sql import functions as F
 from namepulse.llm import text as tx
 from namepulse.llm.tables import settle, workers
 
-#: Steps of a walk and how many of them are sampled, for items of so many words at least.
-WALKS = {12: 5, 4: 2, 1: 1}
-#: How many different words the sampled places hold at least, where an item has such walks.
-DIFFERENT = {12: 4}
-#: Sampled bytes of a gram, longest first, and how many grams of a length there are.
-GRAMS = (12, 10, 8, 6)
-SPACED = 2
+
+class Walk(NamedTuple):
+    """Steps of a walk, how many of them a hash samples, how many embeddings there may
+    be and how many hashes each gives; ``everywhere``: from every code point."""
+
+    steps: int
+    sampled: int
+    embeddings: int
+    hashes: int
+    everywhere: bool = False
+
+
+_SIZES = (Walk(48, 14, 6, 3), Walk(24, 10, 4, 3), Walk(12, 6, 4, 3))
+#: What an item's walks may be, the ones that nominate least by chance first.
+LADDER = (*_SIZES, *(w._replace(everywhere=True) for w in _SIZES))
+#: Edited copies by which an item's recall is measured, and how many of its code points they have at most:
+#: what finds a part finds the whole.
+TRIES = 200
+_SEEN = 2000
+#: Code points from here on are of scripts without spaces between words, or are rare.
+_UNSPACED = 0x0E00
+_PIECE = 1 << 14
 _TABLE_BITS = 26
 #: Nominations of an item that start within so many code points are one.
 _NEAR = 32
 _PUNCTUATION = bytes(set(range(33, 127)) - set(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
 NORMAL = np.where(tx.table(_PUNCTUATION), np.uint8(32), tx.LOWER)
-_CANDIDATES = "doc_id long, text string, signatures array<long>, places array<int>"
-_INDEX = "item_id long, item string, signature long, place int, walk int, gram int"
-
-
-def repetitions(recall: float, words: int, edited: float, steps: int = 12) -> int:
-    """How many repetitions find an item of ``words`` words, a share of which is ``edited``, with the recall.
-
-    A walk spans about half its steps in words; an item has room for several
-    spans. A span finds the item if it is whole, ``(1 - edited) ** span``, and
-    its walk is one of those that tell, about three in five.
-    """
-    span = steps / 2
-    miss = (1 - 0.6 * (1 - edited) ** span) ** (words / span)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
-
-
-def _draws(repetition: int, steps: int) -> tuple[np.ndarray, set[int]]:
-    rng = np.random.Generator(np.random.PCG64([11, steps, repetition]))
-    odd = rng.integers(0, 2**31, steps, np.uint32) * np.uint32(2) + np.uint32(1)
-    return odd, set(rng.choice(steps, WALKS[steps], replace=False).tolist())
-
-
-def _read(hashes: np.ndarray, repetition: int, steps: int):
-    """The words at the sampled places of the walk from each word, place by place."""
-    odd, sampled = _draws(repetition, steps)
-    symbols = (np.concatenate([hashes, np.zeros(steps, np.uint64)]) >> np.uint64(32)).astype(np.uint32)
-    at = np.arange(len(hashes))
-    for step in range(max(sampled) + 1):
-        here = symbols[at]
-        if step in sampled:
-            yield here
-        at += (here * odd[step]) >> np.uint32(31)
-
-
-def signatures(hashes: np.ndarray, repetition: int, steps: int) -> np.ndarray:
-    """The sampled hash of the walk from each word; the last words' walks run off the end and mean nothing."""
-    out = np.full(len(hashes), steps * 1000 + repetition, np.uint64)
-    for here in _read(hashes, repetition, steps):
-        out *= tx._BASE
-        out += here
-    return tx.mix(out)
-
+_CANDIDATES = "doc_id long, low long, text string, signatures array<long>, places array<int>"
+_INDEX = "item_id long, item string, signature long, place int, steps int, sampled int, everywhere boolean, embeddings int"
 
-def _different(hashes: np.ndarray, repetition: int, steps: int) -> np.ndarray:
-    """How many different words the sampled places of each walk hold."""
-    read = np.sort(np.stack(list(_read(hashes, repetition, steps))), 0)
-    return 1 + (read[1:] != read[:-1]).sum(0)
 
+def _draws(walk: Walk, embedding: int) -> tuple[np.uint64, np.ndarray, list[list[int]]]:
+    """The embedding's odd factor, the hashes' first values, and which hashes sample each step."""
+    rng = np.random.Generator(np.random.PCG64([11, *walk[:2], walk.everywhere, embedding]))
+    odd = rng.integers(1, 2**63, 1, np.uint64)[0] * np.uint64(2) + np.uint64(1)
+    first = rng.integers(1, 2**63, walk.hashes, np.uint64)
+    places = [set(rng.choice(walk.steps, walk.sampled, replace=False).tolist()) for _ in range(walk.hashes)]
+    return odd, first, [[h for h in range(walk.hashes) if step in places[h]] for step in range(walk.steps)]
 
-def item_signatures(hashes: np.ndarray, repeats: int) -> list[tuple[int, int]]:
-    """(hash, place) of an item's walks that stay inside it.
 
-    A walk that stands still on a common word holds little else, and many texts
-    have the like. So walks of too few different words are left out, unless the
-    item has no others.
-    """
-    steps = _steps_of(len(hashes))
-    inside = len(hashes) - steps + 1
-    rows = [
-        (int(s), place, int(n))
-        for r in range(repeats)
-        for place, (s, n) in enumerate(zip(signatures(hashes, r, steps)[:inside].view(np.int64), _different(hashes, r, steps)[:inside]))
-    ]
-    telling = [row for row in rows if row[2] >= DIFFERENT.get(steps, 1)] or rows
-    return [row[:2] for row in telling]
-
-
-def _steps_of(words: int) -> int:
-    return next(s for s in WALKS if words >= s)
+def signatures(symbols: np.ndarray, starts: np.ndarray, walk: Walk, embedding: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sampled hashes of the walk from each start, and the last place each walk reads.
 
-
-def gram_of(length: int, percent: int = 80, recall: float = 0.99) -> int:
-    """How many bytes the grams of an item of ``length`` bytes sample.
-
-    A gram stays whole with chance ``percent ** bytes``. Edits that shift the
-    text break whole runs, so several have to be expected; for short items
-    grams are runs, of which no ``100 - percent`` per cent of edits break all.
+    ``symbols`` are mixed code points (``mixed``). Walks that run off the end
+    read zeros there.
     """
-    expected = -2.6 * math.log(1 - recall)
-    for size in GRAMS:
-        if (length - _span(size) + 1) * (percent / 100) ** size >= expected:
-            return size
+    odd, first, sampled = _draws(walk, embedding)
+    own = np.concatenate([symbols, np.zeros(walk.steps, np.uint64)])
+    own *= odd
+    own ^= own >> np.uint64(32)
+    out = np.empty((walk.hashes, len(starts)), np.uint64)
+    last = np.empty(len(starts), np.int64)
+    for low in range(0, len(starts), _PIECE):
+        at = starts[low : low + _PIECE].astype(np.int64)
+        hashes = out[:, low : low + _PIECE]
+        hashes[:] = first[:, None]
+        here, bit = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+        for step in range(walk.steps):
+            np.take(own, at, out=here, mode="clip")
+            for h in sampled[step]:
+                hashes[h] *= tx._BASE
+                hashes[h] += here
+            if step == walk.steps - 1:
+                last[low : low + _PIECE] = at
+            # The walk's random bit of code point and step.
+            np.right_shift(here, np.uint64(step & 63), out=bit)
+            np.bitwise_and(bit, np.uint64(1), out=bit)
+            at += bit.view(np.int64)
+    return tx.mix(out), last
+
+
+def mixed(codes: np.ndarray) -> np.ndarray:
+    return tx.mix(codes.astype(np.uint64) + np.uint64(1))
+
+
+def starts_of(codes: np.ndarray) -> np.ndarray:
+    """Flags of code points that begin a word or belong to a script without spaces."""
+    begins = np.ones(len(codes), bool)
+    begins[1:] = (codes[:-1] == 32) | (codes[1:] >= _UNSPACED)
+    return begins & (codes != 32)
+
+
+def item_signatures(codes: np.ndarray, walk: Walk, embedding: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, place of each) of an item's walks that stay inside it."""
+    starts = np.arange(len(codes)) if walk.everywhere else np.flatnonzero(starts_of(codes))
+    hashes, last = signatures(mixed(codes), starts, walk, embedding)
+    inside = last < len(codes)
+    return hashes[:, inside], starts[inside]
+
+
+def edited(codes: np.ndarray, edits: int, tries: int, seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
+    """Copies of an item with so many code points replaced, left out or preceded by another: code points, and whose they are."""
+    rng = np.random.Generator(np.random.PCG64([seed, len(codes)]))
+    size = len(codes)
+    kind = np.zeros((tries, size + 1), np.int8)
+    places = np.argsort(rng.random((tries, size)), 1)[:, :edits]
+    np.put_along_axis(kind, places, rng.integers(1, 4, places.shape, np.int8), 1)
+    kind[:, size] = 0
+    other = codes[rng.integers(0, size, kind.shape)] ^ np.uint32(1)
+    whole = np.broadcast_to(np.append(codes, np.uint32(32)), kind.shape)
+    # Two cells for each code point: what is put before it, and itself or what replaces it.
+    cells = np.stack([other, np.where(kind == 1, other, whole)], 2)
+    kept = np.stack([kind == 3, kind != 2], 2)
+    owner = np.broadcast_to(np.arange(tries)[:, None, None], kept.shape)
+    return cells[kept], owner[kept]
+
+
+def run_walk(length: int, percent: int) -> Walk:
+    """Walks no longer than the run of whole code points that any ``100 - percent`` per cent of edits leave."""
     edits = length * (100 - percent) // 100
-    return min(max(1, -((edits - length) // (edits + 1))), min(GRAMS) - 1)
-
-
-def _span(gram: int) -> int:
-    """Bytes from the first to the last that a gram samples: the short ones are runs."""
-    return gram * 4 // 3 if gram in GRAMS else gram
-
-
-def _masks(gram: int) -> list[np.ndarray]:
-    """The places that the grams of one length sample, as masks over two words of eight bytes."""
-    masks = []
-    for repetition in range(SPACED if gram in GRAMS else 1):
-        rng = np.random.Generator(np.random.PCG64([13, gram, repetition]))
-        sampled = np.zeros(16, np.uint8)
-        sampled[[0, _span(gram) - 1]] = 255
-        if gram > 2:
-            sampled[rng.choice(_span(gram) - 2, gram - 2, replace=False) + 1] = 255
-        masks.append(sampled.view(np.uint64))
-    return masks
-
-
-def gram_signatures(data: np.ndarray, grams: list[int], piece: int = 1 << 15):
-    """Pieces of (first byte, hashes) of the grams that start at each byte; zeros follow the last."""
-    masks = [(tx._VALUES[gram * 8 + r], low, high) for gram in grams for r, (low, high) in enumerate(_masks(gram))]
-    for at in range(0, len(data) if masks else 0, piece):
-        part = np.zeros(min(piece, len(data) - at) + 16, np.uint64)
-        some = data[at : at + len(part)]
-        part[: len(some)] = some
-        for width in (1, 2, 4):
-            part[:-width] |= part[width:] << np.uint64(8 * width)
-        for salt, low, high in masks:
-            found = part[:-16] & low
-            found ^= salt
-            found *= tx._BASE
-            if high:
-                found ^= (part[8:-8] & high) * tx._UNBASE
-            found ^= found >> np.uint64(32)
-            found *= tx._UNBASE
-            found ^= found >> np.uint64(29)
-            found *= tx._BASE
-            yield at, found
+    steps = max(1, -((edits - length) // (edits + 1)))
+    return Walk(steps, steps, 1, 1, True)
+
+
+def chosen(codes: np.ndarray, percent: int = 80, recall: float = 0.99, tries: int = TRIES) -> Walk:
+    """The walks of an item: ``embeddings`` is how many of them it takes."""
+    part = codes[:_SEEN]
+    copies, owner = edited(part, len(part) * (100 - percent) // 100, tries)
+    symbols, begins = mixed(copies), starts_of(copies)
+    for walk in LADDER:
+        found = np.zeros(tries, bool)
+        starts = np.arange(len(copies)) if walk.everywhere else np.flatnonzero(begins)
+        for embedding in range(walk.embeddings):
+            own, _ = item_signatures(part, walk, embedding)
+            if not own.size:
+                break
+            hashes, _ = signatures(symbols, starts, walk, embedding)
+            hit = np.isin(hashes, own).any(0)
+            found[owner[starts[hit]]] = True
+            if found.mean() >= recall:
+                return walk._replace(embeddings=embedding + 1)
+    return run_walk(len(codes), percent)
 
 
 def _normal(chunk: tx.Chunk) -> tuple[np.ndarray, tx.Words]:
@@ -208,37 +207,57 @@ def _join_words(data: np.ndarray, words: tx.Words) -> _Joined:
     return _Joined(joined, points, bounds, starts)
 
 
-def _item_rows(repeats: int, percent: int, recall: float):
+def _points(data: np.ndarray) -> np.ndarray:
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+
+
+def _item_rows(percent: int, recall: float):
     def run(batches):
         for batch in batches:
-            rows = []
             ids = batch.column(0).to_pylist()
             for chunk in tx.chunks(batch.column(1)):
-                data, words = _normal(chunk)
-                joined = _join_words(data, words)
+                joined = _join_words(*_normal(chunk))
                 for row in range(len(chunk.offsets) - 1):
-                    low, high = words.bounds[row], words.bounds[row + 1]
-                    if low == high:
-                        continue
-                    own = words.hashes[low:high]
-                    points = joined.points[joined.bounds[row] : joined.bounds[row + 1]] - joined.points[joined.bounds[row]]
-                    starts = points[joined.starts[low:high] - joined.bounds[row]]
-                    name = (ids[chunk.first + row], joined.text(row))
-                    found = [(s, int(starts[place]), _steps_of(len(own)), None) for s, place in item_signatures(own, repeats)]
-                    gram = gram_of(len(points), percent, recall)
-                    inside = len(points) - _span(gram) + 1
-                    for at, hashes in gram_signatures(joined.data[joined.bounds[row] : joined.bounds[row + 1]], [gram]):
-                        places = points[at : max(at, min(inside, at + len(hashes)))].tolist()
-                        found += [(s, place, None, gram) for s, place in zip(hashes.view(np.int64).tolist(), places)]
-                    rows += [(*name, *f) for f in found]
-            columns = zip(*rows, strict=True) if rows else [[]] * 6
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-            names = ["item_id", "item", "signature", "place", "walk", "gram"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+                    own = joined.data[joined.bounds[row] : joined.bounds[row + 1]]
+                    if len(own):
+                        yield _of_item(ids[chunk.first + row], own, percent, recall)
 
     return run
 
 
+def _of_item(item_id: int | None, own: np.ndarray, percent: int, recall: float) -> pa.RecordBatch:
+    codes = _points(own)
+    walk = chosen(codes, percent, recall)
+    found = [item_signatures(codes, walk, embedding) for embedding in range(walk.embeddings)]
+    hashes = np.concatenate([h.ravel() for h, _ in found])
+    places = np.concatenate([np.tile(p, walk.hashes) for _, p in found])
+    # A repetitive item has the same hash at many places: once for those that are near each other.
+    order = np.lexsort((places, hashes))
+    hashes, places = hashes[order], places[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (places[1:] // _NEAR != places[:-1] // _NEAR)
+    hashes, places = hashes[first], places[first]
+    same = lambda value, kind: pa.array([value] * len(hashes), kind)
+    columns = [
+        same(item_id, pa.int64()),
+        same(own.tobytes().decode(), pa.string()),
+        tx.column(hashes),
+        pa.array(places, pa.int32()),
+        same(walk.steps, pa.int32()),
+        same(walk.sampled, pa.int32()),
+        same(walk.everywhere, pa.bool_()),
+        same(walk.embeddings, pa.int32()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["item_id", "item", "signature", "place", "steps", "sampled", "everywhere", "embeddings"])
+
+
+def _walks(index: DataFrame) -> list[Walk]:
+    """The kinds of walk that items have, each with the most embeddings that one has: no more than the ladder's and the short runs'."""
+    hashes = {(w.steps, w.sampled, w.everywhere): w.hashes for w in LADDER}
+    rows = index.groupBy("steps", "sampled", "everywhere").agg(F.max("embeddings").alias("n")).collect()
+    return sorted(Walk(r.steps, r.sampled, r.n, hashes.get((r.steps, r.sampled, r.everywhere), 1), r.everywhere) for r in rows)
+
+
 def _bits(signatures_: DataFrame) -> np.ndarray:
     """Two bits of each hash in a table of 8 MB, whatever the number of items."""
     spots = F.array(*(F.expr(f"shiftrightunsigned(signature, {64 - _TABLE_BITS - i * _TABLE_BITS}) & {(1 << _TABLE_BITS) - 1}") for i in (0, 1)))
@@ -262,8 +281,15 @@ def _hits(found: np.ndarray, bits: np.ndarray, coarse: np.ndarray) -> np.ndarray
     return near[first[hit]]
 
 
-def _scan(bits: np.ndarray, walks: list[int], repeats: int, grams: list[int]):
-    """Documents with walks or grams that may be an item's: normal text, hashes and the code points where they start."""
+def _pieces(doc: np.ndarray, places: np.ndarray, reach: int) -> np.ndarray:
+    """Where a new piece begins among hits in order: in another text, or too far from the hit before."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (places[1:] - places[:-1] > 2 * reach)
+    return np.flatnonzero(new)
+
+
+def _scan(bits: np.ndarray, walks: list[Walk], reach: int):
+    """Pieces of documents with walks that may be an item's: where they begin, normal text, hashes and the code points where they start."""
 
     def run(batches):
         coarse = bits.view(np.uint16) != 0
@@ -271,37 +297,41 @@ def _scan(bits: np.ndarray, walks: list[int], repeats: int, grams: list[int]):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             null = np.array([not x.is_valid for x in batch.column(0)], bool)
             for chunk in tx.chunks(batch.column(1)):
-                data, words = _normal(chunk)
-                joined = _join_words(data, words)
-                hashes, places = [], []
-
-                def keep(found: np.ndarray, hits: np.ndarray, at: np.ndarray) -> None:
-                    hashes.append(found[hits])
-                    places.append(at)
-
-                for steps in walks:
-                    for r in range(repeats):
-                        found = signatures(words.hashes, r, steps)
-                        hits = _hits(found, bits, coarse)
-                        keep(found, hits, joined.starts[hits])
-                for at, found in gram_signatures(joined.data, grams):
-                    hits = _hits(found, bits, coarse)
-                    keep(found, hits, at + hits)
-                hashes, places = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hashes, places))
-                doc = np.searchsorted(joined.bounds, places, "right") - 1
-                order = np.argsort(doc, kind="stable")
-                doc, hashes, places = doc[order], hashes[order], places[order]
-                places = joined.points[places] - joined.points[joined.bounds[doc]]
-                own, first = np.unique(doc, return_index=True)
-                bounds = np.append(first, len(doc)).astype(np.int32)
+                joined = _join_words(*_normal(chunk))
+                codes = _points(joined.data)
+                symbols = mixed(codes)
+                begins = starts_of(codes)
+                begins[joined.points[joined.starts]] = True
+                word_starts = np.flatnonzero(begins)
+                hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                for walk in walks:
+                    starts = np.arange(len(codes)) if walk.everywhere else word_starts
+                    for embedding in range(walk.embeddings):
+                        for found in signatures(symbols, starts, walk, embedding)[0]:
+                            hits = _hits(found, bits, coarse)
+                            hashes.append(found[hits])
+                            places.append(starts[hits])
+                hashes, places = np.concatenate(hashes), np.concatenate(places)
+                order = np.argsort(places, kind="stable")
+                hashes, places = hashes[order], places[order]
+                bounds = np.append(joined.points, len(codes))[joined.bounds]
+                doc = np.searchsorted(bounds, places, "right") - 1
+                first = _pieces(doc, places, reach)
+                ends = np.append(first, len(places))
+                own = doc[first]
+                low = np.maximum(places[first] - reach, bounds[own])
+                high = np.minimum(places[ends[1:] - 1] + reach, bounds[own + 1])
+                places = places - np.repeat(low, np.diff(ends))
                 rows = chunk.first + own
+                cut = [codes[a:b].tobytes().decode("utf-32-le") for a, b in zip(low.tolist(), high.tolist())]
                 columns = [
                     pa.array(np.where(null[rows], 0, ids[rows]).astype(np.int64), pa.int64(), mask=null[rows]),
-                    pa.array([joined.text(row) for row in own], pa.string()),
-                    pa.ListArray.from_arrays(bounds, hashes.view(np.int64)),
-                    pa.ListArray.from_arrays(bounds, places.astype(np.int32)),
+                    pa.array(low - bounds[own], pa.int64()),
+                    pa.array(cut, pa.string()),
+                    pa.ListArray.from_arrays(ends.astype(np.int32), hashes.view(np.int64)),
+                    pa.ListArray.from_arrays(ends.astype(np.int32), places.astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "signatures", "places"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "low", "text", "signatures", "places"])
 
     return run
 
@@ -471,30 +501,29 @@ def leaks(
     item_text: str = "text",
     percent: int = 80,
     recall: float = 0.99,
-    edited: float = 0.15,
 ) -> DataFrame:
     """One row per document and item found in it: ``edits``, the least distance, and ``item_chars``, the item's length.
 
-    ``recall`` is the share of items with all edits that ``percent`` allows that
-    the grams are to find, and of items of 24 words with ``edited`` of the words
-    changed that the walks are; unchanged items are always found.
+    ``recall`` is the share of an item's copies with all the edits that
+    ``percent`` allows, at random places, that its walks are to find; unchanged
+    items are always found.
     """
     workers()
-    repeats = repetitions(recall, 24, edited)
     index = items.select(F.col(item).cast("long"), F.col(item_text).cast("string"))
-    index = settle(index.mapInArrow(_item_rows(repeats, percent, recall), _INDEX).withColumn("name", F.xxhash64("item_id", "item")), "items")
-    classes = index.select("walk", "gram").distinct().collect()
-    walks, grams = (sorted({c[i] for c in classes} - {None}) for i in (0, 1))
+    index = settle(index.mapInArrow(_item_rows(percent, recall), _INDEX).withColumn("name", F.xxhash64("item_id", "item")), "items")
+    longest = index.agg(F.max(F.length("item")).alias("n")).first().n or 0
+    reach = longest + longest * (100 - percent) // 100 + 3 * _NEAR
     texts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string"))
-    found = texts.mapInArrow(_scan(_bits(index), walks, repeats, grams), _CANDIDATES)
-    found = settle(found.withColumn("row", F.xxhash64("doc_id", "text")), "candidates")
+    found = texts.mapInArrow(_scan(_bits(index), _walks(index), reach), _CANDIDATES)
+    row = F.struct(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), "low", F.xxhash64("text").alias("t"))
+    found = settle(found.withColumn("row", row), "candidates")
     hits = found.select("row", F.explode(F.arrays_zip("signatures", "places")).alias("hit"))
     hits = hits.select("row", F.col("hit.signatures").alias("signature"), F.col("hit.places").alias("at"))
     near = F.floor((F.col("at") - F.col("place")) / _NEAR).cast("int").alias("near")
     windows = hits.join(index.select("signature", "name", "place"), "signature").select("row", "name", near).distinct()
     names = index.select("name", "item_id", "item").distinct()
     windows = windows.join(names, "name").select("row", F.struct("item_id", "item", "near").alias("n"))
-    # A document's nominations are in proportion to its own length; its text goes to a task once.
+    # A piece's nominations are in proportion to its own length; its text goes to a task once.
     windows = windows.groupBy("row").agg(F.collect_set("n").alias("nominated"))
     rows = windows.join(found.select("row", "doc_id", "text").dropDuplicates(["row"]), "row")
     checked = rows.drop("row").mapInArrow(_check(percent), "doc_id long, item_id long, edits long, item_chars long")

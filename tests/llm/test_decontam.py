@@ -84,28 +84,60 @@ def test_empty_tables(spark, table):
     assert decontam.leaks(table([]), spark.createDataFrame([(1, "a b")], "item_id long, text string")).count() == 0
 
 
-def test_repetitions_grow_with_the_recall():
-    assert decontam.repetitions(0.9, 24, 0.15) <= decontam.repetitions(0.999, 24, 0.15)
-
-
-def test_edited_items_are_nominated_with_the_recall():
-    rng = np.random.default_rng(3)
-    repeats, found = decontam.repetitions(0.99, 24, 0.15), 0
-    for _ in range(300):
-        item = rng.integers(1, 2**63, 24).astype(np.uint64)
-        edited = item.copy()
-        edited[rng.choice(24, 4, replace=False)] = rng.integers(1, 2**63, 4)
-        text = np.concatenate([rng.integers(1, 2**63, 9).astype(np.uint64), edited, item[:0]])
-        own = np.array([s for s, _ in decontam.item_signatures(item, repeats)])
-        found += any(np.isin(decontam.signatures(text, r, 12).view(np.int64), own).any() for r in range(repeats))
-    assert found >= 285
-
-
-def test_an_item_keeps_walks_that_stand_still_if_it_has_no_others():
-    for words in ([7] * 30, [1, 2] * 9, [5] * 13, [3], [3, 3, 3, 3]):
-        hashes = np.array(words, np.uint64) << np.uint64(40)
-        found = decontam.item_signatures(hashes, 3)
-        assert found and all(0 <= place <= len(words) - decontam._steps_of(len(words)) for _, place in found)
+def points(text):
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def test_embeddings_grow_with_the_recall():
+    walks = [decontam.chosen(points(some(24)), 80, recall) for recall in (0.5, 0.999)]
+    assert (decontam.LADDER.index(walks[0]._replace(embeddings=6)), walks[0].embeddings) == (0, 1)
+    assert walks[1].embeddings > 1 or walks[1].steps < walks[0].steps
+
+
+def test_walks_alone_find_what_they_were_chosen_for():
+    """The nominations of edited items by length and kind of edit, without the exact check."""
+    rng = random.Random(5)
+    for words in (2, 3, 5, 8, 12, 16, 24, 40):
+        shares = []
+        for _ in range(6):
+            item = some(words)
+            walk = decontam.chosen(points(item))
+            own = [np.unique(decontam.item_signatures(points(item), walk, e)[0]) for e in range(walk.embeddings)]
+            for made in [scattered(item, 20, rng) for _ in range(25)] + [changed(item, max(1, words // 8)) if words > 7 else item]:
+                codes = points("at " + made + " the end")
+                starts = np.arange(len(codes)) if walk.everywhere else np.flatnonzero(decontam.starts_of(codes))
+                shares.append(any(np.isin(decontam.signatures(decontam.mixed(codes), starts, walk, e)[0], own[e]).any() for e in range(walk.embeddings)))
+        assert np.mean(shares) >= 0.96, words
+
+
+def test_every_item_has_walks():
+    texts = ["aaa " * 30, "a b " * 9, "x", "ab", "\u6f22\u5b57" * 40, "\u00e9" * 400, "q" * 90]
+    for text in texts:
+        codes = points(text.strip())
+        walk = decontam.chosen(codes)
+        hashes, places = decontam.item_signatures(codes, walk, 0)
+        assert hashes.size and 0 <= places.min() and places.max() < len(codes)
+        same, _ = decontam.signatures(decontam.mixed(np.append(points("no "), codes)), places + 3, walk, 0)
+        assert (same == hashes).all()
+
+
+def test_unspaced_scripts_repeated_rows_and_null_ids(spark, table):
+    rng = random.Random(9)
+    item = "".join(chr(rng.randint(0x4E00, 0x5E00)) for _ in range(60))
+    near = item[:20] + "\u3042" + item[24:]
+    text = "".join(chr(rng.randint(0x4E00, 0x5E00)) for _ in range(9000))
+    rows = [(1, text[:500] + near + text[500:]), (1, text[:500] + near + text[500:]), (None, text + item), (2, text), (None, text + item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(5, item), (5, item), (None, "unlike anything in there")], "item_id long, text string")
+    found = sorted(((r.doc_id, r.item_id, r.edits) for r in decontam.leaks(docs, items).collect()), key=str)
+    assert found == [(1, 5, 4), (None, 5, 0)]
+
+
+def test_pieces_hold_the_windows_of_long_texts(spark, table):
+    item = some(30)
+    text = some(3000) + " " + changed(item, 3) + " " + some(3000) + " " + item
+    found = decontam.leaks(table([text]), spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.edits) for r in found] == [(0, 0)]
 
 
 def scattered(item, share, rng):
