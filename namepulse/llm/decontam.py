@@ -24,7 +24,7 @@ The hashes of all items reach the tasks as a bit table of fixed size; what
 passes is joined with the items' hashes. Only the pieces of a text around its
 nominations travel, as far as the longest item reaches. Null, empty and wordless
 texts and items match nothing. Repeated rows, documents and items are found as
-often as their ids differ; null ids are an id like any other. Empty tables give
+often as their ids differ; a null id is an id like any other. Empty tables give
 no rows.
 """
 
@@ -52,62 +52,91 @@ class Walk(NamedTuple):
     everywhere: bool = False
 
 
-_SIZES = (Walk(48, 14, 6, 3), Walk(24, 10, 4, 3), Walk(12, 6, 4, 3))
+_SIZES = (Walk(48, 14, 5, 3), Walk(36, 12, 5, 3), Walk(24, 10, 4, 3), Walk(12, 6, 4, 3))
 #: What an item's walks may be, the ones that nominate least by chance first.
-LADDER = (*_SIZES, *(w._replace(everywhere=True) for w in _SIZES))
+LADDER = (*_SIZES, *(w._replace(everywhere=True) for w in _SIZES[:-1]))
 #: Edited copies by which an item's recall is measured, and how many of its code points they have at most:
 #: what finds a part finds the whole.
-TRIES = 200
+TRIES = 400
 _SEEN = 2000
 #: Code points from here on are of scripts without spaces between words, or are rare.
 _UNSPACED = 0x0E00
-_PIECE = 1 << 14
+_PIECE = 1 << 13
 _TABLE_BITS = 26
+#: A first look at 32-bit hashes in a smaller table spares most of the 64-bit ones.
+_MARK_BITS = 21
+_ODD = np.uint32(0x9E3779B1)
 #: Nominations of an item that start within so many code points are one.
 _NEAR = 32
 _PUNCTUATION = bytes(set(range(33, 127)) - set(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
 NORMAL = np.where(tx.table(_PUNCTUATION), np.uint8(32), tx.LOWER)
-_CANDIDATES = "doc_id long, low long, text string, signatures array<long>, places array<int>"
-_INDEX = "item_id long, item string, signature long, place int, steps int, sampled int, everywhere boolean, embeddings int"
+_CANDIDATES = "doc_id long, text string, signatures array<long>, places array<int>"
+_INDEX = "item_id long, item string, signature long, mark int, place int, steps int, sampled int, everywhere boolean, embeddings int"
 
 
-def _draws(walk: Walk, embedding: int) -> tuple[np.uint64, np.ndarray, list[list[int]]]:
-    """The embedding's odd factor, the hashes' first values, and which hashes sample each step."""
-    rng = np.random.Generator(np.random.PCG64([11, *walk[:2], walk.everywhere, embedding]))
-    odd = rng.integers(1, 2**63, 1, np.uint64)[0] * np.uint64(2) + np.uint64(1)
+def _draws(walk: Walk, embedding: int) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+    """The embedding's odd factors, one for each 32 steps, the hashes' first values, and which hashes sample each step.
+
+    Walks of all sizes share their embeddings: a shorter one is the other's beginning.
+    """
+    rng = np.random.Generator(np.random.PCG64([11, embedding]))
+    factors = rng.integers(1, 2**63, walk.steps // 32 + 1, np.uint64) * np.uint64(2) + np.uint64(1)
+    rng = np.random.Generator(np.random.PCG64([13, *walk[:2], walk.everywhere, embedding]))
     first = rng.integers(1, 2**63, walk.hashes, np.uint64)
     places = [set(rng.choice(walk.steps, walk.sampled, replace=False).tolist()) for _ in range(walk.hashes)]
-    return odd, first, [[h for h in range(walk.hashes) if step in places[h]] for step in range(walk.steps)]
+    return factors, first, [[h for h in range(walk.hashes) if step in places[h]] for step in range(walk.steps)]
+
+
+def _marked_pieces(symbols: np.ndarray, starts: np.ndarray, walks: list[Walk], embedding: int):
+    """``_MARK_BITS`` bits for each of the walks' hashes and each start, some starts at a time: equal where signatures are."""
+    draws = [_draws(walk, embedding) for walk in walks]
+    firsts = np.cumsum([0, *(walk.hashes for walk in walks)])
+    steps = max(walk.steps for walk in walks)
+    sampled = [[low + h for low, w, d in zip(firsts, walks, draws) if step < w.steps for h in d[2][step]] for step in range(steps)]
+    own = [(symbols * f >> np.uint64(32)).astype(np.uint32) for f in max((d[0] for d in draws), key=len)]
+    begin = np.concatenate([d[1] for d in draws]).astype(np.uint32)[:, None]
+    for low in range(0, len(starts), _PIECE):
+        at = starts[low : low + _PIECE].astype(np.int64)
+        hashes = np.empty((len(begin), len(at)), np.uint32)
+        hashes[:] = begin
+        here, bit = np.empty(len(at), np.uint32), np.empty(len(at), np.uint32)
+        for step in range(steps):
+            np.take(own[step >> 5], at, out=here, mode="clip")
+            for h in sampled[step]:
+                hashes[h] *= _ODD
+                hashes[h] += here
+            # The walk's random bit of code point and step.
+            np.right_shift(here, np.uint32(step & 31), out=bit)
+            np.bitwise_and(bit, np.uint32(1), out=bit)
+            at += bit
+        hashes ^= hashes >> np.uint32(15)
+        hashes *= _ODD
+        hashes >>= np.uint32(32 - _MARK_BITS)
+        yield low, hashes
+
+
+def marks(symbols: np.ndarray, starts: np.ndarray, walk: Walk, embedding: int) -> np.ndarray:
+    parts = [hashes for _, hashes in _marked_pieces(symbols, starts, [walk], embedding)]
+    return np.concatenate(parts, 1) if parts else np.zeros((walk.hashes, 0), np.uint32)
 
 
 def signatures(symbols: np.ndarray, starts: np.ndarray, walk: Walk, embedding: int) -> tuple[np.ndarray, np.ndarray]:
     """The sampled hashes of the walk from each start, and the last place each walk reads.
 
     ``symbols`` are mixed code points (``mixed``). Walks that run off the end
-    read zeros there.
+    go on reading the last one.
     """
-    odd, first, sampled = _draws(walk, embedding)
-    own = np.concatenate([symbols, np.zeros(walk.steps, np.uint64)])
-    own *= odd
-    own ^= own >> np.uint64(32)
+    factors, first, sampled = _draws(walk, embedding)
     out = np.empty((walk.hashes, len(starts)), np.uint64)
-    last = np.empty(len(starts), np.int64)
-    for low in range(0, len(starts), _PIECE):
-        at = starts[low : low + _PIECE].astype(np.int64)
-        hashes = out[:, low : low + _PIECE]
-        hashes[:] = first[:, None]
-        here, bit = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
-        for step in range(walk.steps):
-            np.take(own, at, out=here, mode="clip")
-            for h in sampled[step]:
-                hashes[h] *= tx._BASE
-                hashes[h] += here
-            if step == walk.steps - 1:
-                last[low : low + _PIECE] = at
-            # The walk's random bit of code point and step.
-            np.right_shift(here, np.uint64(step & 63), out=bit)
-            np.bitwise_and(bit, np.uint64(1), out=bit)
-            at += bit.view(np.int64)
+    out[:] = first[:, None]
+    at = last = starts.astype(np.int64)
+    for step in range(walk.steps):
+        here = symbols.take(at, mode="clip") * factors[step >> 5]
+        for h in sampled[step]:
+            out[h] *= tx._BASE
+            out[h] += here
+        last = at
+        at = at + ((here >> np.uint64(32 + (step & 31))) & np.uint64(1)).view(np.int64)
     return tx.mix(out), last
 
 
@@ -138,7 +167,7 @@ def edited(codes: np.ndarray, edits: int, tries: int, seed: int = 17) -> tuple[n
     places = np.argsort(rng.random((tries, size)), 1)[:, :edits]
     np.put_along_axis(kind, places, rng.integers(1, 4, places.shape, np.int8), 1)
     kind[:, size] = 0
-    other = codes[rng.integers(0, size, kind.shape)] ^ np.uint32(1)
+    other = np.full(kind.shape, 1, np.uint32)  # no normal text has it
     whole = np.broadcast_to(np.append(codes, np.uint32(32)), kind.shape)
     # Two cells for each code point: what is put before it, and itself or what replaces it.
     cells = np.stack([other, np.where(kind == 1, other, whole)], 2)
@@ -174,11 +203,6 @@ def chosen(codes: np.ndarray, percent: int = 80, recall: float = 0.99, tries: in
     return run_walk(len(codes), percent)
 
 
-def _normal(chunk: tx.Chunk) -> tuple[np.ndarray, tx.Words]:
-    data = NORMAL[chunk.data]
-    return data, tx.words(chunk, data)
-
-
 class _Joined(NamedTuple):
     """The normal texts of a chunk, one space between words: bytes, code points before each, bounds, word starts."""
 
@@ -191,23 +215,29 @@ class _Joined(NamedTuple):
         return self.data[self.bounds[row] : self.bounds[row + 1]].tobytes().decode()
 
 
-def _join_words(data: np.ndarray, words: tx.Words) -> _Joined:
-    space = tx.IS_SPACE[data]
-    kept = ~space
-    inner = np.ones(len(words.starts), bool)
-    inner[words.bounds[:-1][words.bounds[:-1] < words.bounds[1:]]] = False
-    kept[words.starts[inner] - 1] = True
-    before = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(kept, out=before[1:])
-    joined = np.where(space, np.uint8(32), data)[kept]
-    points = np.cumsum(~tx.IS_TAIL[joined]) - 1
-    starts = before[words.starts]
+def _join_words(chunk: tx.Chunk) -> _Joined:
+    data = NORMAL[chunk.data]
+    kept = ~tx.IS_SPACE[data]
+    begins = kept.copy()
+    begins[1:] &= ~kept[:-1]
+    texts = chunk.offsets[:-1][chunk.offsets[:-1] < len(data)]
+    begins[texts] = kept[texts]
+    starts = np.flatnonzero(begins)
+    bounds = np.searchsorted(starts, chunk.offsets)
+    inner = np.ones(len(starts), bool)
+    inner[bounds[:-1][bounds[:-1] < bounds[1:]]] = False
+    kept[starts[inner] - 1] = True
+    data[starts[inner] - 1] = 32
+    starts = np.cumsum(kept, dtype=np.int32)[starts] - 1
+    data = data[kept]
+    points = np.cumsum(~tx.IS_TAIL[data], dtype=np.int32) - 1 if len(data) and data.max() > 127 else np.arange(len(data), dtype=np.int32)
     # A text begins at its first word, an empty one where the text before ends.
-    bounds = np.append(starts, len(joined))[words.bounds]
-    return _Joined(joined, points, bounds, starts)
+    return _Joined(data, points, np.append(starts, len(data))[bounds], starts)
 
 
 def _points(data: np.ndarray) -> np.ndarray:
+    if not len(data) or data.max() < 128:
+        return data.astype(np.uint32)
     return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
 
 
@@ -216,7 +246,7 @@ def _item_rows(percent: int, recall: float):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for chunk in tx.chunks(batch.column(1)):
-                joined = _join_words(*_normal(chunk))
+                joined = _join_words(chunk)
                 for row in range(len(chunk.offsets) - 1):
                     own = joined.data[joined.bounds[row] : joined.bounds[row + 1]]
                     if len(own):
@@ -231,24 +261,26 @@ def _of_item(item_id: int | None, own: np.ndarray, percent: int, recall: float)
     found = [item_signatures(codes, walk, embedding) for embedding in range(walk.embeddings)]
     hashes = np.concatenate([h.ravel() for h, _ in found])
     places = np.concatenate([np.tile(p, walk.hashes) for _, p in found])
+    mark = np.concatenate([marks(mixed(codes), p, walk, embedding).ravel() for embedding, (_, p) in enumerate(found)])
     # A repetitive item has the same hash at many places: once for those that are near each other.
     order = np.lexsort((places, hashes))
-    hashes, places = hashes[order], places[order]
+    hashes, places, mark = hashes[order], places[order], mark[order]
     first = np.ones(len(hashes), bool)
     first[1:] = (hashes[1:] != hashes[:-1]) | (places[1:] // _NEAR != places[:-1] // _NEAR)
-    hashes, places = hashes[first], places[first]
+    hashes, places, mark = hashes[first], places[first], mark[first]
     same = lambda value, kind: pa.array([value] * len(hashes), kind)
     columns = [
         same(item_id, pa.int64()),
         same(own.tobytes().decode(), pa.string()),
         tx.column(hashes),
+        pa.array(mark, pa.int32()),
         pa.array(places, pa.int32()),
         same(walk.steps, pa.int32()),
         same(walk.sampled, pa.int32()),
         same(walk.everywhere, pa.bool_()),
         same(walk.embeddings, pa.int32()),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["item_id", "item", "signature", "place", "steps", "sampled", "everywhere", "embeddings"])
+    return pa.RecordBatch.from_arrays(columns, ["item_id", "item", "signature", "mark", "place", "steps", "sampled", "everywhere", "embeddings"])
 
 
 def _walks(index: DataFrame) -> list[Walk]:
@@ -258,27 +290,45 @@ def _walks(index: DataFrame) -> list[Walk]:
     return sorted(Walk(r.steps, r.sampled, r.n, hashes.get((r.steps, r.sampled, r.everywhere), 1), r.everywhere) for r in rows)
 
 
-def _bits(signatures_: DataFrame) -> np.ndarray:
-    """Two bits of each hash in a table of 8 MB, whatever the number of items."""
-    spots = F.array(*(F.expr(f"shiftrightunsigned(signature, {64 - _TABLE_BITS - i * _TABLE_BITS}) & {(1 << _TABLE_BITS) - 1}") for i in (0, 1)))
-    cells = signatures_.select(F.explode(spots).alias("at")).groupBy(F.expr("at div 32").alias("word"))
+def _bits(spots: DataFrame, size: int) -> np.ndarray:
+    """A table of ``2 ** size`` bits of which those in the column ``at`` are set, whatever the number of items."""
+    cells = spots.groupBy(F.expr("at div 32").alias("word"))
     rows = cells.agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 AS int))")).alias("bits")).toArrow()
-    bits = np.zeros((1 << _TABLE_BITS) // 32, np.uint32)
+    bits = np.zeros((1 << size) // 32, np.uint32)
     bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
     return bits
 
 
-def _hits(found: np.ndarray, bits: np.ndarray, coarse: np.ndarray) -> np.ndarray:
-    # Most of the hashes go by the first bits alone, sixteen cells at a time.
-    near = np.flatnonzero(coarse[(found >> np.uint64(68 - _TABLE_BITS)).view(np.int64)])
-    found = found[near]
+def _spots() -> list:
+    """Two places of a signature in the table."""
+    return [F.expr(f"shiftrightunsigned(signature, {64 - _TABLE_BITS - i * _TABLE_BITS}) & {(1 << _TABLE_BITS) - 1}") for i in (0, 1)]
+
+
+def _hits(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Flags of signatures whose two places are set."""
+    hit = np.ones(found.shape, bool)
     for i in (0, 1):
         at = ((found >> np.uint64(64 - _TABLE_BITS - i * _TABLE_BITS)) & np.uint64((1 << _TABLE_BITS) - 1)).astype(np.int64)
-        hit = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
-        if i == 0:
-            first = np.flatnonzero(hit)
-            found = found[first]
-    return near[first[hit]]
+        hit &= (bits[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
+    return hit
+
+
+def _nominated(symbols: np.ndarray, starts: np.ndarray, walks: list[Walk], marked: np.ndarray, bits: np.ndarray):
+    """(hashes, their starts) of the walks from each start that may be an item's, embedding by embedding."""
+    for embedding in range(max((w.embeddings for w in walks), default=0)):
+        own = [w for w in walks if w.embeddings > embedding]
+        seen = np.zeros((len(own), len(starts)), bool)
+        for low, hashes in _marked_pieces(symbols, starts, own, embedding):
+            row = 0
+            for flags, walk in zip(seen[:, low : low + _PIECE], own, strict=True):
+                for h in hashes[row : row + walk.hashes]:
+                    flags |= np.take(marked, h, mode="clip")
+                row += walk.hashes
+        for walk, flags in zip(own, seen, strict=True):
+            at = starts[flags]
+            found, _ = signatures(symbols, at, walk, embedding)
+            h, place = np.nonzero(_hits(found, bits))
+            yield found[h, place], at[place]
 
 
 def _pieces(doc: np.ndarray, places: np.ndarray, reach: int) -> np.ndarray:
@@ -288,29 +338,28 @@ def _pieces(doc: np.ndarray, places: np.ndarray, reach: int) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _scan(bits: np.ndarray, walks: list[Walk], reach: int):
-    """Pieces of documents with walks that may be an item's: where they begin, normal text, hashes and the code points where they start."""
+def _scan(bits: np.ndarray, mark_bits: np.ndarray, walks: list[Walk], reach: int):
+    """Pieces of documents with walks that may be an item's: normal text, hashes and the code points where they start."""
 
     def run(batches):
-        coarse = bits.view(np.uint16) != 0
+        marked = np.unpackbits(mark_bits.view(np.uint8), bitorder="little").view(bool)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             null = np.array([not x.is_valid for x in batch.column(0)], bool)
             for chunk in tx.chunks(batch.column(1)):
-                joined = _join_words(*_normal(chunk))
+                joined = _join_words(chunk)
                 codes = _points(joined.data)
                 symbols = mixed(codes)
-                begins = starts_of(codes)
+                begins = codes >= _UNSPACED
                 begins[joined.points[joined.starts]] = True
                 word_starts = np.flatnonzero(begins)
                 hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-                for walk in walks:
-                    starts = np.arange(len(codes)) if walk.everywhere else word_starts
-                    for embedding in range(walk.embeddings):
-                        for found in signatures(symbols, starts, walk, embedding)[0]:
-                            hits = _hits(found, bits, coarse)
-                            hashes.append(found[hits])
-                            places.append(starts[hits])
+                for everywhere in {walk.everywhere for walk in walks}:
+                    starts = np.arange(len(codes)) if everywhere else word_starts
+                    own = [walk for walk in walks if walk.everywhere == everywhere]
+                    for found, at in _nominated(symbols, starts, own, marked, bits):
+                        hashes.append(found)
+                        places.append(at)
                 hashes, places = np.concatenate(hashes), np.concatenate(places)
                 order = np.argsort(places, kind="stable")
                 hashes, places = hashes[order], places[order]
@@ -326,12 +375,11 @@ def _scan(bits: np.ndarray, walks: list[Walk], reach: int):
                 cut = [codes[a:b].tobytes().decode("utf-32-le") for a, b in zip(low.tolist(), high.tolist())]
                 columns = [
                     pa.array(np.where(null[rows], 0, ids[rows]).astype(np.int64), pa.int64(), mask=null[rows]),
-                    pa.array(low - bounds[own], pa.int64()),
                     pa.array(cut, pa.string()),
                     pa.ListArray.from_arrays(ends.astype(np.int32), hashes.view(np.int64)),
                     pa.ListArray.from_arrays(ends.astype(np.int32), places.astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "low", "text", "signatures", "places"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "signatures", "places"])
 
     return run
 
@@ -513,10 +561,12 @@ def leaks(
     index = settle(index.mapInArrow(_item_rows(percent, recall), _INDEX).withColumn("name", F.xxhash64("item_id", "item")), "items")
     longest = index.agg(F.max(F.length("item")).alias("n")).first().n or 0
     reach = longest + longest * (100 - percent) // 100 + 3 * _NEAR
+    bits = _bits(index.select(F.explode(F.array(*_spots())).alias("at")), _TABLE_BITS)
+    mark_bits = _bits(index.select(F.col("mark").cast("long").alias("at")), _MARK_BITS)
     texts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string"))
-    found = texts.mapInArrow(_scan(_bits(index), _walks(index), reach), _CANDIDATES)
-    row = F.struct(F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("none"), "low", F.xxhash64("text").alias("t"))
-    found = settle(found.withColumn("row", row), "candidates")
+    found = texts.mapInArrow(_scan(bits, mark_bits, _walks(index), reach), _CANDIDATES)
+    # The number stands for the piece from here on: it is written with it.
+    found = settle(found.withColumn("row", F.monotonically_increasing_id()), "candidates")
     hits = found.select("row", F.explode(F.arrays_zip("signatures", "places")).alias("hit"))
     hits = hits.select("row", F.col("hit.signatures").alias("signature"), F.col("hit.places").alias("at"))
     near = F.floor((F.col("at") - F.col("place")) / _NEAR).cast("int").alias("near")
@@ -525,7 +575,7 @@ def leaks(
     windows = windows.join(names, "name").select("row", F.struct("item_id", "item", "near").alias("n"))
     # A piece's nominations are in proportion to its own length; its text goes to a task once.
     windows = windows.groupBy("row").agg(F.collect_set("n").alias("nominated"))
-    rows = windows.join(found.select("row", "doc_id", "text").dropDuplicates(["row"]), "row")
+    rows = windows.join(found.select("row", "doc_id", "text"), "row")
     checked = rows.drop("row").mapInArrow(_check(percent), "doc_id long, item_id long, edits long, item_chars long")
     # An item that occurs with several texts, or a document, counts by its nearest.
     out = checked.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "item_chars")).alias("least"))
