@@ -233,18 +233,18 @@ def _least(rows: DataFrame, sizes: DataFrame, wide: DataFrame | None, shrink: fl
     A key's start is done with when a step no longer lowers its determinant;
     only the others go on. Determinants fall by ``STILL`` at least, so steps end.
     """
-    step = lambda estimate: settle(_drawn(_moments(_nearest(rows, estimate)), sizes, wide, shrink), "quality-step")
-    now = step(settle(_drawn(_starts(rows), sizes, wide, shrink), "quality-start"))
-    ends = []
-    while True:
-        later = step(now)
-        fallen = later.join(now.select("key", "start", F.col("det").alias("before")), ["key", "start"]).where(F.col("det") < F.col("before") - STILL)
-        fallen = settle(fallen.drop("before").select(now.columns), "quality-fallen")
-        if fallen.isEmpty():
-            break
-        ends.append(now.join(fallen.select("key", "start"), ["key", "start"], "left_anti").select(now.columns))
-        now = fallen
-    every = reduce(DataFrame.union, ends, now)
+    columns = ["key", "start", "mean", "spread", "inverse", "det", "falls"]
+    step = lambda estimate: _drawn(_moments(_nearest(rows, estimate)), sizes, wide, shrink)
+    first = settle(_drawn(_starts(rows), sizes, wide, shrink), "quality-start")
+    now = settle(step(first).withColumn("falls", F.lit(True)).select(columns), "quality-step")
+    fallen = [now]
+    while not fallen[-1].isEmpty():
+        before = fallen[-1].select("key", "start", F.col("det").alias("before"))
+        later = step(fallen[-1]).join(before, ["key", "start"])
+        now = settle(later.withColumn("falls", F.col("det") < F.col("before") - STILL).select(columns), "quality-step")
+        fallen.append(now.where("falls"))
+    # Of a start's estimates the last that fell has the least determinant.
+    every = reduce(DataFrame.union, fallen)
     least = every.groupBy("key").agg(F.min_by(F.struct("start", "mean", "spread", "inverse", "det"), F.struct("det", "start")).alias("least"))
     return settle(least.select("key", "least.*"), "quality-least")
 
