@@ -320,6 +320,18 @@ def _rest_pairs(own: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     return rest.join(other, differ & _close(percent)).select(F.col("f").alias("a"), F.col("f2").alias("b")).distinct()
 
 
+def shared_entries(index: DataFrame) -> DataFrame:
+    """Distinct rows ``(entry, f, n)`` of the entries held by two sets or more.
+
+    The index goes through one shuffle by entry; the distinct rows and the
+    entry's least and greatest set are found in place, not by joining it again.
+    """
+    by_entry = Window.partitionBy("entry")
+    rows = index.repartition("entry").distinct()
+    rows = rows.withColumn("x", F.min("f").over(by_entry)).withColumn("y", F.max("f").over(by_entry))
+    return rows.where("x < y").select("entry", "f", "n")
+
+
 def _open_pairs(own: DataFrame) -> tuple[int, int]:
     """How many pairs of an entry are in different components, and how many rows there are."""
     sizes = own.groupBy("entry", "component").agg(F.count("*").cast("double").alias("n"))
@@ -342,9 +354,7 @@ def link_groups(
     packed = _frequent_slots(measured, factor)
     members = measured.where("slab IS NULL").select("doc_id", "n", "f1", "f2", "bits")
     index = texts.select("text").mapInArrow(_index(size, percent, packed), "entry long, f long, n long")
-    index = settle(index, "jaccard-index")
-    shared = index.groupBy("entry").agg(F.min("f").alias("x"), F.max("f").alias("y")).where("x < y")
-    shared = settle(index.join(shared.select("entry"), "entry").distinct(), "jaccard-shared")
+    shared = settle(shared_entries(settle(index, "jaccard-index")), "jaccard-shared")
     parities = members.groupBy("f1").agg(F.first("n").alias("n"), F.first("bits").alias("bits")).withColumnRenamed("f1", "f")
     parities = settle(parities.join(shared.select("f").distinct(), "f"), "jaccard-parities")
     own, links, open_pairs = shared.withColumn("component", F.col("f")), None, None

@@ -90,3 +90,15 @@ def test_parities_of_any_two_sizes_bound_the_difference(spark):
                 assert (i, j) in close
             if union > 100 and 100 * shared < 40 * union:
                 assert (i, j) not in close
+
+
+def test_shared_entries_shuffle_the_index_once(spark):
+    rows = [(e, f, 10 + f) for e in range(40) for f in range(e % 4)] + [(7, 2, 12), (7, 2, 12), (50, 9, 19), (50, 9, 19)]
+    index = spark.createDataFrame(rows * 2, "entry long, f long, n long").repartition(5)
+    shared = jaccard.shared_entries(index)
+    want = {(e, f, n) for e, f, n in rows if len({g for x, g, _ in rows if x == e}) > 1}
+    assert sorted(map(tuple, shared.collect())) == sorted(want)
+    shared.collect()
+    plan = shared._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # One pass of the index by entry: not a second and third one to join and to make rows distinct.
+    assert plan.count("Exchange hashpartitioning") == 1, plan
